@@ -23,7 +23,7 @@ STEP_WIDTH = 1e-2
 STEP_LIMIT = 1e-10
 
 
-def fixed_batches(windows: DataFrame, size: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def fixed_batches(windows: DataFrame, size: int, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Batches of exactly ``size`` windows per model in arrival order; an incomplete tail is left out."""
     placed = with_position(windows, ["model_id"], ARRIVAL, "__at", group_rows)
     placed = placed.withColumn("batch_id", F.floor(F.col("__at") / size)).withColumn(
@@ -34,7 +34,7 @@ def fixed_batches(windows: DataFrame, size: int, group_rows: int = GROUP_ROWS) -
 
 
 def adaptive_batches(
-    windows: DataFrame, size: int, tick_seconds: int, group_rows: int = GROUP_ROWS
+    windows: DataFrame, size: int, tick_seconds: int, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """All windows that wait at the end of a tick, in batches of at most ``size``.
 
@@ -50,7 +50,7 @@ def adaptive_batches(
     )
 
 
-def arrival_rate(readings: DataFrame, tick_seconds: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def arrival_rate(readings: DataFrame, tick_seconds: int, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Arrivals per second of each model's ticks, measured since its last tick that had arrivals."""
     tick = F.floor(F.unix_seconds("ts") / tick_seconds)
     counts = readings.groupBy("model_id", tick.alias("tick")).agg(F.count(F.lit(1)).alias("arrivals"))
@@ -75,7 +75,7 @@ def fit_cost_model(profile: DataFrame) -> DataFrame:
 
 
 def recent_error(
-    losses: DataFrame, size: int = ERROR_MEMORY, init: float = FIRST_ERROR, group_rows: int = GROUP_ROWS
+    losses: DataFrame, size: int = ERROR_MEMORY, init: float = FIRST_ERROR, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """Mean of the ``size`` errors before each one; missing ones count as ``init``."""
 

@@ -19,7 +19,7 @@ COLUMNS = [*STREAM, "k", "t_end", "x", "y"]
 
 
 def ring_memory(
-    memory: DataFrame | None, windows: DataFrame, capacity: int, group_rows: int = GROUP_ROWS
+    memory: DataFrame | None, windows: DataFrame, capacity: int, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """The newest ``capacity`` windows of each stream."""
     rows = windows.select(*COLUMNS)
@@ -28,7 +28,7 @@ def ring_memory(
     return top_rows(rows, STREAM, [F.desc("t_end"), F.desc("k")], capacity, group_rows)
 
 
-def ring_memory_reset(batches: DataFrame, capacity: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+def ring_memory_reset(batches: DataFrame, capacity: int, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """What a ring shows whose fill count restarts at 0 as soon as it is full.
 
     ``batches`` are windows with ``batch_id``. Visible are the windows of the batches after the last one

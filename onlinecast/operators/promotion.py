@@ -21,7 +21,7 @@ def promotion_gate(
     rows: int = QUEUE_ROWS,
     base: float = FIRST_BEST,
     batch_size: int | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Mark the batches ``(model_id, batch_id, rows, loss)`` after which the model is published.
 

@@ -13,7 +13,7 @@ FIRST_LOSS = 100.0
 STATES = ["deploy", "pause"]
 
 
-def publish(registry: DataFrame, updates: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def publish(registry: DataFrame, updates: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Registry with ``updates(model_id, update_time, loss, params)`` appended as the next versions."""
     latest = registry.groupBy("model_id").agg(F.max("version").alias("__latest"))
     numbered = with_position(updates, ["model_id"], ["update_time", "loss"], "__at", group_rows)
@@ -36,7 +36,7 @@ def current_models(registry: DataFrame) -> DataFrame:
     )
 
 
-def weight_change(registry: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def weight_change(registry: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Squared distance of each version's parameters to the version before; ``changed`` if above 0."""
     lagged = over_frame(
         registry,

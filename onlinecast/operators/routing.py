@@ -39,7 +39,7 @@ def merge_streams(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def asof_model(batches: DataFrame, registry: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def asof_model(batches: DataFrame, registry: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Add to each batch (``model_id, batch_id, ts``) the newest registry version at its time, null if none."""
     at_batch = batches.withColumns({"__side": F.lit(1), "__entry": F.lit(None).cast("long")})
     at_entry = registry.select(

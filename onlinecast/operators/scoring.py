@@ -48,7 +48,7 @@ def score(windows: DataFrame, params: DataFrame | list[float], spec: ModelSpec)
     return rows.mapInPandas(predict, schema)
 
 
-def one_step_errors(scored: DataFrame, scope: str = "stream", group_rows: int = GROUP_ROWS) -> DataFrame:
+def one_step_errors(scored: DataFrame, scope: str = "stream", group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Add ``sq_error`` of the previous prediction against the value now observed.
 
     The previous prediction is the stream's own (``scope="stream"``) or the last one made by the model for any
@@ -71,13 +71,13 @@ def one_step_errors(scored: DataFrame, scope: str = "stream", group_rows: int =
     return lagged.withColumn("sq_error", miss * miss).drop("__previous")
 
 
-def one_step_rmse(scored: DataFrame, scope: str = "stream", group_rows: int = GROUP_ROWS) -> DataFrame:
+def one_step_rmse(scored: DataFrame, scope: str = "stream", group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Root mean squared one-step error of each (batch, stream); null without a pair."""
     errors = one_step_errors(scored, scope, group_rows)
     return errors.groupBy(*DOCUMENT).agg(F.sqrt(F.avg("sq_error")).alias("loss"))
 
 
-def rolling_loss(losses: DataFrame, n: int = 3, scope: str = "stream", group_rows: int = GROUP_ROWS) -> DataFrame:
+def rolling_loss(losses: DataFrame, n: int = 3, scope: str = "stream", group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Add ``average_loss``: mean of the last ``n`` known losses; null where the loss is."""
     keys, order = {
         "stream": (["model_id", "stream_id"], ["batch_id"]),

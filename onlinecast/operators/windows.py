@@ -21,7 +21,7 @@ def _span(first: int, last: int):
 
 
 def lookback_windows(
-    readings: DataFrame, look_back: int, shift: int = 1, group_rows: int = GROUP_ROWS
+    readings: DataFrame, look_back: int, shift: int = 1, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """``look_back`` consecutive readings, emitted once all of them have arrived."""
     framed = over_frame(
@@ -33,11 +33,12 @@ def lookback_windows(
         columns={
             "x": _span(0, look_back - 1),
             "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, look_back - 1)),
+            "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, look_back - 1)),
         },
         position="pos",
         group_rows=group_rows,
     )
-    complete = (F.col("pos") % shift == 0) & (F.size("x") == look_back)
+    complete = (F.col("pos") % shift == 0) & (F.col("seen") == look_back)
     return framed.where(complete).select("stream_id", F.floor(F.col("pos") / shift).alias("k"), "t_end", "x")
 
 
@@ -48,7 +49,7 @@ def training_windows(
     forward_step: int = 1,
     forward_size: int = 1,
     wait_extra: bool = True,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Input ``x`` with the target ``y`` that lies ``forward_step`` readings ahead.
 
@@ -79,7 +80,7 @@ def training_windows(
 
 
 def multi_stream_windows(
-    readings: DataFrame, members: DataFrame, look_back: int, shift: int = 1, group_rows: int = GROUP_ROWS
+    readings: DataFrame, members: DataFrame, look_back: int, shift: int = 1, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """Windows with the same ``k`` of all streams of a group, side by side.
 
@@ -116,7 +117,7 @@ def multi_stream_windows(
 
 
 def model_windows(
-    readings: DataFrame, subscriptions: DataFrame, group_rows: int = GROUP_ROWS
+    readings: DataFrame, subscriptions: DataFrame, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """Windows of every (model, stream), each model with its own shape.
 

@@ -21,7 +21,7 @@ def fold_states(
     step: Callable[[np.ndarray, int], np.ndarray],
     states: int,
     name: str,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Add the state before each row, starting each group at 0: ``state = step(state, column)``.
 

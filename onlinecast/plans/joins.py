@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.plans.tables import size_bound, written
+from onlinecast.plans.tables import input_bytes, size_bound, written
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 32
@@ -26,11 +26,16 @@ def attach(
 ) -> DataFrame:
     """Join ``rows`` (large, skewed) with ``side`` (a few rows per key).
 
-    ``side`` is written once and measured. Within ``limit`` bytes it is broadcast; beyond that both
-    sides shuffle on key and salt, so the rows of a hot key spread over ``salts`` tasks.
+    A ``side`` that reads little is broadcast as it is. Any other is written once and measured: within
+    ``limit`` bytes it is broadcast; beyond that both sides shuffle on key and salt, so the rows of a hot
+    key spread over ``salts`` tasks.
     """
-    side = written(side, "side")
-    if size_bound(side) <= limit:
+    if input_bytes(side) > limit // 4:
+        side = written(side, "side")
+        small = size_bound(side) <= limit
+    else:
+        small = True
+    if small:
         return rows.join(F.broadcast(side), on, how)
     by = None if not rows.isStreaming else [c for c in rows.columns if c not in on]
     rows = rows.withColumn("__salt", salt(rows, by, salts))

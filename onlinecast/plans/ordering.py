@@ -3,7 +3,9 @@
 A plain ``Window.partitionBy(keys)`` sends each group to one task. That is the right plan while
 groups are small, and every function here uses it then. When a count finds groups above
 ``group_rows`` rows, the group is cut into consecutive runs along its order columns, the window
-works per run, and what earlier runs contribute (a count, a last value) is joined in.
+works per run, and what earlier runs contribute (a count, a last value) is joined in. Inputs too
+small to hold such a group are not counted, so their plans stay lazy; ``group_rows=None`` says the
+same of larger ones.
 """
 
 from __future__ import annotations
@@ -15,16 +17,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from onlinecast.plans.joins import attach, salt
-from onlinecast.plans.tables import written
+from onlinecast.plans.tables import input_bytes, settled, written
 
 GROUP_ROWS = 1_000_000
+ROW_BYTES = 8
 ROUNDS = 3
 FINER = 4
 
 
-def has_hot_group(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS) -> bool:
+def hot_groups(
+    df: DataFrame, keys: list[str], group_rows: int | None = GROUP_ROWS
+) -> tuple[DataFrame, bool]:
+    """``df``, ready to be evaluated again, and whether a group has more than ``group_rows`` rows."""
+    if group_rows is None or input_bytes(df) <= group_rows * ROW_BYTES:
+        return df, False
+    df = settled(df, group_rows * ROW_BYTES)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return not sizes.where(F.col("n") > group_rows).isEmpty()
+    return df, not sizes.where(F.col("n") > group_rows).isEmpty()
 
 
 def _number(df: DataFrame, name: str) -> Column | None:
@@ -41,7 +50,7 @@ def _number(df: DataFrame, name: str) -> Column | None:
 
 
 def runs(
-    df: DataFrame, keys: list[str], order: list[str], group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[str], group_rows: int | None = GROUP_ROWS
 ) -> tuple[DataFrame, list[str]]:
     """Cut groups above ``group_rows`` into runs; returns the frame and the run columns.
 
@@ -50,7 +59,8 @@ def runs(
     (ties). The cut never changes a result, only how many rows share a task.
     """
     cuts: list[str] = []
-    if not has_hot_group(df, keys, group_rows):
+    df, hot = hot_groups(df, keys, group_rows)
+    if not hot:
         return df, cuts
     for name in order:
         number = _number(df, name)
@@ -75,7 +85,7 @@ def runs(
 
 
 def with_position(
-    df: DataFrame, keys: list[str], order: list[str], name: str = "pos", group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[str], name: str = "pos", group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """Add the dense 0-based position of each row in its group."""
     df, cuts = runs(df, keys, order, group_rows)
@@ -97,14 +107,15 @@ def over_frame(
     after: int,
     columns: dict[str, Callable[[WindowSpec], Column]],
     position: str | None = None,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     Each callable gets the ordered window and applies its own frame. In the presence of hot groups the
     rows are cut by position into blocks, and each block also gets the neighbours its frames reach.
     """
-    if not has_hot_group(df, keys, group_rows):
+    df, hot = hot_groups(df, keys, group_rows)
+    if not hot:
         w = Window.partitionBy(*keys).orderBy(*order)
         if position:
             df = df.withColumn(position, F.row_number().over(w).cast("long") - 1)
@@ -129,7 +140,7 @@ def running(
     kind: str,
     name: str,
     inclusive: bool = True,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Add the running ``last`` (non-null), ``min`` or ``sum`` of ``column`` in each group."""
     df, cuts = runs(df, keys, order, group_rows)
@@ -163,7 +174,7 @@ def running(
 
 
 def top_rows(
-    df: DataFrame, keys: list[str], order: list[Column], n: int, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[Column], n: int, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """First ``n`` rows of each group in ``order``; a hot group is first reduced per salt."""
 
@@ -171,6 +182,7 @@ def top_rows(
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return frame.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
 
-    if has_hot_group(df, keys, group_rows):
+    df, hot = hot_groups(df, keys, group_rows)
+    if hot:
         df = keep(df.withColumn("__salt", salt(df)), [*keys, "__salt"]).drop("__salt")
     return keep(df, keys)

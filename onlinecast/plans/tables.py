@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+HEAVY = re.compile(r"\b(Join|Window|WindowGroupLimit|Aggregate|Generate|Sort|Repartition\w*|\w*InPandas|\w*InArrow)\b")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: ``spark.checkpoint.dir``.
@@ -36,6 +39,27 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables ``df`` reads, as the optimizer knows them; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only reads, filters and projects, so that evaluating it again is cheap."""
+    return not HEAVY.search(df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def settled(df: DataFrame, limit: int) -> DataFrame:
+    """``df`` for repeated use: written once if it reads more than ``limit`` bytes and is not a plain scan."""
+    return df if input_bytes(df) <= limit or is_scan(df) else written(df)
+
+
+def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def size_bound(df: DataFrame) -> int:
     """Upper bound of the in-memory bytes of ``df``: rows times its widest row."""
     width = 0
@@ -79,7 +103,7 @@ class VersionedTable:
         full = [v for v in versions if v % self.compact == 0]
         versions = [v for v in versions if not full or v >= full[-1]]
         if not versions:
-            return self.spark.createDataFrame([], self.schema)
+            return empty(self.spark, self.schema)
         parts = None
         for v in versions:
             part = self.spark.read.schema(self.schema).parquet(f"{self.path}/{v}")

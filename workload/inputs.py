@@ -97,8 +97,8 @@ def inference_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = adaptive_batches(inference_windows(spark, sf_dir), 3, TICK)
-    return score(batches, list(INFERENCE.init), INFERENCE)
+    rows = score(inference_windows(spark, sf_dir), list(INFERENCE.init), INFERENCE)
+    return adaptive_batches(rows.drop("x"), 3, TICK)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

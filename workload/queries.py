@@ -346,7 +346,7 @@ def score_two_outputs(spark, sf_dir):
 
 @query
 def score_versions(spark, sf_dir):
-    rows = inputs.scored(spark, sf_dir).drop("pred", "true")
+    rows = batching.adaptive_batches(inputs.inference_windows(spark, sf_dir), 3, TICK)
     batches = rows.groupBy("model_id", "batch_id").agg(F.max("t_end").alias("ts"))
     known = inputs.registry(spark, sf_dir)
     versions = routing.asof_model(batches, known).drop("ts")
