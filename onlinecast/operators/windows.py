@@ -7,39 +7,81 @@ With readings ``v0 .. v(n-1)`` per stream, window ``k`` starts at reading ``k *
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.plans.joins import attach
-from onlinecast.plans.ordering import GROUP_ROWS, over_frame
+from onlinecast.plans.ordering import GROUP_ROWS, over_frame, top_rows, with_position
 
+STREAM = ["stream_id"]
 ORDER = ["ts", "event_id"]
+TAIL_SCHEMA = "stream_id int, pos long, ts timestamp, event_id long, value double"
+
+
+@dataclass(frozen=True)
+class WindowShape:
+    """Readings per window. A training window also has a target of ``forward_size`` readings,
+    ``forward_step`` after its last input, and waits for one more reading if ``wait_extra``."""
+
+    look_back: int
+    shift: int = 1
+    forward_step: int = 1
+    forward_size: int = 0
+    wait_extra: bool = True
+
+    @property
+    def training(self) -> bool:
+        return self.forward_size > 0
+
+    @property
+    def target(self) -> tuple[int, int]:
+        """First and last offset of the target."""
+        first = self.look_back + self.forward_step - 1
+        return first, first + self.forward_size - 1
+
+    @property
+    def needed(self) -> int:
+        """Readings from the window's start until it is complete."""
+        return self.target[1] + (2 if self.wait_extra else 1) if self.training else self.look_back
+
+    @property
+    def columns(self) -> list[str]:
+        return ["stream_id", "k", "t_end", "x"] + (["y"] if self.training else [])
+
+
+def _span(first: int, last: int, column: str = "value"):
+    return lambda w: F.collect_list(column).over(w.rowsBetween(first, last))
+
 
+def _framed(readings: DataFrame, shape: WindowShape, order: list[str], position: str | None, group_rows: int | None):
+    last = shape.needed - 1
+    columns = {
+        "x": _span(0, shape.look_back - 1),
+        "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, last)),
+        "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, last)),
+    }
+    if shape.training:
+        columns["y"] = _span(*shape.target)
+    if "fresh" in readings.columns:
+        columns["completed"] = lambda w: F.last("fresh").over(w.rowsBetween(0, last))
+    framed = over_frame(readings, STREAM, order, 0, last, columns, position, group_rows)
+    started = framed.where((F.col("pos") % shape.shift == 0) & (F.col("seen") == shape.needed))
+    return started.withColumn("k", F.floor(F.col("pos") / shape.shift))
 
-def _span(first: int, last: int):
-    return lambda w: F.collect_list("value").over(w.rowsBetween(first, last))
+
+def shaped_windows(readings: DataFrame, shape: WindowShape, group_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """All windows of a shape."""
+    slim = readings.select("stream_id", *ORDER, "value")
+    return _framed(slim, shape, ORDER, "pos", group_rows).select(*shape.columns)
 
 
 def lookback_windows(
     readings: DataFrame, look_back: int, shift: int = 1, group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """``look_back`` consecutive readings, emitted once all of them have arrived."""
-    framed = over_frame(
-        readings.select("stream_id", *ORDER, "value"),
-        ["stream_id"],
-        ORDER,
-        before=0,
-        after=look_back - 1,
-        columns={
-            "x": _span(0, look_back - 1),
-            "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, look_back - 1)),
-            "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, look_back - 1)),
-        },
-        position="pos",
-        group_rows=group_rows,
-    )
-    complete = (F.col("pos") % shift == 0) & (F.col("seen") == look_back)
-    return framed.where(complete).select("stream_id", F.floor(F.col("pos") / shift).alias("k"), "t_end", "x")
+    return shaped_windows(readings, WindowShape(look_back, shift), group_rows)
 
 
 def training_windows(
@@ -55,28 +97,29 @@ def training_windows(
 
     ``wait_extra`` holds a window until one reading beyond its target has arrived.
     """
-    first = look_back + forward_step - 1
-    last = first + forward_size - 1
-    needed = last + (2 if wait_extra else 1)
-    framed = over_frame(
-        readings.select("stream_id", *ORDER, "value"),
-        ["stream_id"],
-        ORDER,
-        before=0,
-        after=needed - 1,
-        columns={
-            "x": _span(0, look_back - 1),
-            "y": _span(first, last),
-            "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, needed - 1)),
-            "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, needed - 1)),
-        },
-        position="pos",
-        group_rows=group_rows,
+    shape = WindowShape(look_back, shift, forward_step, forward_size, wait_extra)
+    return shaped_windows(readings, shape, group_rows)
+
+
+def continued_windows(
+    fresh: DataFrame, tail: DataFrame, shape: WindowShape, group_rows: int | None = GROUP_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Windows that newly arrived readings complete, and the tail the next arrivals need.
+
+    ``tail`` holds the last readings of each stream with their positions, as this function left it.
+    """
+    slim = with_position(fresh.select("stream_id", *ORDER, "value"), STREAM, ORDER, "__at", group_rows)
+    tail = attach(tail, fresh.select("stream_id").distinct(), STREAM, "left_semi")
+    reached = tail.groupBy("stream_id").agg(F.max("pos").alias("__reached"))
+    placed = attach(slim, reached, STREAM, "left").withColumn(
+        "pos", F.coalesce(F.col("__reached") + 1, F.lit(0)) + F.col("__at")
     )
-    complete = (F.col("pos") % shift == 0) & (F.col("seen") == needed)
-    return framed.where(complete).select(
-        "stream_id", F.floor(F.col("pos") / shift).alias("k"), "t_end", "x", "y"
+    rows = tail.withColumn("fresh", F.lit(False)).unionByName(
+        placed.drop("__at", "__reached").withColumn("fresh", F.lit(True))
     )
+    windows = _framed(rows, shape, ["pos"], None, group_rows).where("completed")
+    kept = top_rows(rows, STREAM, [F.desc("pos")], max(1, shape.needed - 1), group_rows)
+    return windows.select(*shape.columns), kept.drop("fresh")
 
 
 def multi_stream_windows(
@@ -89,7 +132,7 @@ def multi_stream_windows(
     """
     framed = over_frame(
         readings.select("stream_id", *ORDER, "value"),
-        ["stream_id"],
+        STREAM,
         ORDER,
         before=0,
         after=look_back,
@@ -103,7 +146,7 @@ def multi_stream_windows(
     )
     ready = framed.where((F.col("pos") % shift == 0) & (F.col("seen") == look_back + 1))
     sizes = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("expected"))
-    blocks = attach(ready, members.join(sizes, "group_id"), ["stream_id"])
+    blocks = attach(ready, members.join(sizes, "group_id"), STREAM)
     grouped = blocks.groupBy("group_id", "expected", F.floor(F.col("pos") / shift).alias("k")).agg(
         F.array_sort(F.collect_list(F.struct("stream_id", "x"))).alias("blocks"), F.max("t_end").alias("t_end")
     )
@@ -116,9 +159,7 @@ def multi_stream_windows(
     )
 
 
-def model_windows(
-    readings: DataFrame, subscriptions: DataFrame, group_rows: int | None = GROUP_ROWS
-) -> DataFrame:
+def model_windows(readings: DataFrame, subscriptions: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Windows of every (model, stream), each model with its own shape.
 
     ``subscriptions(model_id, stream_id, look_back, shift, forward_step, forward_size)``; the two forward
@@ -132,40 +173,40 @@ def model_windows(
     shaped = subscriptions.withColumn("needed", needed.cast("int")).withColumn(
         "reach", F.pow(2, F.ceil(F.log2("needed"))).cast("int")
     )
-    reaches = sorted(row[0] for row in shaped.select("reach").distinct().limit(32).collect())
-    result = None
-    for reach in reaches:
-        mine = shaped.where(F.col("reach") == reach)
-        framed = over_frame(
-            attach(
-                readings.select("stream_id", *ORDER, "value"),
-                mine.select("stream_id").distinct(),
-                ["stream_id"],
-                "left_semi",
-            ),
-            ["stream_id"],
-            ORDER,
-            before=0,
-            after=reach - 1,
-            columns={
-                "span": _span(0, reach - 1),
-                "times": lambda w: F.collect_list("ts").over(w.rowsBetween(0, reach - 1)),
-            },
-            position="pos",
-            group_rows=group_rows,
-        ).drop("value", "event_id")
-        windows = (
-            attach(framed, mine, ["stream_id"])
-            .where((F.col("pos") % F.col("shift") == 0) & (F.size("span") >= F.col("needed")))
-            .select(
-                "model_id",
-                "stream_id",
-                F.when(training, "train").otherwise("infer").alias("mode"),
-                F.floor(F.col("pos") / F.col("shift")).alias("k"),
-                F.element_at("times", F.col("needed")).alias("t_end"),
-                F.slice("span", F.lit(1), F.col("look_back")).alias("x"),
-                F.when(training, F.slice("span", first + 1, F.col("forward_size"))).alias("y"),
-            )
+    reaches = sorted(row[0] for row in shaped.select("reach").distinct().collect())
+    classes = [
+        _class_windows(readings, shaped.where(F.col("reach") == reach), reach, training, first, group_rows)
+        for reach in reaches
+    ]
+    windows = classes[0]
+    for more in classes[1:]:
+        windows = windows.unionByName(more)
+    return windows
+
+
+def _class_windows(readings, subscriptions, reach, training, first, group_rows):
+    wanted = subscriptions.select("stream_id").distinct()
+    framed = over_frame(
+        attach(readings.select("stream_id", *ORDER, "value"), wanted, STREAM, "left_semi"),
+        STREAM,
+        ORDER,
+        before=0,
+        after=reach - 1,
+        columns={"span": _span(0, reach - 1), "times": _span(0, reach - 1, "ts")},
+        position="pos",
+        group_rows=group_rows,
+    ).drop("value", "event_id")
+    complete = (F.col("pos") % F.col("shift") == 0) & (F.size("span") >= F.col("needed"))
+    return (
+        attach(framed, subscriptions, STREAM)
+        .where(complete)
+        .select(
+            "model_id",
+            "stream_id",
+            F.when(training, "train").otherwise("infer").alias("mode"),
+            F.floor(F.col("pos") / F.col("shift")).alias("k"),
+            F.element_at("times", F.col("needed")).alias("t_end"),
+            F.slice("span", F.lit(1), F.col("look_back")).alias("x"),
+            F.when(training, F.slice("span", first + 1, F.col("forward_size"))).alias("y"),
         )
-        result = windows if result is None else result.unionByName(windows)
-    return result
+    )

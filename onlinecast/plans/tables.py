@@ -114,10 +114,13 @@ class VersionedTable:
         newest = parts.groupBy(*self.keys).agg(F.max("__version").alias("__version"))
         return parts.join(newest, [*self.keys, "__version"], "left_semi").drop("__version")
 
-    def write(self, changed: DataFrame, batch_id: int) -> None:
-        """Store the rows of the touched keys as version ``batch_id``."""
+    def has(self, batch_id: int) -> bool:
+        return batch_id in self._versions()
+
+    def write(self, changed: DataFrame, batch_id: int, whole: bool = False) -> None:
+        """Store the rows of the touched keys, or the whole table, as version ``batch_id``."""
         changed = changed.select(*self.schema.fieldNames())
-        if batch_id % self.compact == 0 and any(v < batch_id for v in self._versions()):
+        if not whole and batch_id % self.compact == 0 and any(v < batch_id for v in self._versions()):
             changed = written(changed, "state")
             kept = self.read(batch_id).join(changed.select(*self.keys).distinct(), self.keys, "left_anti")
             changed = changed.unionByName(kept)

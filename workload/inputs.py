@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from onlinecast.operators.analytics import number_results
 from onlinecast.operators.batching import adaptive_batches, fixed_batches
@@ -13,7 +16,10 @@ from onlinecast.operators.routing import subscriptions
 from onlinecast.operators.scoring import one_step_errors, result_documents, rolling_loss, score
 from onlinecast.operators.windows import lookback_windows, training_windows
 from onlinecast.plans.tables import new_path
+from onlinecast.sources import decode_readings, read_readings
 from onlinecast.sources.readings import PREFIX
+from onlinecast.sources.registry import deploy
+from onlinecast.streaming.state import JobPaths
 
 MODELS = 10
 TICK = 21600
@@ -63,6 +69,43 @@ def messages(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
     return path
 
 
+SLICES = 3
+
+
+def replay(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Deliver the messages in three slices of equal time; after each, run the query on what is new."""
+    events = table(spark, sf_dir, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    first, last = events.agg(F.min("at"), F.max("at")).first()
+    part = F.floor((F.col("at") - first) * SLICES / (last - first + 1))
+    path = new_path(spark, "messages")
+    for i in range(SLICES):
+        events.where(part == i).select(
+            F.concat(F.lit(PREFIX), F.col("user_id").cast("string")).alias("topic"),
+            F.col("ts").cast("timestamp").alias("ts"),
+            "event_id",
+            F.encode(F.col("value").cast("string"), "UTF-8").alias("payload"),
+        ).write.mode("append").parquet(path)
+        raw = read_readings(spark, "parquet", {"path": path}, streaming=True, schema=MESSAGE_SCHEMA)
+        start(decode_readings(raw)).awaitTermination()
+
+
+def job_paths(spark: SparkSession, name: str) -> JobPaths:
+    root = new_path(spark, name)
+    return JobPaths(f"{root}/state", f"{root}/checkpoint", f"{root}/registry", f"{root}/results")
+
+
+def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_of(readings(spark, sf_dir).select("stream_id").distinct())
+
+
+def deployed(spark: SparkSession, sf_dir: str, params: list[float], paths: JobPaths) -> None:
+    """Deploy the ten models with ``params``."""
+    found = memberships(spark, sf_dir).select("model_id").distinct()
+    created = F.timestamp_seconds(F.lit(1704067200))
+    rows = found.select("model_id", created.alias("create_time"), F.array(*[F.lit(p) for p in params]).alias("params"))
+    deploy(rows, paths.registry)
+
+
 MESSAGE_SCHEMA = "topic string, ts timestamp, event_id long, payload binary"
 
 

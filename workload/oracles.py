@@ -522,3 +522,27 @@ WITH {RESULTS}, p AS (
   FROM z WHERE preds IS NOT NULL)
 SELECT model_id, stream_id, seq, pos, round(pred, 6) AS pred, "true" FROM p
 QUALIFY row_number() OVER (PARTITION BY model_id, stream_id ORDER BY seq DESC, pos DESC) <= 20"""
+
+
+SLICED = """span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events)"""
+
+
+def slice_of(column: str) -> str:
+    return f"CAST((epoch_us({column}) - lo) * 3 // (hi - lo + 1) AS BIGINT)"
+
+
+ORACLES["lookback_windows_stream"] = ORACLES["lookback_windows"]
+ORACLES["training_windows_stream"] = ORACLES["sink_source_windows"]
+
+ORACLES["inference_job"] = f"""
+WITH {INFERENCE}, {SLICED}, b AS (
+  SELECT *, (place - 1) // 3 + run * {PER_TICK} AS batch_id, (place - 1) % 3 AS pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY model_id, run ORDER BY t_end, stream_id, k) AS place FROM (
+      SELECT w.*, stream_id % 10 AS model_id, {slice_of("t_end")} AS run FROM w, span))),
+s AS (SELECT *, (x[1] + x[2] + x[3]) / 3 AS pred, x[3] AS "true" FROM b), {errors('k', 'model_id, stream_id')}, a AS (
+  SELECT d.*, CASE WHEN loss IS NOT NULL THEN avg(loss) OVER (
+    PARTITION BY model_id, stream_id, loss IS NULL ORDER BY batch_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+  END AS average_loss FROM d)
+SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id) - 1 AS seq, batch_id, stream_id, n,
+       epoch_us(ts) AS ts, round(loss, 6) AS loss, round(average_loss, 6) AS average_loss
+FROM a"""

@@ -24,6 +24,9 @@ from onlinecast.sources import (
     write_windows,
 )
 from onlinecast.sources.readings import PREFIX
+from onlinecast import streaming
+from onlinecast.streaming import lookback_windows_stream as lookback_stream
+from onlinecast.streaming import training_windows_stream as training_stream
 from workload import inputs
 from workload.inputs import HOUR, INFERENCE, MESSAGE_SCHEMA, TICK, TRAINING
 
@@ -551,3 +554,105 @@ def merge_maxima(spark, sf_dir):
 def latest_points(spark, sf_dir):
     points = analytics.latest_points(analytics.series(inputs.results(spark, sf_dir)), 20)
     return points.select("model_id", long("stream_id"), "seq", long("pos"), r6("pred"), "true")
+
+
+# Streaming
+
+NOW = {"availableNow": True}
+
+
+@query
+def lookback_windows_stream(spark, sf_dir):
+    root = new_path(spark, "windows")
+
+    def start(readings):
+        windows = lookback_stream(readings, 5, 2)
+        writer = windows.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+        return writer.trigger(**NOW).start(f"{root}/table")
+
+    inputs.replay(spark, sf_dir, start)
+    return items(spark.read.parquet(f"{root}/table"), long("stream_id"), "k", micros("t_end"))
+
+
+@query
+def training_windows_stream(spark, sf_dir):
+    root = new_path(spark, "windows")
+
+    def start(readings):
+        windows = training_stream(readings, 3, 1, 2, 2)
+        return write_windows(windows, "parquet", {"path": f"{root}/table"}, f"{root}/checkpoint", trigger=NOW)
+
+    inputs.replay(spark, sf_dir, start)
+    schema = "t_end timestamp, record string"
+    back = read_windows(spark, 3, "parquet", {"path": f"{root}/table"}, streaming=False, schema=schema)
+    return items(back, long("stream_id"), micros("t_end"))
+
+
+@query
+def inference_job(spark, sf_dir):
+    paths = inputs.job_paths(spark, "inference")
+    inputs.deployed(spark, sf_dir, list(INFERENCE.init), paths)
+    members = inputs.memberships(spark, sf_dir)
+
+    def start(readings):
+        return streaming.inference_job(readings, members, INFERENCE, win.WindowShape(3), paths, trigger=NOW)
+
+    inputs.replay(spark, sf_dir, start)
+    return read_results(spark, paths.results).select(
+        "model_id", "seq", "batch_id", long("stream_id"), long(F.size("pred"), "n"), micros("ts"), r6("loss"), r6("average_loss")
+    )
+
+
+def trained(spark, sf_dir, start_job):
+    """Documents of a training job on the scaled readings."""
+    paths = inputs.job_paths(spark, "training")
+    inputs.deployed(spark, sf_dir, [0.5, 0.25, 0.1], paths)
+    members = inputs.memberships(spark, sf_dir)
+    shape = win.WindowShape(2, 1, 1, 1)
+
+    def start(readings):
+        scaled = readings.withColumn("value", F.col("value") / 100)
+        return start_job(scaled, members, TRAINING, shape, paths)
+
+    inputs.replay(spark, sf_dir, start)
+    return read_results(spark, paths.results).select(
+        "model_id", "seq", "batch_id", long("stream_id"), long(F.size("pred"), "n"), r6(F.array_max("pred"), "top"), r6("loss")
+    )
+
+
+@query
+def incremental_job(spark, sf_dir):
+    seconds = 20 * F.col("l_quantity") + 100 * F.col("l_tax")
+    rows = inputs.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % inputs.MODELS).alias("model_id"), F.col("l_quantity").alias("work"), seconds.alias("seconds")
+    )
+    cost = batching.fit_cost_model(rows)
+
+    def start(*args):
+        return streaming.incremental_job(*args[:4], cost, args[4], lr=0.05, trigger=NOW)
+
+    return trained(spark, sf_dir, start)
+
+
+@query
+def continual_job(spark, sf_dir):
+    def start(*args):
+        return streaming.continual_job(*args, lr=0.05, memory="ring", capacity=4, projection="average", trigger=NOW)
+
+    return trained(spark, sf_dir, start)
+
+
+@query
+def continual_job_similarity(spark, sf_dir):
+    def start(*args):
+        return streaming.continual_job(*args, lr=0.05, memory="similarity", capacity=8, optimizer="adam", trigger=NOW)
+
+    return trained(spark, sf_dir, start)
+
+
+@query
+def scheduled_continual_job(spark, sf_dir):
+    def start(*args):
+        return streaming.scheduled_continual_job(*args, lr=0.05, capacity=8, trigger=NOW)
+
+    return trained(spark, sf_dir, start)
