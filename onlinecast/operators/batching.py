@@ -96,7 +96,8 @@ def _best_rows(e: Column, rate: Column, slope: Column, intercept: Column, ratio:
     half = c / 2 - F.pow(b, F.lit(3)) / 27
     disc = half * half - F.pow(b / 3, F.lit(6))
     root = F.sqrt(F.greatest(disc, F.lit(0.0)))
-    return F.when(disc > 0, F.cbrt(half + root) + F.cbrt(half - root) - b / 3).otherwise(F.lit(-1.0))
+    larger = F.cbrt(F.when(half < 0, half - root).otherwise(half + root))
+    return F.when(disc > 0, larger + b * b / 9 / larger - b / 3).otherwise(F.lit(-1.0))
 
 
 def _cost(e: Column, d: Column, rate: Column, slope: Column, intercept: Column, ratio: Column) -> Column:
@@ -125,12 +126,15 @@ def training_budget(ticks: DataFrame, cost: DataFrame, method: str = "grid") ->
         choices = F.when(bound < 1, F.array(F.lit(1.0))).otherwise(
             F.array(F.floor(turn).cast("double"), F.least(F.ceil(turn).cast("double"), F.floor(bound).cast("double")), bound)
         )
+        sized = F.transform(
+            choices, lambda e: F.struct(e.alias("epochs"), _best_rows(e, rate, slope, intercept, ratio).alias("rows"))
+        )
         weighed = F.transform(
-            choices,
-            lambda e: F.struct(
-                _cost(e, _best_rows(e, rate, slope, intercept, ratio), rate, slope, intercept, ratio).alias("cost"),
-                e.alias("epochs"),
-                _best_rows(e, rate, slope, intercept, ratio).alias("rows"),
+            sized,
+            lambda c: F.struct(
+                _cost(c["epochs"], c["rows"], rate, slope, intercept, ratio).alias("cost"),
+                c["epochs"].alias("epochs"),
+                c["rows"].alias("rows"),
             ),
         )
         rows = rows.withColumn("__best", F.array_min(weighed))

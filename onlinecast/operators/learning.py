@@ -177,7 +177,7 @@ def _gram(memories: DataFrame) -> DataFrame:
         parts.groupBy("model_id", "stream_id", "other")
         .agg(F.sum("part").alias("part"))
         .groupBy("model_id", "stream_id")
-        .agg(F.array_sort(F.collect_list(F.struct("other", "part"))).alias("row"))
+        .agg(F.sort_array(F.collect_list(F.struct("other", "part"))).alias("row"))
         .select("model_id", "stream_id", F.col("row.part").alias("row"))
     )
 
@@ -245,7 +245,7 @@ def apply_update(
     ``momentum`` keeps the array ``m``; ``adam`` keeps ``m``, ``v`` and the step count ``t``. Missing state
     columns start at zero.
     """
-    flat = grads.groupBy("model_id").agg(F.array_sort(F.collect_list(F.struct("p", "g"))).alias("__pg"))
+    flat = grads.groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("p", "g"))).alias("__pg"))
     rows = params.join(flat.select("model_id", F.col("__pg.g").alias("__g")), "model_id", "left")
     moved = F.col("__g").isNotNull()
     zeros = F.transform("params", lambda w: F.lit(0.0))

@@ -106,7 +106,7 @@ def result_documents(scored: DataFrame, true: str = "true") -> DataFrame:
     pred = F.col("pred") if whole else F.slice("pred", 1, 1)
     actual = F.col(true) if whole else F.array(true)
     item = F.struct("pos", pred.alias("pred"), actual.alias("true"))
-    values = [F.array_sort(F.collect_list(item)).alias("__items"), F.max("t_end").alias("ts")]
+    values = [F.sort_array(F.collect_list(item)).alias("__items"), F.max("t_end").alias("ts")]
     if "sq_error" in scored.columns:
         values.append(F.sqrt(F.avg("sq_error")).alias("loss"))
     elif "loss" in scored.columns:

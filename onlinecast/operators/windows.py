@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.plans.joins import attach
-from onlinecast.plans.ordering import GROUP_ROWS, over_frame, top_rows, with_position
+from onlinecast.plans.ordering import GROUP_ROWS, top_rows, with_position
 
 STREAM = ["stream_id"]
 ORDER = ["ts", "event_id"]
+BLOCK = 1024
+LEAST_REACH = 64
 TAIL_SCHEMA = "stream_id int, pos long, ts timestamp, event_id long, value double"
 
 
@@ -51,30 +53,67 @@ class WindowShape:
         return ["stream_id", "k", "t_end", "x"] + (["y"] if self.training else [])
 
 
-def _span(first: int, last: int, column: str = "value"):
-    return lambda w: F.collect_list(column).over(w.rowsBetween(first, last))
+def _placed(readings: DataFrame, group_rows: int | None) -> DataFrame:
+    return with_position(readings.select("stream_id", *ORDER, "value"), STREAM, ORDER, "pos", group_rows)
 
 
-def _framed(readings: DataFrame, shape: WindowShape, order: list[str], position: str | None, group_rows: int | None):
-    last = shape.needed - 1
-    columns = {
-        "x": _span(0, shape.look_back - 1),
-        "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, last)),
-        "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, last)),
-    }
+def _blocks(placed: DataFrame, reach: int) -> DataFrame:
+    """Consecutive readings of each stream as arrays, a block per row.
+
+    A block also gets the ``reach - 1`` readings after it, so every window that starts in a block lies
+    within its row, and no row grows with the length of its stream.
+    """
+    size = max(BLOCK, 4 * reach)
+    first = F.floor(F.greatest(F.col("pos") - (reach - 1), F.lit(0)) / size)
+    parts = ["pos", "value", "ts"] + (["fresh"] if "fresh" in placed.columns else [])
+    spread = placed.withColumn("block", F.explode(F.sequence(first, F.floor(F.col("pos") / size))))
+    rows = spread.groupBy("stream_id", "block").agg(F.sort_array(F.collect_list(F.struct(*parts))).alias("rows"))
+    return rows.select(
+        "stream_id",
+        F.col("rows")[0]["pos"].alias("first"),
+        ((F.col("block") + 1) * size - 1).alias("last"),
+        F.col("rows.value").alias("value"),
+        F.col("rows.ts").alias("ts"),
+        *[F.col(f"rows.{c}").alias(c) for c in parts[3:]],
+    )
+
+
+def _starts(shift: Column, needed: Column) -> Column:
+    """The ``k`` of the windows that start in a block and are complete."""
+    earliest = F.ceil(F.col("first") / shift)
+    latest = F.floor(F.least(F.col("last"), F.col("first") + F.size("value") - needed) / shift)
+    return F.when(latest >= earliest, F.sequence(earliest, latest))
+
+
+def _part(column: str, shift: Column, offset: Column, length: Column) -> Column:
+    """``length`` values of a block from ``offset`` after the start of window ``k``."""
+    at = F.col("k") * shift - F.col("first") + offset + 1
+    return F.slice(column, at.cast("int"), length)
+
+
+def _item(column: str, shift: Column, offset: Column) -> Column:
+    return F.element_at(column, (F.col("k") * shift - F.col("first") + offset + 1).cast("int"))
+
+
+def _windows(placed: DataFrame, shape: WindowShape) -> DataFrame:
+    shift, needed = F.lit(shape.shift), F.lit(shape.needed)
+    started = _blocks(placed, shape.needed).withColumn("k", F.explode(_starts(shift, needed)))
+    if "fresh" in placed.columns:
+        started = started.where(_item("fresh", shift, needed - 1))
+    columns = [
+        "stream_id",
+        "k",
+        _item("ts", shift, needed - 1).alias("t_end"),
+        _part("value", shift, F.lit(0), F.lit(shape.look_back)).alias("x"),
+    ]
     if shape.training:
-        columns["y"] = _span(*shape.target)
-    if "fresh" in readings.columns:
-        columns["completed"] = lambda w: F.last("fresh").over(w.rowsBetween(0, last))
-    framed = over_frame(readings, STREAM, order, 0, last, columns, position, group_rows)
-    started = framed.where((F.col("pos") % shape.shift == 0) & (F.col("seen") == shape.needed))
-    return started.withColumn("k", F.floor(F.col("pos") / shape.shift))
+        columns.append(_part("value", shift, F.lit(shape.target[0]), F.lit(shape.forward_size)).alias("y"))
+    return started.select(*columns)
 
 
 def shaped_windows(readings: DataFrame, shape: WindowShape, group_rows: int | None = GROUP_ROWS) -> DataFrame:
     """All windows of a shape."""
-    slim = readings.select("stream_id", *ORDER, "value")
-    return _framed(slim, shape, ORDER, "pos", group_rows).select(*shape.columns)
+    return _windows(_placed(readings, group_rows), shape)
 
 
 def lookback_windows(
@@ -117,9 +156,8 @@ def continued_windows(
     rows = tail.withColumn("fresh", F.lit(False)).unionByName(
         placed.drop("__at", "__reached").withColumn("fresh", F.lit(True))
     )
-    windows = _framed(rows, shape, ["pos"], None, group_rows).where("completed")
     kept = top_rows(rows, STREAM, [F.desc("pos")], max(1, shape.needed - 1), group_rows)
-    return windows.select(*shape.columns), kept.drop("fresh")
+    return _windows(rows, shape), kept.drop("fresh")
 
 
 def multi_stream_windows(
@@ -130,25 +168,20 @@ def multi_stream_windows(
     ``members(group_id, stream_id)`` names the streams of each group. A window waits for one reading
     more than it holds, on every stream of its group. ``streams`` lists the blocks of ``x`` in order.
     """
-    framed = over_frame(
-        readings.select("stream_id", *ORDER, "value"),
-        STREAM,
-        ORDER,
-        before=0,
-        after=look_back,
-        columns={
-            "x": _span(0, look_back - 1),
-            "seen": lambda w: F.count(F.lit(1)).over(w.rowsBetween(0, look_back)),
-            "t_end": lambda w: F.last("ts").over(w.rowsBetween(0, look_back)),
-        },
-        position="pos",
-        group_rows=group_rows,
+    shift_by, needed = F.lit(shift), F.lit(look_back + 1)
+    started = _blocks(_placed(readings, group_rows), look_back + 1).withColumn(
+        "k", F.explode(_starts(shift_by, needed))
+    )
+    ready = started.select(
+        "stream_id",
+        "k",
+        _item("ts", shift_by, F.lit(look_back)).alias("t_end"),
+        _part("value", shift_by, F.lit(0), F.lit(look_back)).alias("x"),
     )
-    ready = framed.where((F.col("pos") % shift == 0) & (F.col("seen") == look_back + 1))
     sizes = members.groupBy("group_id").agg(F.count(F.lit(1)).alias("expected"))
     blocks = attach(ready, members.join(sizes, "group_id"), STREAM)
-    grouped = blocks.groupBy("group_id", "expected", F.floor(F.col("pos") / shift).alias("k")).agg(
-        F.array_sort(F.collect_list(F.struct("stream_id", "x"))).alias("blocks"), F.max("t_end").alias("t_end")
+    grouped = blocks.groupBy("group_id", "expected", "k").agg(
+        F.sort_array(F.collect_list(F.struct("stream_id", "x"))).alias("blocks"), F.max("t_end").alias("t_end")
     )
     return grouped.where(F.size("blocks") == F.col("expected")).select(
         "group_id",
@@ -163,50 +196,31 @@ def model_windows(readings: DataFrame, subscriptions: DataFrame, group_rows: int
     """Windows of every (model, stream), each model with its own shape.
 
     ``subscriptions(model_id, stream_id, look_back, shift, forward_step, forward_size)``; the two forward
-    columns are null for inference. Frames are literals, so models are grouped by the power of two that
-    covers their reach; each class frames the streams it needs once, and its models cut their windows
-    out of that frame.
+    columns are null for inference. Blocks must cover the longest reach, so models are grouped by the
+    power of two that covers theirs; the blocks of a class are made once for all its models.
     """
     training = F.col("forward_step").isNotNull()
-    first = F.col("look_back") + F.col("forward_step") - 1
-    needed = F.when(training, first + F.col("forward_size") + 1).otherwise(F.col("look_back"))
-    shaped = subscriptions.withColumn("needed", needed.cast("int")).withColumn(
-        "reach", F.pow(2, F.ceil(F.log2("needed"))).cast("int")
+    target = F.col("look_back") + F.col("forward_step") - 1
+    needed = F.when(training, target + F.col("forward_size") + 1).otherwise(F.col("look_back"))
+    shaped = subscriptions.withColumn("needed", needed).withColumn(
+        "reach", F.greatest(F.lit(LEAST_REACH), F.pow(2, F.ceil(F.log2("needed"))).cast("int"))
     )
-    reaches = sorted(row[0] for row in shaped.select("reach").distinct().collect())
-    classes = [
-        _class_windows(readings, shaped.where(F.col("reach") == reach), reach, training, first, group_rows)
-        for reach in reaches
-    ]
-    windows = classes[0]
-    for more in classes[1:]:
-        windows = windows.unionByName(more)
-    return windows
-
-
-def _class_windows(readings, subscriptions, reach, training, first, group_rows):
-    wanted = subscriptions.select("stream_id").distinct()
-    framed = over_frame(
-        attach(readings.select("stream_id", *ORDER, "value"), wanted, STREAM, "left_semi"),
-        STREAM,
-        ORDER,
-        before=0,
-        after=reach - 1,
-        columns={"span": _span(0, reach - 1), "times": _span(0, reach - 1, "ts")},
-        position="pos",
-        group_rows=group_rows,
-    ).drop("value", "event_id")
-    complete = (F.col("pos") % F.col("shift") == 0) & (F.size("span") >= F.col("needed"))
-    return (
-        attach(framed, subscriptions, STREAM)
-        .where(complete)
-        .select(
+    placed = _placed(attach(readings, shaped.select("stream_id").distinct(), STREAM, "left_semi"), group_rows)
+    result = None
+    for reach in sorted(row[0] for row in shaped.select("reach").distinct().collect()):
+        mine = shaped.where(F.col("reach") == reach)
+        wanted = attach(placed, mine.select("stream_id").distinct(), STREAM, "left_semi")
+        started = attach(_blocks(wanted, reach), mine, STREAM).withColumn(
+            "k", F.explode(_starts(F.col("shift"), F.col("needed")))
+        )
+        windows = started.select(
             "model_id",
             "stream_id",
             F.when(training, "train").otherwise("infer").alias("mode"),
-            F.floor(F.col("pos") / F.col("shift")).alias("k"),
-            F.element_at("times", F.col("needed")).alias("t_end"),
-            F.slice("span", F.lit(1), F.col("look_back")).alias("x"),
-            F.when(training, F.slice("span", first + 1, F.col("forward_size"))).alias("y"),
+            "k",
+            _item("ts", F.col("shift"), F.col("needed") - 1).alias("t_end"),
+            _part("value", F.col("shift"), F.lit(0), F.col("look_back")).alias("x"),
+            F.when(training, _part("value", F.col("shift"), target, F.col("forward_size"))).alias("y"),
         )
-    )
+        result = windows if result is None else result.unionByName(windows)
+    return result
