@@ -20,7 +20,7 @@ from onlinecast.plans.joins import attach
 from onlinecast.plans.tables import written
 
 MAX_STREAMS = 1024
-GRAM_BLOCK = 256
+GRAM_BLOCK = 2048
 FLUSH_GROUPS = 1000
 
 # Fixed values of the projection.
@@ -145,41 +145,29 @@ def _project_average(current: DataFrame, memories: DataFrame) -> DataFrame:
 
 
 def _gram(memories: DataFrame) -> DataFrame:
-    """Dot products of all memory gradients of a model, as one row (matrix row) per stream.
+    """Dot products of each memory gradient with all of its model, in the order of their streams.
 
     Each task multiplies the gradients over a block of parameters; the blocks are summed.
     """
-    schema = T.StructType(
-        [
-            memories.schema["model_id"],
-            T.StructField("stream_id", memories.schema["stream_id"].dataType),
-            T.StructField("other", memories.schema["stream_id"].dataType),
-            T.StructField("part", T.DoubleType()),
-        ]
-    )
+    ids = [memories.schema["model_id"], memories.schema["stream_id"]]
+    schema = T.StructType([*ids, T.StructField("row", T.ArrayType(T.DoubleType()))])
 
     def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot(index="stream_id", columns="p", values="g").fillna(0.0)
-        gram = wide.to_numpy() @ wide.to_numpy().T
-        ids = wide.index.to_numpy()
+        wide = pdf.pivot(index="stream_id", columns="p", values="g")
+        values = wide.to_numpy()
         return pd.DataFrame(
-            {
-                "model_id": pdf["model_id"].iloc[0],
-                "stream_id": np.repeat(ids, len(ids)),
-                "other": np.tile(ids, len(ids)),
-                "part": gram.ravel(),
-            }
+            {"model_id": pdf["model_id"].iloc[0], "stream_id": wide.index, "row": list(values @ values.T)}
         )
 
     blocks = memories.withColumn("__block", F.floor(F.col("p") / GRAM_BLOCK))
-    parts = blocks.groupBy("model_id", "__block").applyInPandas(lambda pdf: multiply(pdf), schema)
-    return (
-        parts.groupBy("model_id", "stream_id", "other")
-        .agg(F.sum("part").alias("part"))
-        .groupBy("model_id", "stream_id")
-        .agg(F.sort_array(F.collect_list(F.struct("other", "part"))).alias("row"))
-        .select("model_id", "stream_id", F.col("row.part").alias("row"))
+    rows = blocks.groupBy("model_id", "__block").applyInPandas(multiply, schema)
+    rows = rows.groupBy("model_id", "stream_id").agg(F.collect_list("row").alias("rows"))
+    total = F.aggregate(
+        F.slice("rows", F.lit(2), F.size("rows")),
+        F.col("rows")[0],
+        lambda a, b: F.zip_with(a, b, lambda p, q: p + q),
     )
+    return rows.select("model_id", "stream_id", total.alias("row"))
 
 
 def _multipliers(gram: DataFrame, dots: DataFrame, margin: float, ridge: float) -> DataFrame:

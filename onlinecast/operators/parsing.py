@@ -28,5 +28,5 @@ def observed_value(x: str = "x") -> Column:
 def results_for_model(results: DataFrame, subscriptions: DataFrame) -> DataFrame:
     """Documents whose stream belongs to their model, and all update markers."""
     pairs = subscriptions.select("model_id", "stream_id").distinct()
-    kept = attach(results.where(F.col("stream_id").isNotNull()), pairs, ["model_id", "stream_id"], "left_semi")
-    return kept.unionByName(results.where(F.col("stream_id").isNull()))
+    marked = attach(results, pairs.withColumn("__own", F.lit(True)), ["model_id", "stream_id"], "left")
+    return marked.where(F.col("__own") | F.col("stream_id").isNull()).select(results.columns)

@@ -83,24 +83,24 @@ def rolling_loss(losses: DataFrame, n: int = 3, scope: str = "stream", group_row
         "stream": (["model_id", "stream_id"], ["batch_id"]),
         "model": (["model_id"], ["batch_id", "stream_id"]),
     }[scope]
-    known = over_frame(
-        losses.where(F.col("loss").isNotNull()),
-        keys,
+    # Rows without a loss form groups of their own, so the frames of the others skip them.
+    return over_frame(
+        losses.withColumn("__unknown", F.col("loss").isNull()),
+        [*keys, "__unknown"],
         order,
         before=n - 1,
         after=0,
         columns={"average_loss": lambda w: F.avg("loss").over(w.rowsBetween(-(n - 1), 0))},
         group_rows=group_rows,
-    )
-    unknown = losses.where(F.col("loss").isNull()).withColumn("average_loss", F.lit(None).cast("double"))
-    return known.unionByName(unknown)
+    ).drop("__unknown")
 
 
 def result_documents(scored: DataFrame, true: str = "true") -> DataFrame:
     """One document per (batch, stream): predictions and true values in order, and the loss if known.
 
     ``true`` names the observed value, or the target array of training windows. With ``sq_error`` present
-    the loss is its root mean; with ``loss`` present (one value per batch) that is kept.
+    the loss is its root mean; with ``loss`` present (one value per batch) that is kept. A column ``part``
+    divides a (batch, stream) that is too long for one document.
     """
     whole = isinstance(scored.schema[true].dataType, T.ArrayType)
     pred = F.col("pred") if whole else F.slice("pred", 1, 1)
@@ -111,7 +111,8 @@ def result_documents(scored: DataFrame, true: str = "true") -> DataFrame:
         values.append(F.sqrt(F.avg("sq_error")).alias("loss"))
     elif "loss" in scored.columns:
         values.append(F.max("loss").alias("loss"))
-    grouped = scored.groupBy(*DOCUMENT).agg(*values)
+    parts = [c for c in ("part",) if c in scored.columns]
+    grouped = scored.groupBy(*DOCUMENT, *parts).agg(*values)
     return grouped.withColumns(
         {"pred": F.flatten("__items.pred"), "true": F.flatten("__items.true")}
     ).drop("__items")

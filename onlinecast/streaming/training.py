@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,7 +37,7 @@ ERRORS = "model_id long, at timestamp, errors array<double>"
 RING_NAMES = ("ring", "ringbuffer", "ring_buffer")
 SIMILARITY_NAMES = ("similarity", "cossim")
 
-Learn = Callable[[DataFrame, DataFrame, int], DataFrame]
+DOCUMENT_ROWS = 10_000
 
 
 class _Trainer:
@@ -110,8 +108,11 @@ class _Trainer:
         return rows.where("publish").select("model_id", "update_time", "loss")
 
     def _document(self, windows, before, losses, publications, batch_id) -> None:
-        spread = with_position(windows, PAIR, ["t_end", "k"], "pos").withColumn("pos", F.col("pos").cast("int"))
-        rows = score(spread.withColumn("batch_id", F.lit(batch_id).cast("long")), before, self.spec)
+        at = with_position(windows.withColumn("batch_id", F.lit(batch_id).cast("long")), PAIR, ["t_end", "k"], "__at")
+        at = at.withColumns(
+            {"part": F.floor(F.col("__at") / DOCUMENT_ROWS), "pos": (F.col("__at") % DOCUMENT_ROWS).cast("int")}
+        )
+        rows = score(at.drop("__at"), before, self.spec)
         documents = result_documents(attach(rows, losses, ["model_id"]), true="y")
         markers = publications.select(
             "model_id",
@@ -122,12 +123,12 @@ class _Trainer:
         numbered = with_position(
             documents.unionByName(markers, allowMissingColumns=True).withColumn("__late", F.col("stream_id").isNull()),
             ["model_id"],
-            ["__late", "stream_id"],
+            ["__late", "stream_id", "part"],
             "__at",
         )
         numbered = attach(numbered, self.counts.read(batch_id), ["model_id"], "left")
         numbered = numbered.withColumn("seq", F.coalesce("documents", F.lit(0)) + F.col("__at"))
-        numbered = written(numbered.drop("__at", "__late", "documents"), "numbered")
+        numbered = written(numbered.drop("__at", "__late", "part", "documents"), "numbered")
         self.counts.write(numbered.groupBy("model_id").agg((F.max("seq") + 1).alias("documents")), batch_id)
         append_results(numbered, self.paths.results, batch_id)
 
