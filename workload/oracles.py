@@ -546,3 +546,62 @@ s AS (SELECT *, (x[1] + x[2] + x[3]) / 3 AS pred, x[3] AS "true" FROM b), {error
 SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id) - 1 AS seq, batch_id, stream_id, n,
        epoch_us(ts) AS ts, round(loss, 6) AS loss, round(average_loss, 6) AS average_loss
 FROM a"""
+
+
+def training_step(b: int) -> str:
+    """Parameters after micro-batch ``b``: a gradient step, turned away from the mean memory gradient."""
+
+    def grads(source: str, keys: str, name: str) -> str:
+        return f"""{name} AS (
+  SELECT {keys}, q, avg(2 * (w1 * x[1] + w2 * x[2] + w3 - y[1]) * CASE q WHEN 1 THEN x[1] WHEN 2 THEN x[2] ELSE 1 END) AS g
+  FROM {source} JOIN p{b} USING (model_id), (SELECT unnest([1, 2, 3]) AS q) GROUP BY {keys}, q)"""
+
+    return f"""now{b} AS (SELECT * FROM arrived WHERE run = {b}),
+{grads(f"now{b}", "model_id", f"g{b}")},
+held{b} AS (SELECT * FROM arrived WHERE run < {b}
+  QUALIFY row_number() OVER (PARTITION BY model_id, stream_id ORDER BY t_end DESC, k DESC) <= 4),
+{grads(f"held{b}", "model_id, stream_id", f"h{b}")},
+m{b} AS (SELECT model_id, q, avg(g) AS m FROM h{b} GROUP BY 1, 2),
+d{b} AS (SELECT model_id, q, g, m, sum(g * m) OVER (PARTITION BY model_id) AS gm, sum(m * m) OVER (PARTITION BY model_id) AS mm
+  FROM g{b} LEFT JOIN m{b} USING (model_id, q)),
+t{b} AS (SELECT model_id, q, 0.05 * CASE WHEN gm < 0 THEN g - gm / mm * m ELSE g END AS move FROM d{b}),
+p{b + 1} AS (
+  SELECT model_id, w1 - max(move) FILTER (WHERE q = 1) AS w1, w2 - max(move) FILTER (WHERE q = 2) AS w2,
+         w3 - max(move) FILTER (WHERE q = 3) AS w3
+  FROM p{b} JOIN t{b} USING (model_id) GROUP BY model_id, w1, w2, w3),
+l{b} AS (SELECT model_id, avg((w1 * x[1] + w2 * x[2] + w3 - y[1]) ** 2) AS loss, count(*) AS held
+  FROM now{b} JOIN p{b + 1} USING (model_id) GROUP BY 1),
+o{b} AS (
+  SELECT model_id, CAST({b} AS BIGINT) AS batch_id, stream_id, count(*) AS n, max(w1 * x[1] + w2 * x[2] + w3) AS top
+  FROM now{b} JOIN p{b} USING (model_id) GROUP BY model_id, stream_id)"""
+
+
+ORACLES["continual_job"] = f"""
+WITH RECURSIVE {LEARNING}, {SLICED},
+arrived AS (SELECT l.*, {slice_of("t_end")} AS run FROM l, span),
+p0 AS (SELECT DISTINCT model_id, CAST(0.5 AS DOUBLE) AS w1, CAST(0.25 AS DOUBLE) AS w2, CAST(0.1 AS DOUBLE) AS w3 FROM l),
+{training_step(0)},
+{training_step(1)},
+{training_step(2)},
+spent AS (
+  SELECT *, sum(held) OVER (PARTITION BY model_id ORDER BY i) AS rows_seen, sum(loss) OVER (PARTITION BY model_id ORDER BY i) AS loss_seen
+  FROM (SELECT model_id, 0 AS i, 0 AS held, 0 AS loss FROM p0 UNION ALL SELECT model_id, 1, held, loss FROM l0
+        UNION ALL SELECT model_id, 2, held, loss FROM l1 UNION ALL SELECT model_id, 3, held, loss FROM l2)),
+steps AS (
+  SELECT model_id, 0 AS i, 0 AS dropped, CAST(NULL AS DOUBLE) AS mean_loss FROM p0
+  UNION ALL
+  SELECT s.model_id, n.i, CASE WHEN n.rows_seen - o.rows_seen >= 288 THEN s.dropped + 1 ELSE s.dropped END,
+         CASE WHEN n.rows_seen - o.rows_seen >= 288 THEN (n.loss_seen - o.loss_seen) / (n.i - s.dropped) END
+  FROM steps s JOIN spent n ON n.model_id = s.model_id AND n.i = s.i + 1
+  JOIN spent o ON o.model_id = s.model_id AND o.i = s.dropped),
+published AS (
+  SELECT model_id, i - 1 AS batch_id FROM (
+    SELECT *, min(mean_loss) OVER (PARTITION BY model_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM steps)
+  WHERE mean_loss < least(10000, best)),
+written AS (
+  SELECT o0.*, loss FROM o0 JOIN l0 USING (model_id) UNION ALL SELECT o1.*, loss FROM o1 JOIN l1 USING (model_id)
+  UNION ALL SELECT o2.*, loss FROM o2 JOIN l2 USING (model_id)
+  UNION ALL SELECT model_id, batch_id, NULL, NULL, NULL, NULL FROM published)
+SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id NULLS LAST) - 1 AS seq, batch_id, stream_id, n,
+       round(top, 6) AS top, round(loss, 6) AS loss
+FROM written"""
