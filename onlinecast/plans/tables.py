@@ -51,8 +51,13 @@ def is_scan(df: DataFrame) -> bool:
 
 
 def settled(df: DataFrame, limit: int) -> DataFrame:
-    """``df`` for repeated use: written once if it reads more than ``limit`` bytes and is not a plain scan."""
-    return df if input_bytes(df) <= limit or is_scan(df) else written(df)
+    """``df`` for repeated use: written once if it reads more than ``limit`` bytes and is not a plain scan.
+
+    Frames with arrays are not written: what is counted on them leaves the arrays out, so evaluating
+    them again costs less than storing them.
+    """
+    wide = any(isinstance(f.dataType, T.ArrayType) for f in df.schema)
+    return df if wide or input_bytes(df) <= limit or is_scan(df) else written(df)
 
 
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
@@ -87,15 +92,14 @@ class VersionedTable:
         self.schema = T.StructType.fromDDL(schema)
 
     def _versions(self) -> list[int]:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        """Versions that were written completely."""
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        root = hadoop_path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
             return []
-        return sorted(
-            int(entry.getPath().getName())
-            for entry in fs.listStatus(root)
-            if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
-        )
+        folders = [entry.getPath() for entry in fs.listStatus(root)]
+        return sorted(int(f.getName().split("=")[1]) for f in folders if fs.exists(hadoop_path(f, "_SUCCESS")))
 
     def read(self, before: int | None = None) -> DataFrame:
         """Rows valid just before batch ``before`` (all batches when None)."""
@@ -104,15 +108,12 @@ class VersionedTable:
         versions = [v for v in versions if not full or v >= full[-1]]
         if not versions:
             return empty(self.spark, self.schema)
-        parts = None
-        for v in versions:
-            part = self.spark.read.schema(self.schema).parquet(f"{self.path}/{v}")
-            part = part.withColumn("__version", F.lit(v))
-            parts = part if parts is None else parts.unionByName(part)
-        if len(versions) == 1:
-            return parts.drop("__version")
-        newest = parts.groupBy(*self.keys).agg(F.max("__version").alias("__version"))
-        return parts.join(newest, [*self.keys, "__version"], "left_semi").drop("__version")
+        dated = T.StructType([*self.schema.fields, T.StructField("version", T.LongType())])
+        rows = self.spark.read.schema(dated).parquet(self.path).where(F.col("version").isin(versions))
+        if len(versions) > 1:
+            newest = rows.groupBy(*self.keys).agg(F.max("version").alias("version"))
+            rows = rows.join(newest, [*self.keys, "version"], "left_semi")
+        return rows.drop("version")
 
     def has(self, batch_id: int) -> bool:
         return batch_id in self._versions()
@@ -124,4 +125,4 @@ class VersionedTable:
             changed = written(changed, "state")
             kept = self.read(batch_id).join(changed.select(*self.keys).distinct(), self.keys, "left_anti")
             changed = changed.unionByName(kept)
-        changed.write.mode("overwrite").parquet(f"{self.path}/{batch_id}")
+        changed.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")

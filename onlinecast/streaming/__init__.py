@@ -2,7 +2,7 @@
 
 from onlinecast.streaming.inference import inference_job
 from onlinecast.streaming.training import continual_job, incremental_job, scheduled_continual_job
-from onlinecast.streaming.windows import lookback_windows_stream, training_windows_stream
+from onlinecast.streaming.windows import lookback_windows_stream, training_windows_stream, windows_job
 
 __all__ = [
     "continual_job",
@@ -11,4 +11,5 @@ __all__ = [
     "lookback_windows_stream",
     "scheduled_continual_job",
     "training_windows_stream",
+    "windows_job",
 ]

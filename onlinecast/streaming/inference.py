@@ -45,7 +45,7 @@ def inference_job(
     """
     spark = readings.sparkSession
     tails = paths.table(spark, "tails", TAIL_SCHEMA, ["stream_id"])
-    used = paths.table(spark, "models", "model_id long, version long, params array<double>", ["model_id"])
+    used = paths.table(spark, "models", "model_id long, model_version long, params array<double>", ["model_id"])
     carry = {"stream": PAIR, "model": ["model_id"]}[scope]
     newest_first = [F.desc("batch_id"), F.desc("stream_id")]
     last_scored = paths.table(spark, "scored", SCORED, carry)
@@ -57,8 +57,9 @@ def inference_job(
         earlier_models = used.read(batch_id)
         if not used.has(batch_id):
             newest = current_models(read_registry(spark, paths.registry))
-            known = earlier_models.select("model_id", "version")
-            used.write(newest.join(known, ["model_id", "version"], "left_anti"), batch_id)
+            newest = newest.withColumnRenamed("version", "model_version")
+            known = earlier_models.select("model_id", "model_version")
+            used.write(newest.join(known, ["model_id", "model_version"], "left_anti"), batch_id)
         models = used.read(batch_id + 1)
 
         windows, tail = continued_windows(batch, tails.read(batch_id), shape)

@@ -192,10 +192,10 @@ def learning_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed_batches(learning_windows(spark, sf_dir), 30)
 
 
-def parameters(windows: DataFrame) -> DataFrame:
-    """The starting parameters for every model of ``windows``."""
+def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The starting parameters of the ten models."""
     start = F.array(F.lit(0.5), F.lit(0.25), F.lit(0.1))
-    return windows.select("model_id").distinct().withColumn("params", start)
+    return memberships(spark, sf_dir).select("model_id").distinct().withColumn("params", start)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

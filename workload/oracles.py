@@ -533,6 +533,7 @@ def slice_of(column: str) -> str:
 
 ORACLES["lookback_windows_stream"] = ORACLES["lookback_windows"]
 ORACLES["training_windows_stream"] = ORACLES["sink_source_windows"]
+ORACLES["windows_job"] = ORACLES["training_windows"]
 
 ORACLES["inference_job"] = f"""
 WITH {INFERENCE}, {SLICED}, b AS (

@@ -392,7 +392,7 @@ def result_documents(spark, sf_dir):
 @query
 def losses(spark, sf_dir):
     windows = inputs.learning_windows(spark, sf_dir)
-    rows = scoring.score(windows, inputs.parameters(windows), TRAINING)
+    rows = scoring.score(windows, inputs.parameters(spark, sf_dir), TRAINING)
     return rows.groupBy("model_id").agg(
         r6(scoring.loss("mse"), "mse"), r6(scoring.loss("mae"), "mae")
     )
@@ -404,14 +404,14 @@ def losses(spark, sf_dir):
 @query
 def gradient(spark, sf_dir):
     batches = inputs.learning_batches(spark, sf_dir)
-    grads = learning.gradient(batches, inputs.parameters(batches), TRAINING, ["model_id", "batch_id"])
+    grads = learning.gradient(batches, inputs.parameters(spark, sf_dir), TRAINING, ["model_id", "batch_id"])
     return grads.select("model_id", "batch_id", long("p"), r6("g"))
 
 
 @query
 def fit_epochs(spark, sf_dir):
     windows = inputs.learning_windows(spark, sf_dir)
-    fitted = learning.fit_epochs(windows, inputs.parameters(windows), TRAINING, 2, 0.05)
+    fitted = learning.fit_epochs(windows, inputs.parameters(spark, sf_dir), TRAINING, 2, 0.05)
     return fitted.select("model_id", r6("loss"), F.posexplode("params").alias("p", "w")).select(
         "model_id", "loss", long("p"), r6("w")
     )
@@ -445,7 +445,7 @@ def variance_gate(spark, sf_dir):
 def latest_gradients(spark, sf_dir):
     """Gradients on the windows of the last batch and on the ring memory."""
     batches = written(inputs.learning_batches(spark, sf_dir), "batches")
-    params = inputs.parameters(batches)
+    params = inputs.parameters(spark, sf_dir)
     last = batches.groupBy("model_id").agg(F.max("batch_id").alias("batch_id"))
     current = learning.gradient(batches.join(last, ["model_id", "batch_id"]), params, TRAINING)
     kept = memory.ring_memory(None, batches, 3)
@@ -500,7 +500,7 @@ def promotion_gate_varying(spark, sf_dir):
 def user_model(spark, sf_dir):
     spec = mlp_model(2, 4)
     windows = inputs.learning_windows(spark, sf_dir)
-    start = windows.select("model_id").distinct().withColumn("params", F.array(*[F.lit(v) for v in spec.init]))
+    start = inputs.parameters(spark, sf_dir).withColumn("params", F.array(*[F.lit(v) for v in spec.init]))
     moved = learning.apply_update(start, learning.gradient(windows, start, spec), 0.05)
     return learning.evaluate(windows, moved, spec)
 
@@ -588,6 +588,14 @@ def training_windows_stream(spark, sf_dir):
     return items(back, long("stream_id"), micros("t_end"))
 
 
+@query
+def windows_job(spark, sf_dir):
+    paths = inputs.job_paths(spark, "windows")
+    shape = win.WindowShape(4, 3, 2, 3)
+    inputs.replay(spark, sf_dir, lambda readings: streaming.windows_job(readings, shape, paths, NOW))
+    return items(spark.read.parquet(paths.results), long("stream_id"), "k", micros("t_end"))
+
+
 @query
 def inference_job(spark, sf_dir):
     paths = inputs.job_paths(spark, "inference")
