@@ -69,7 +69,10 @@ def runs(
             stats = df.groupBy(*group).agg(
                 F.count(F.lit(1)).alias("__n"), F.min(number).alias("__lo"), F.max(number).alias("__hi")
             )
-            wide = written(stats.where((F.col("__n") > group_rows) & (F.col("__hi") > F.col("__lo"))), "cuts")
+            large = written(stats.where(F.col("__n") > group_rows), "cuts")
+            if large.isEmpty():
+                return df, cuts
+            wide = large.where(F.col("__hi") > F.col("__lo"))
             if wide.isEmpty():
                 break
             cut = f"__run{len(cuts)}"
