@@ -99,7 +99,3 @@ def gated_memory(memory: DataFrame, candidate: DataFrame, gate: DataFrame) -> Da
     accepted = gate.where("accepted").select(*STREAM)
     fresh = attach(candidate.select(*COLUMNS), accepted, STREAM, "left_semi")
     return fresh.unionByName(attach(memory.select(*COLUMNS), accepted, STREAM, "left_anti"))
-
-
-def memory_size(memory: DataFrame) -> DataFrame:
-    return memory.groupBy(*STREAM).agg(F.count(F.lit(1)).alias("rows"))

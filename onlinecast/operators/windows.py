@@ -48,10 +48,6 @@ class WindowShape:
         """Readings from the window's start until it is complete."""
         return self.target[1] + (2 if self.wait_extra else 1) if self.training else self.look_back
 
-    @property
-    def columns(self) -> list[str]:
-        return ["stream_id", "k", "t_end", "x"] + (["y"] if self.training else [])
-
 
 def _placed(readings: DataFrame, group_rows: int | None) -> DataFrame:
     return with_position(readings.select("stream_id", *ORDER, "value"), STREAM, ORDER, "pos", group_rows)

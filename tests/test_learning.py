@@ -5,7 +5,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from onlinecast.operators import batching, learning, memory, promotion
 from onlinecast.operators.models import ModelSpec, linear_model, mlp_model, register_model, registered_model
