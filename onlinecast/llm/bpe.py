@@ -12,7 +12,8 @@ A word that is itself in the vocabulary gets its rank at once, as the tokenizer'
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
@@ -20,13 +21,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from onlinecast.llm.common import append, column
 
-WORDS_A_BLOCK = 400_000
+BLOCK_WORDS = 400_000
 CORPUS_WORDS = 16_384
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 LONG_TEXT = 1 << 20
 
 
@@ -113,6 +113,66 @@ class Replayer:
         return [packed[i:j] for i, j in zip(begins.tolist(), limits.tolist(), strict=True)]
 
 
+class Encoder:
+    """Ids of texts, with the replayer and the words a Python worker has met so far."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.replayer, self.pattern = Replayer(ranks), regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+
+    def _cut(self, text: str) -> Iterator[list[str]]:
+        """Words of a text; those of a long text in several lists."""
+        if len(text) <= LONG_TEXT:
+            yield self.pattern.findall(text)
+            return
+        found = self.pattern.finditer(text)
+        while words := [m.group() for m in islice(found, BLOCK_WORDS)]:
+            yield words
+
+    def _learn(self, lists: list[list[str]]) -> None:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = list(set().union(*lists).difference(self.known))
+        self.known.update(zip(new, self.replayer.encode([w.encode() for w in new]), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if sum(map(len, texts)) <= 4 * LONG_TEXT:
+            lists = [self.pattern.findall(t) for t in texts]
+            self._learn(lists)
+            return [b"".join([self.known[w] for w in words]) for words in lists]
+        out = []
+        for text in texts:
+            parts = []
+            for words in self._cut(text):
+                self._learn([words])
+                parts.append(b"".join([self.known[w] for w in words]))
+            out.append(b"".join(parts))
+        return out
+
+
+def encoder(docs: DataFrame, ranks_path: str, pattern: str, text: str) -> Callable[[pa.RecordBatch], list[bytes]]:
+    # One state for each Python worker: what it has encoded serves its later tasks.
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(ranks_path)})
+
+    def encode_batch(batch: pa.RecordBatch) -> list[bytes]:
+        state = shared.value
+        if "encoder" not in state:
+            state["encoder"] = Encoder(state["ranks"], pattern)
+        return state["encoder"].encode([x or "" for x in column(batch, text).to_pylist()])
+
+    return encode_batch
+
+
+def decoder(df: DataFrame, ranks_path: str) -> Callable[[list[bytes]], list[bytes]]:
+    shared = df.sparkSession.sparkContext.broadcast({rank: token for token, rank in read_ranks(ranks_path).items()})
+
+    def decode_ids(packed: list[bytes]) -> list[bytes]:
+        token = shared.value
+        return [b"".join([token[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in packed]
+
+    return decode_ids
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Token ids of every text.
 
@@ -121,76 +181,42 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
     to carry on (all when None); columns called ``n_tokens`` or ``ids`` are replaced. The file at ``ranks_path``
     is read on the driver and sent to the tasks: it is as large as the vocabulary, whatever the corpus.
     """
-    shared = docs.sparkSession.sparkContext.broadcast({"ranks": read_ranks(ranks_path)})
-
-    def cut(value: str) -> Iterator[list[str]]:
-        """Words of a text; those of a long text in several lists."""
-        compiled = regex.compile(pattern)
-        if len(value) <= LONG_TEXT:
-            yield compiled.findall(value)
-            return
-        found = compiled.finditer(value)
-        while words := [m.group() for m in islice(found, WORDS_A_BLOCK)]:
-            yield words
+    encode_batch = encoder(docs, ranks_path, pattern, text)
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        state = shared.value  # one per Python worker, so what a worker has encoded serves its later tasks
-        if "replayer" not in state:
-            state["replayer"], state["known"] = Replayer(state["ranks"]), {}
-        known: dict[str, bytes] = state["known"]
-        done: list[bytes] = []
-        open_rows: list[tuple[list[str], bool]] = []
-        kept: list[bytes] = []
-        waiting = 0
-
-        def flush() -> None:
-            if len(known) > REMEMBERED:
-                known.clear()
-            new = list(set().union(*(words for words, _ in open_rows)).difference(known))
-            known.update(zip(new, state["replayer"].encode([w.encode() for w in new]), strict=True))
-            for words, last in open_rows:
-                kept.append(b"".join([known[w] for w in words]))
-                if last:
-                    done.append(b"".join(kept))
-                    kept.clear()
-            open_rows.clear()
-
-        for value in column(batch, text):
-            for words in cut(value.as_py() or ""):
-                open_rows.append((words, False))
-                waiting += len(words)
-                if waiting >= WORDS_A_BLOCK:
-                    flush()
-                    waiting = 0
-            open_rows.append(([], True))
-        flush()
-        return {
-            "n_tokens": pa.array([len(x) // 4 for x in done], pa.int64()),
-            "ids": pa.array(done, pa.binary()),
-        }
+        ids = encode_batch(batch)
+        return {"n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
 
-    return append(docs, "n_tokens long, ids binary", add, keep)
+    return append(docs, "n_tokens long, ids binary", add, keep, text)
 
 
 def decode(tokens: DataFrame, ranks_path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """Bytes of every list of token ids (as ``encode`` writes them), in a column ``decoded``; null ids give none."""
-    ranks = tokens.sparkSession.sparkContext.broadcast({rank: token for token, rank in read_ranks(ranks_path).items()})
+    decode_ids = decoder(tokens, ranks_path)
+
+    def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        packed = [x or b"" for x in column(batch, ids).to_pylist()]
+        return {"decoded": pa.array(decode_ids(packed), pa.binary())}
+
+    return append(tokens, "decoded binary", add, keep, ids)
+
+
+def digests(
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Encode every text, decode its ids, and add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
+
+    The digests are lower-case hex, of the ids as ``encode`` packs them and of the decoded bytes. Both
+    directions run in one task, so neither ids nor bytes leave it. Nulls and names are as in ``encode``.
+    """
+    encode_batch, decode_ids = encoder(docs, ranks_path, pattern, text), decoder(docs, ranks_path)
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        token = ranks.value
-        packed = [x.as_py() or b"" for x in column(batch, ids)]
-        return {"decoded": pa.array([b"".join([token[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in packed], pa.binary())}
-
-    return append(tokens, "decoded binary", add, keep)
-
-
-def encoded_digests(docs: DataFrame, ranks_path: str, pattern: str, keep: list[str]) -> DataFrame:
-    """``keep``, the number of tokens, and SHA-256 of the ids and of the bytes that decoding them gives."""
-    tokens = encode(docs, ranks_path, pattern, keep=keep)
-    return decode(tokens, ranks_path, keep=[*keep, "n_tokens", "ids"]).select(
-        *keep,
-        "n_tokens",
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        "ids",
-    )
+        ids = encode_batch(batch)
+        return {
+            "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+            "ids_sha256": pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
+            "decoded_sha256": pa.array([sha256(x).hexdigest() for x in decode_ids(ids)], pa.string()),
+        }
+
+    return append(docs, "n_tokens long, ids_sha256 string, decoded_sha256 string", add, keep, text)

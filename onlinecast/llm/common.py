@@ -15,19 +15,29 @@ ODD = 0x9E3779B97F4A7C15
 
 
 def append(
-    df: DataFrame, fields: str, add: Callable[[pa.RecordBatch], dict[str, pa.Array]], keep: list[str] | None = None
+    df: DataFrame,
+    fields: str,
+    add: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    keep: list[str] | None = None,
+    by: str | None = None,
 ) -> DataFrame:
-    """``df`` with the columns that ``add`` makes of each Arrow batch; a column of the same name is replaced."""
+    """``df`` with the columns that ``add`` makes of each Arrow batch; a column of the same name is replaced.
+
+    ``by`` names a text column: batches are then cut into slices of ``BLOCK_BYTES`` of it (or one row).
+    """
     new = T.StructType.fromDDL(fields)
     names = new.fieldNames()
     kept = [c for c in (df.columns if keep is None else keep) if c not in names]
     schema = T.StructType([*[df.schema[c] for c in kept], *new.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = add(batch)
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept] + [made[n] for n in names]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
+        for whole in batches:
+            slices = row_blocks(text_buffer(column(whole, by))[1]) if by else [(0, len(whole))]
+            for first, last in slices:
+                batch = whole.slice(first, last - first)
+                made = add(batch)
+                arrays = [column(batch, c) for c in kept] + [made[n] for n in names]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *names])
 
     return df.mapInArrow(run, schema)
 
