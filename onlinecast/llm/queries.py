@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from onlinecast.llm import bpe
+from pyspark.sql import functions as F
+
+from onlinecast.llm import bpe, langid, toxicity
+from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -16,12 +19,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs), keep=["doc_id"])
+    held_out = F.coalesce(remainder_of("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(remainder_of("doc_id", 5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encoded_digests(docs, RANKS, public_tokenizers.PATTERN, ["doc_id"]).drop("ids")
+    return bpe.digests(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language": op2_language,
+    "op8_toxicity": op8_toxicity,
     "op10_bpe": op10_bpe,
 }
