@@ -6,10 +6,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from onlinecast.plans.tables import new_path, size_bound
+
 BLOCK_BYTES = 4 << 20
 ODD = 0x9E3779B97F4A7C15
 
@@ -127,3 +129,24 @@ def words_of(data: np.ndarray, offsets: np.ndarray, word: np.ndarray) -> tuple[n
 def remainder_of(id_column: str, modulus: int):
     """crc32 of the id as text modulo ``modulus``; null ids have none."""
     return F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(modulus))
+
+
+class Scratch:
+    """Tables of one call in the folder all executors share; they cut lineage and can be dropped one by one."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root = spark, new_path(spark, name)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small_side(df: DataFrame, limit: int = 16 << 20) -> DataFrame:
+    """``df``, to be broadcast if all its rows together are within ``limit`` bytes, else as it is."""
+    return F.broadcast(df) if size_bound(df) <= limit else df

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, langid, toxicity
+from onlinecast.llm import bpe, jaccard, langid, toxicity
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,6 +27,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similar shingle sets."""
+    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -43,6 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
+    "op6_jaccard": op6_jaccard,
     "op8_toxicity": op8_toxicity,
     "op10_bpe": op10_bpe,
 }
