@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, jaccard, langid, toxicity
+from onlinecast.llm import bpe, jaccard, langid, repeats, toxicity
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +32,11 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 200 bytes."""
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from four fifths of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,6 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op6_jaccard": op6_jaccard,
+    "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
     "op10_bpe": op10_bpe,
 }
