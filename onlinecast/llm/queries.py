@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, jaccard, langid, repeats, toxicity
+from onlinecast.llm import bpe, jaccard, langid, lattice, repeats, toxicity
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -45,6 +45,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-duplicate vectors with equal labels."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,5 +61,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard": op6_jaccard,
     "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
+    "op9_lattice": op9_lattice,
     "op10_bpe": op10_bpe,
 }
