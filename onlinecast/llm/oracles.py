@@ -1,3 +1,22 @@
 """DuckDB SQL that the queries of this subpackage must agree with, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+# Base 32 of the 160 bits of a SHA-1: every 5 hexadecimal digits are 4 characters.
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, {5 * i + 1}, 5))::BIGINT >> {shift}) & 31) + 1)::BIGINT, 1)"
+    for i in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+ORACLES: dict[str, str] = {
+    "op1_warc": f"""
+        WITH page AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+        ), placed AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS largest FROM page
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {BASE32} AS payload_digest,
+            CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> largest THEN largest END AS refers_to
+        FROM placed
+    """,
+}

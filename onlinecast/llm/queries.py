@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, jaccard, langid, lattice, repeats, toxicity
+from onlinecast.llm import bpe, decontaminate, jaccard, langid, lattice, repeats, toxicity, warc
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from archives written anew."""
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents")
@@ -27,6 +35,12 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark passage in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of similar shingle sets."""
     return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,7 +71,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_language": op2_language,
+    "op5_decontaminate": op5_decontaminate,
     "op6_jaccard": op6_jaccard,
     "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
