@@ -202,21 +202,23 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "ids", keep: list[str]
 
 
 def digests(
-    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None, ids: bool = False
 ) -> DataFrame:
     """Encode every text, decode its ids, and add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
 
     The digests are lower-case hex, of the ids as ``encode`` packs them and of the decoded bytes. Both
-    directions run in one task, so neither ids nor bytes leave it. Nulls and names are as in ``encode``.
+    directions run in one task, so bytes do not leave it, and ids (as a column ``ids``) only when asked for. Nulls and names are as in ``encode``.
     """
     encode_batch, decode_ids = encoder(docs, ranks_path, pattern, text), decoder(docs, ranks_path)
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        ids = encode_batch(batch)
-        return {
-            "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-            "ids_sha256": pa.array([sha256(x).hexdigest() for x in ids], pa.string()),
-            "decoded_sha256": pa.array([sha256(x).hexdigest() for x in decode_ids(ids)], pa.string()),
+        packed = encode_batch(batch)
+        made = {
+            "n_tokens": pa.array([len(x) // 4 for x in packed], pa.int64()),
+            "ids_sha256": pa.array([sha256(x).hexdigest() for x in packed], pa.string()),
+            "decoded_sha256": pa.array([sha256(x).hexdigest() for x in decode_ids(packed)], pa.string()),
         }
+        return made | {"ids": pa.array(packed, pa.binary())} if ids else made
 
-    return append(docs, "n_tokens long, ids_sha256 string, decoded_sha256 string", add, keep, text)
+    fields = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids
+    return append(docs, fields, add, keep, text)

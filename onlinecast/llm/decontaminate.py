@@ -181,20 +181,20 @@ def item_blocks(benchmark: DataFrame, key: str, text: str) -> list[list]:
 
 def with_hits(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "item_id", item_text: str = "text",
-    q: int = GRAM, window: int = WINDOW, step: int = STEP, rate: float = RATE,
+    q: int = GRAM, window: int = WINDOW, step: int = STEP, rate: float = RATE, name: str = "hits",
 ) -> DataFrame:
-    """``docs`` with ``hits``: the items that each text holds, in order of item and place.
+    """``docs`` with a column ``name``: the items that each text holds, in order of item and place.
 
     A hit has ``item_id``, ``start`` and ``end`` in bytes of the UTF-8 text, and ``edits``. An item is held if one
     of its windows (of ``window`` characters, every ``step`` from its begin and at its end; the whole item if it
     is shorter) occurs with at most ``rate`` edits per character, and so few that a q-gram must be shared.
     Items with fewer than ``q`` characters and null items are never found; a null or empty text holds none.
     Hits of an item that overlap are one. Repeated rows get the same hits, repeated items are one, of equal texts with
-    several ids each is reported. A column ``hits`` is replaced, all others are kept.
+    several ids each is reported. A column of that name is replaced, all others are kept.
     """
-    name = benchmark.schema[key].dataType.simpleString()
-    kind = T.ArrayType(T.StructType.fromDDL(f"`{key}` {name}, start long, end long, edits int"))
-    out = docs.drop("hits")
+    id_type = benchmark.schema[key].dataType.simpleString()
+    kind = T.ArrayType(T.StructType.fromDDL(f"`{key}` {id_type}, start long, end long, edits int"))
+    out = docs.drop(name)
     columns = list(out.columns)
     parts: list[str] = []
     for block, items in enumerate(item_blocks(benchmark, key, item_text)):
@@ -203,7 +203,9 @@ def with_hits(
         keys = [r["key"] for r in rows]
         state: dict = {}
 
-        def add(batch: pa.RecordBatch, shared=shared, keys=keys, state=state) -> dict[str, pa.Array]:
+        part = f"__hits{block}"
+
+        def add(batch: pa.RecordBatch, part=part, shared=shared, keys=keys, state=state) -> dict[str, pa.Array]:
             if not state:
                 state["passages"], state["roller"] = Passages(shared.value, q, window, step, rate), Roller()
             passages, roller = state["passages"], state["roller"]
@@ -220,13 +222,12 @@ def with_hits(
                         shift = at - int(offsets[first + row])
                         found[first + row].append((item, lo + shift, hi + shift, edits))
             lists = [[{**hit, key: keys[hit.pop("item")]} for hit in merged(f)] for f in found]
-            return {"hits": pa.array(lists, to_arrow_type(kind))}
+            return {part: pa.array(lists, to_arrow_type(kind))}
 
-        name = f"__hits{block}"
-        out = append(out, f"hits {kind.simpleString()}", add, None, text).withColumnRenamed("hits", name)
-        parts.append(name)
+        out = append(out, f"{part} {kind.simpleString()}", add, None, text)
+        parts.append(part)
     hits = F.array_sort(F.concat(*parts)) if parts else F.array().cast(kind)
-    return out.select(*columns, hits.alias("hits"))
+    return out.select(*columns, hits.alias(name))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
@@ -237,4 +238,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> DataFrame:
     """``docs`` without the rows that hold an item."""
-    return with_hits(docs, benchmark, text, item).where(F.size("hits") == 0).select(*docs.columns)
+    marked = with_hits(docs, benchmark, text, item, name="__found")
+    return marked.where(F.size("__found") == 0).select(*docs.columns)

@@ -19,4 +19,32 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id <> largest THEN largest END AS refers_to
         FROM placed
     """,
+    "op3_perspectives": """
+        WITH said AS (
+            SELECT conv_id, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content,
+                row_number() OVER (
+                    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')
+                ) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), views AS (
+            SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'
+        ), seen AS (
+            SELECT conv_id, perspective, pos // 64 AS part, pos, content, speaker = perspective AS own,
+                CASE WHEN speaker = perspective THEN '<|assistant|>' || chr(10)
+                    WHEN speaker = 'system' THEN '<|system|>' || chr(10)
+                    ELSE '<|user|>' || speaker || chr(10) END AS head
+            FROM said JOIN views USING (conv_id)
+        ), laid AS (
+            SELECT *, head || content || '<|end|>' || chr(10) AS piece,
+                sum(length(head) + length(content) + 8) OVER (
+                    PARTITION BY conv_id, perspective, part ORDER BY pos
+                ) - length(content) - 8 AS start
+            FROM seen
+        )
+        SELECT conv_id, perspective, part::INTEGER AS part, count(*) AS n_messages,
+            string_agg(piece, '' ORDER BY pos) AS text,
+            coalesce(string_agg(start || '-' || (start + length(content)), ',' ORDER BY pos) FILTER (WHERE own), '') AS mask,
+            coalesce(sum(length(content)) FILTER (WHERE own), 0)::BIGINT AS n_trained
+        FROM laid GROUP BY conv_id, perspective, part
+    """,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, decontaminate, extract, jaccard, langid, lattice, repeats, toxicity, warc
+from onlinecast.llm import bpe, chat, decontaminate, extract, jaccard, langid, lattice, repeats, toxicity, warc
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -35,6 +35,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the view of every participant."""
+    found = chat.perspectives(table(spark, sf_dir, "conversations"))
+    span = F.transform("mask", lambda m: F.concat_ws("-", m["start"], m["end"]))
+    return found.withColumn("mask", F.array_join(span, ","))
+
+
 def op4_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
@@ -79,6 +86,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
+    "op3_perspectives": op3_perspectives,
     "op4_extract": op4_extract,
     "op5_decontaminate": op5_decontaminate,
     "op6_jaccard": op6_jaccard,

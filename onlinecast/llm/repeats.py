@@ -222,17 +222,18 @@ def spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
     return scratch.write(merged, "spans")
 
 
-def with_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``docs`` with ``spans``: the byte ranges of the UTF-8 text, in order, that the operator removes.
+def with_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, name: str = "spans") -> DataFrame:
+    """``docs`` with a column ``name`` (start, end): the byte ranges of the UTF-8 text, in order, that the operator removes.
 
     A byte is in a span if it lies in a string of ``length`` bytes that also starts at another place of any row,
     the same one included. Null and shorter texts have no spans (null); copies of a row count as other
-    rows. Columns of the names used here (``spans``, ``tid``) are replaced, all others kept.
+    rows. A column of that name is replaced, all others are kept.
     """
-    docs = docs.drop("spans", "tid").withColumn("tid", F.xxhash64(F.lit(7), text))
-    texts = docs.where(F.octet_length(text) >= length).select("tid", F.col(text).alias("text"))
+    docs = docs.drop(name).withColumn("__tid", F.xxhash64(F.lit(7), text))
+    texts = docs.where(F.octet_length(text) >= length).select(F.col("__tid").alias("tid"), F.col(text).alias("text"))
     found = spans(texts, Scratch(docs.sparkSession, "repeats"), length)
-    return docs.join(small_side(found, 32 << 20), "tid", "left").drop("tid")
+    found = found.select(F.col("tid").alias("__tid"), F.col("spans").alias(name))
+    return docs.join(small_side(found, 32 << 20), "__tid", "left").drop("__tid")
 
 
 def kept_bytes(data: bytes, ranges: list[dict] | None) -> bytes:
@@ -268,10 +269,10 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -
     What a cut leaves of a character is dropped. A row of which nothing but white space is left goes; a row that
     nothing was taken from stays as it is.
     """
-    marked = with_repeats(docs, text, length)
+    marked = with_repeats(docs, text, length, "__spans")
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        values, ranges = column(batch, text), column(batch, "spans").to_pylist()
+        values, ranges = column(batch, text), column(batch, "__spans").to_pylist()
         out = [
             v.as_py() if not r else kept_bytes(v.as_py().encode(), r).decode("utf-8", "ignore")
             for v, r in zip(values, ranges, strict=True)

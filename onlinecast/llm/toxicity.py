@@ -182,10 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     return rows.repartition(1).mapInArrow(train, "model binary").first()[0]
 
 
-def score(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
-    """Add ``score`` (0 to 1, higher: likelier toxic) to every row; a null or empty text gets that of no terms.
+def score(docs: DataFrame, model: bytes, text: str = "text", name: str = "score") -> DataFrame:
+    """Add ``name`` (0 to 1, higher: likelier toxic) to every row; a null or empty text gets that of no terms.
 
-    Each row is scored from its whole text alone. Columns called ``score`` are replaced, all others are kept.
+    Each row is scored from its whole text alone. A column of that name is replaced, all others are kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -193,9 +193,9 @@ def score(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
         machine = FactorizationMachine.unpacked(shared.value)
         parts = [machine.margins(n, rows, features) for n, rows, features in features_of(column(batch, text))]
         margins = np.concatenate([np.zeros(0), *parts])
-        return {"score": pa.array(1 / (1 + np.exp(-np.clip(margins, -500, 500))), pa.float64())}
+        return {name: pa.array(1 / (1 + np.exp(-np.clip(margins, -500, 500))), pa.float64())}
 
-    return append(docs, "score double", add, by=text)
+    return append(docs, f"`{name}` double", add, by=text)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -206,3 +206,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     """
     scored = score(docs, fit(docs, labels, sample))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` without the rows that are likelier toxic than not."""
+    scored = score(docs, fit(docs, labels, sample), name="__toxicity")
+    return scored.where(F.col("__toxicity") < 0.5).select(*docs.columns)
