@@ -1,8 +1,60 @@
-"""Stages that turn raw documents into tokens."""
+"""From raw documents to tokens: each stage works on what the one before it kept."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
+
+import onlinecast
+from onlinecast.llm import bpe, decontaminate, jaccard, repeats, toxicity
+from onlinecast.llm.common import Scratch
+
+cloudpickle.register_pickle_by_value(onlinecast)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    return jaccard.representatives(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without strings of 200 bytes that start at several places; those of which nothing is left go."""
+    return repeats.without_repeats(docs)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, with digests of them and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(docs, path, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source"], ids=True)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near_duplicates", one_of_each),
+    ("repeats", without_repeats),
+    ("decontamination", without_benchmarks),
+    ("tokens", tokens),
+]
+
+# No SQL: learned scores, byte positions and merges. The stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return None
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what each keeps is written to the shared folder and read again."""
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.write(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
