@@ -26,12 +26,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Smallest node ``component`` reachable from each ``node`` that has a link.
 
     ``edges`` has u and v; direction, repeats and loops do not matter. Every round is two joins on a table
     written to the shared folder; the number of rounds grows with the logarithm of the longest path.
     """
+    scratch = Scratch(edges.sparkSession, "components")
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now, round_no, before = scratch.write(now, "edges0"), 0, None
     while True:

@@ -194,7 +194,7 @@ def class_links(docs: DataFrame, scratch: Scratch, text: str = "text", percent:
     stars = prefix.join(first, "token").where((F.col("class") != F.col("u")) & like("nu", "size"))
     stars = scratch.write(stars.select("u", F.col("class").alias("v")).distinct(), "stars")
     links = scratch.write(verified(stars, kept, percent), "star_links")
-    found = scratch.write(components(links, scratch), "components")
+    found = scratch.write(components(links), "components")
 
     placed = prefix.join(found.withColumnRenamed("node", "class"), "class", "left")
     placed = placed.withColumn("component", F.coalesce("component", "class"))
@@ -209,7 +209,7 @@ def class_links(docs: DataFrame, scratch: Scratch, text: str = "text", percent:
     if more.isEmpty():
         return found
     contracted = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return components(contracted.union(more), scratch)
+    return components(contracted.union(more))
 
 
 def linked(

@@ -195,7 +195,7 @@ def near_duplicates(
     distinct = scratch.write(hashed(distinct.withColumn("size", F.size("embedding")), tables, probes, cosine), "vectors")
     found = scratch.write(linked_pairs(meetings(distinct, probes, scratch), distinct, probes, cosine), "links")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
-    parts = components(found.select(F.col("class").alias("u"), F.col("least").alias("v")), scratch)
+    parts = components(found.select(F.col("class").alias("u"), F.col("least").alias("v")))
     named = distinct.select("class", "copies", "least_key").join(links, "class", "left")
     named = named.join(parts.withColumnRenamed("node", "class"), "class", "left")
     named = named.withColumn("component", F.coalesce("component", "class"))
