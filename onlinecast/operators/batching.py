@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from onlinecast.plans.joins import attach
 from onlinecast.plans.ordering import GROUP_ROWS, over_frame, with_position
@@ -18,19 +15,21 @@ PER_TICK = 1 << 31
 ERROR_WEIGHT = 60000.0
 ERROR_MEMORY = 5
 FIRST_ERROR = 0.3
-STEP_SHRINK = 0.99
-STEP_WIDTH = 1e-2
-STEP_LIMIT = 1e-10
 
 
-def fixed_batches(windows: DataFrame, size: int, group_rows: int | None = GROUP_ROWS) -> DataFrame:
-    """Batches of exactly ``size`` windows per model in arrival order; an incomplete tail is left out."""
+def fixed_batches(
+    windows: DataFrame, size: int, group_rows: int | None = GROUP_ROWS, keep_tail: bool = False
+) -> DataFrame:
+    """Batches of ``size`` windows per model in arrival order; an incomplete last one only with ``keep_tail``."""
     placed = with_position(windows, ["model_id"], ARRIVAL, "__at", group_rows)
     placed = placed.withColumn("batch_id", F.floor(F.col("__at") / size)).withColumn(
         "pos", (F.col("__at") % size).cast("int")
     )
-    filled = F.count(F.lit(1)).over(Window.partitionBy("model_id", "batch_id"))
-    return placed.withColumn("__filled", filled).where(F.col("__filled") == size).drop("__at", "__filled")
+    if keep_tail:
+        return placed.drop("__at")
+    held = windows.groupBy("model_id").agg(F.count(F.lit(1)).alias("__held"))
+    placed = attach(placed, held, ["model_id"])
+    return placed.where((F.col("batch_id") + 1) * size <= F.col("__held")).drop("__at", "__held")
 
 
 def adaptive_batches(
@@ -108,9 +107,9 @@ def training_budget(ticks: DataFrame, cost: DataFrame, method: str = "grid") ->
     """Epochs and rows to train on in each tick.
 
     ``ticks(model_id, tick, rate, elapsed, backlog, error, recent_error)``, ``cost`` from ``fit_cost_model``.
-    ``grid`` takes the best whole epoch in [1, bound] or the bound itself. The cost falls until
-    sqrt(M*ratio/slope)/(intercept*rate) epochs and rises after it, so only the whole epochs next to that
-    point need to be compared. ``descent`` is the shrinking-step search from the bound.
+    The cost falls until sqrt(M*ratio/slope)/(intercept*rate) epochs and rises after it. ``grid`` takes the
+    best whole epoch in [1, bound] or the bound itself, so only those next to that point need to be compared.
+    ``real`` takes the point itself, or the end of [1, bound] next to it.
     """
     rows = attach(ticks, cost, ["model_id"]).withColumnRenamed("slope", "__b").withColumnRenamed("intercept", "__b1")
     rate, slope, intercept = F.col("rate"), F.col("__b"), F.col("__b1")
@@ -120,8 +119,8 @@ def training_budget(ticks: DataFrame, cost: DataFrame, method: str = "grid") ->
     )
     rows = rows.withColumn("__bound", (F.col("elapsed") - intercept) / (slope * rate * F.col("elapsed")))
     ratio, bound = F.col("__ratio"), F.col("__bound")
+    turn = F.when(intercept > 0, F.sqrt(ERROR_WEIGHT * ratio / slope) / (intercept * rate)).otherwise(bound)
     if method == "grid":
-        turn = F.when(intercept > 0, F.sqrt(ERROR_WEIGHT * ratio / slope) / (intercept * rate)).otherwise(bound)
         turn = F.least(F.greatest(turn, F.lit(1.0)), bound)
         choices = F.when(bound < 1, F.array(F.lit(1.0))).otherwise(
             F.array(F.floor(turn).cast("double"), F.least(F.ceil(turn).cast("double"), F.floor(bound).cast("double")), bound)
@@ -138,8 +137,10 @@ def training_budget(ticks: DataFrame, cost: DataFrame, method: str = "grid") ->
             ),
         )
         rows = rows.withColumn("__best", F.array_min(weighed))
-    elif method == "descent":
-        rows = rows.withColumn("__best", _descend(rate, slope, intercept, ratio, bound))
+    elif method == "real":
+        epochs = F.greatest(F.least(turn, bound), F.lit(1.0))
+        best = F.struct(epochs.alias("epochs"), _best_rows(epochs, rate, slope, intercept, ratio).alias("rows"))
+        rows = rows.withColumn("__best", best)
     else:
         raise ValueError(f"unknown method {method!r}")
     size = F.greatest(F.floor("__best.rows"), F.lit(1))
@@ -149,40 +150,3 @@ def training_budget(ticks: DataFrame, cost: DataFrame, method: str = "grid") ->
         .withColumn("wait_seconds", F.greatest((size - F.col("backlog")) / rate, F.lit(0.0)))
         .drop("__b", "__b1", "__ratio", "__bound", "__best")
     )
-
-
-@F.pandas_udf(T.StructType([T.StructField("epochs", T.DoubleType()), T.StructField("rows", T.DoubleType())]))
-def _descend(
-    rate: pd.Series, slope: pd.Series, intercept: pd.Series, ratio: pd.Series, bound: pd.Series
-) -> pd.DataFrame:
-    """Downhill steps of shrinking size from the bound, for all ticks of a batch at once.
-
-    Kept as the search is known to behave: the second cube root is taken of the first one, so its
-    batch sizes differ a little from the exact root that ``grid`` uses.
-    """
-    ld, b, b1, r, top = (s.to_numpy(float) for s in (rate, slope, intercept, ratio, bound))
-
-    def size(e):
-        lin = ld * (b * e - b1)
-        const = -ld * ERROR_WEIGHT * r / e
-        q, h = -(lin**2) / 9, (-27 * const - 2 * lin**3) / 54
-        disc = q**3 + h**2
-        root = np.sqrt(np.maximum(disc, 0))
-        s = np.cbrt(h + root)
-        t = np.where(s < 0, np.cbrt(h - root), np.cbrt(s))
-        return np.where(disc > 0, s + t - lin / 3, -1.0)
-
-    def cost(e):
-        d = size(e)
-        return d**2 / ld / 2 + d * e * b - b1 * d + ERROR_WEIGHT * r / e / d
-
-    x, before, step = top.copy(), np.full(len(top), -1.0), 1.0
-    moving = np.abs(x - before) > STEP_LIMIT
-    while moving.any():
-        step *= STEP_SHRINK
-        slope_at = (cost(x + STEP_WIDTH) - cost(x)) / STEP_WIDTH
-        before = np.where(moving, x, before)
-        moved = np.maximum(np.minimum(x - step * slope_at, top), 1.0)
-        x = np.where(moving, moved, x)
-        moving = moving & (np.abs(x - before) > STEP_LIMIT)
-    return pd.DataFrame({"epochs": x, "rows": size(x)})

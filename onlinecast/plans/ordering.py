@@ -2,10 +2,10 @@
 
 A plain ``Window.partitionBy(keys)`` sends each group to one task. That is the right plan while
 groups are small, and every function here uses it then. When a count finds groups above
-``group_rows`` rows, the group is cut into consecutive runs along its order columns, the window
-works per run, and what earlier runs contribute (a count, a last value) is joined in. Inputs too
-small to hold such a group are not counted, so their plans stay lazy; ``group_rows=None`` says the
-same of larger ones.
+``group_rows`` rows, the rows are dealt to range partitions by ``(keys, order)`` and written once with
+the number of their partition. A group is then a row of consecutive runs, the window works per run, and
+what earlier runs contribute (a count, a last value) is joined in. This holds for every type and any spread of
+the order columns. ``group_rows=None`` says that groups are known to be small; nothing is counted then.
 """
 
 from __future__ import annotations
@@ -17,74 +17,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from onlinecast.plans.joins import attach, salt
-from onlinecast.plans.tables import input_bytes, settled, written
+from onlinecast.plans.tables import settled, written
 
 GROUP_ROWS = 1_000_000
-ROW_BYTES = 8
-ROUNDS = 3
-FINER = 4
+SETTLE_BYTES = 8 << 20
+RUN = "__run"
 
 
 def hot_groups(
     df: DataFrame, keys: list[str], group_rows: int | None = GROUP_ROWS
 ) -> tuple[DataFrame, bool]:
     """``df``, ready to be evaluated again, and whether a group has more than ``group_rows`` rows."""
-    if group_rows is None or input_bytes(df) <= group_rows * ROW_BYTES:
+    if group_rows is None:
         return df, False
-    df = settled(df, group_rows * ROW_BYTES)
+    df = settled(df, SETTLE_BYTES)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return df, not sizes.where(F.col("n") > group_rows).isEmpty()
 
 
-def _number(df: DataFrame, name: str) -> Column | None:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("long")
-    if isinstance(kind, T.IntegralType):
-        return F.col(name).cast("long")
-    if isinstance(kind, (T.FractionalType, T.DecimalType)):
-        return F.col(name).cast("double")
-    return None
-
-
 def runs(
     df: DataFrame, keys: list[str], order: list[str], group_rows: int | None = GROUP_ROWS
 ) -> tuple[DataFrame, list[str]]:
-    """Cut groups above ``group_rows`` into runs; returns the frame and the run columns.
+    """Cut groups into consecutive runs if one is above ``group_rows``; returns the frame and the run columns.
 
-    Run columns rise with the order columns, and are absent when no group is too large. Equal-width
-    cuts are repeated on runs that stay too large (bursts), then made on the next order column
-    (ties). The cut never changes a result, only how many rows share a task.
+    A run is what a range partition holds of a group, so runs rise with the order columns whatever their
+    types. Rows with equal order columns may be in neighbouring runs. There are no run columns when no group is
+    too large.
     """
-    cuts: list[str] = []
     df, hot = hot_groups(df, keys, group_rows)
     if not hot:
-        return df, cuts
-    for name in order:
-        number = _number(df, name)
-        for _ in range(ROUNDS if number is not None else 0):
-            group = [*keys, *cuts]
-            stats = df.groupBy(*group).agg(
-                F.count(F.lit(1)).alias("__n"), F.min(number).alias("__lo"), F.max(number).alias("__hi")
-            )
-            large = written(stats.where(F.col("__n") > group_rows), "cuts")
-            if large.isEmpty():
-                return df, cuts
-            wide = large.where(F.col("__hi") > F.col("__lo"))
-            if wide.isEmpty():
-                break
-            cut = f"__run{len(cuts)}"
-            parts = F.ceil(F.col("__n") / group_rows) * FINER
-            share = (number - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-            df = (
-                attach(df, wide, group, "left")
-                .withColumn(cut, F.coalesce(F.floor(share * parts), F.lit(0)))
-                .drop("__n", "__lo", "__hi")
-            )
-            cuts.append(cut)
-    return df, cuts
+        return df, []
+    parts = 2 * -(-df.count() // group_rows)
+    plain = [c for c, f in zip(df.columns, df.schema.fields, strict=True) if not isinstance(f.dataType, T.MapType)]
+    ranged = df.repartitionByRange(parts, *keys, *order, F.xxhash64(*plain))
+    return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs"), [RUN]
 
 
 def with_position(

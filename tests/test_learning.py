@@ -329,35 +329,22 @@ def test_budget_grid_is_the_best_choice(spark):
     assert inner > 0
 
 
-def test_budget_descent_follows_the_search(spark):
+def test_budget_over_real_epochs_is_the_least_cost(spark):
     ticks, costs, frame, cost = budget_frames(spark, 1, 12)
-    got = {r.model_id: r for r in batching.training_budget(frame, cost, "descent").collect()}
+    got = {r.model_id: r for r in batching.training_budget(frame, cost, "real").collect()}
     for (m, _, ld, t, backlog, err, recent), (_, b, b1) in zip(ticks, costs):
         if 1 - b * ld != 0:
             t = max(t, b1 / (1 - b * ld))
         top, ratio = (t - b1) / (b * ld * t), err / recent
 
-        def size(e):
-            lin, const = ld * (b * e - b1), -ld * 60000 * ratio / e
-            q, h = -lin * lin / 9, (-27 * const - 2 * lin**3) / 54
-            disc = q**3 + h * h
-            if disc <= 0:
-                return -1.0
-            s = float(np.cbrt(h + math.sqrt(disc)))
-            other = float(np.cbrt(h - math.sqrt(disc))) if s < 0 else float(np.cbrt(s))
-            return s + other - lin / 3
-
         def weigh(e):
-            d = size(e)
-            return d * d / ld / 2 + d * e * b - b1 * d + 60000 * ratio / e / d
-
-        x, before, step = top, -1.0, 1.0
-        while abs(x - before) > 1e-10:
-            step *= 0.99
-            before, x = x, max(1.0, min(top, x - step * (weigh(x + 0.01) - weigh(x)) / 0.01))
-        assert abs(got[m].epochs - max(1, math.floor(x))) <= 1e-9 * abs(x)
-        assert got[m].batch_size == max(1, math.floor(size(x)))
+            d = rows_for(e, ld, b, b1, ratio)
+            return d * d / (2 * ld) + b * d * e - b1 * d + 60000 * ratio / (e * d)
 
+        grid = np.linspace(1.0, max(top, 1.0), 400)
+        best = grid[int(np.argmin([weigh(e) for e in grid]))]
+        width = (max(top, 1.0) - 1) / 399
+        assert best - width - 1 <= got[m].epochs <= best + width
 
 def test_registered_user_model(spark):
     spec = register_model("last", lambda p, x: x[:, -1:] * p[0], lambda p, x, y: np.array([0.0]), [2.0], 3)

@@ -149,13 +149,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A version per purchase; the parameters change only with the tens of its value."""
-    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    """A version per event; the parameters change only with the fifties of its value."""
+    events = table(spark, sf_dir, "events")
     model = (F.col("user_id") % MODELS).alias("model_id")
     order = Window.partitionBy("model_id").orderBy("update_time", "event_id")
     third = F.lit(1 / 3)
     return (
-        bought.select(
+        events.select(
             model,
             F.col("ts").cast("timestamp").alias("update_time"),
             "event_id",
@@ -189,7 +189,7 @@ def learning_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def learning_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixed_batches(learning_windows(spark, sf_dir), 30)
+    return fixed_batches(learning_windows(spark, sf_dir), 30, keep_tail=True)
 
 
 def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,7 +74,7 @@ ROLLED = f"""{DOCUMENTS}, a AS (
 REGISTRY = """g AS (
   SELECT user_id % 10 AS model_id, ts AS update_time, value AS loss, floor(value / 50) / 10 AS bias,
          row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS version
-  FROM events WHERE event_type = 'purchase'),
+  FROM events),
 c AS (SELECT *, (bias - lag(bias) OVER (PARTITION BY model_id ORDER BY version)) ** 2 AS distance FROM g)"""
 
 RESULTS = f"""{ROLLED}, {REGISTRY}, z AS (
@@ -100,9 +100,8 @@ subs AS (
 
 LEARNING = f"{READINGS}, {training(2, 1, 1, 1, 'b.value / 100')}, l AS (SELECT *, stream_id % 10 AS model_id FROM w)"
 
-LEARNING_BATCHES = f"""{LEARNING}, o AS (
-  SELECT *, (row_number() OVER (PARTITION BY model_id ORDER BY t_end, stream_id, k) - 1) // 30 AS batch_id FROM l),
-lb AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY model_id, batch_id) AS held FROM o) WHERE held = 30)"""
+LEARNING_BATCHES = f"""{LEARNING}, lb AS (
+  SELECT *, (row_number() OVER (PARTITION BY model_id ORDER BY t_end, stream_id, k) - 1) // 30 AS batch_id FROM l)"""
 
 
 def gradients(source: str, keys: str, name: str) -> str:
@@ -190,7 +189,7 @@ SELECT stream_id, (pos - 2) // 2 AS k, value AS observed FROM r WHERE pos >= 2 A
 ORACLES["results_for_model"] = f"""
 WITH {RESULTS}, {MODELS}
 SELECT z.model_id, seq, z.stream_id, round(loss, 6) AS loss, epoch_us(updated_at) AS updated_at
-FROM z WHERE z.stream_id IS NULL OR (z.model_id, z.stream_id) IN (SELECT (model_id, stream_id) FROM subs WHERE model_id < 10)"""
+FROM z WHERE z.stream_id IS NULL OR (z.model_id, z.stream_id) IN (SELECT (model_id, stream_id) FROM subs)"""
 
 ORACLES["lookback_windows"] = f"""
 WITH {READINGS}, {lookback(5, 2)}
@@ -258,17 +257,20 @@ SELECT user_id % 10 AS model_id, event_id AS batch_id,
 FROM events
 WINDOW past AS (PARTITION BY user_id % 10 ORDER BY event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)"""
 
-ORACLES["training_budget"] = f"""
+WHOLE_EPOCHS = """unnest(list_concat(CASE WHEN top < 1 THEN [1.0::DOUBLE] ELSE [top] END,
+    list_transform(range(1, CAST(floor(greatest(top, 0)) AS BIGINT) + 1), lambda v: CAST(v AS DOUBLE))))"""
+REAL_EPOCHS = """greatest(least(CASE WHEN intercept > 0 THEN sqrt(60000 * ratio / slope) / (intercept * ld) ELSE top END, top), 1.0)"""
+
+
+def budgets(epochs: str) -> str:
+    return f"""
 WITH {TICKS}, {COSTS},
 q AS (
   SELECT model_id, tick, arrivals, arrivals / elapsed AS ld, slope, intercept, (1 + tick % 7) / 10.0 / 0.3 AS ratio,
          greatest(elapsed, CASE WHEN 1 - slope * arrivals / elapsed <> 0 THEN intercept / (1 - slope * arrivals / elapsed) END) AS t
   FROM rates JOIN costs USING (model_id)),
 tm AS (SELECT *, (t - intercept) / (slope * ld * t) AS top FROM q),
-choices AS (
-  SELECT *, unnest(list_concat(CASE WHEN top < 1 THEN [1.0::DOUBLE] ELSE [top] END,
-                               list_transform(range(1, CAST(floor(greatest(top, 0)) AS BIGINT) + 1), lambda v: CAST(v AS DOUBLE)))) AS e
-  FROM tm),
+choices AS (SELECT *, {epochs} AS e FROM tm),
 cubic AS (SELECT *, ld * (slope * e - intercept) AS b, ld * 60000 * ratio / e AS c FROM choices),
 solved AS (
   SELECT *, c / 2 - b ** 3 / 27 AS h, (c / 2 - b ** 3 / 27) ** 2 - (b / 3) ** 6 AS disc FROM cubic),
@@ -281,6 +283,12 @@ SELECT model_id, tick, CAST(greatest(floor(e), 1) AS BIGINT) AS epochs, CAST(gre
        round(greatest((greatest(floor(d), 1) - arrivals) / ld, 0), 6) AS wait_seconds
 FROM best"""
 
+
+ORACLES["training_budget"] = budgets(WHOLE_EPOCHS)
+
+# The least cost over real epochs; the key is from an earlier form of the search.
+ORACLES["training_budget_descent"] = budgets(REAL_EPOCHS)
+
 ORACLES["subscribe"] = f"""
 WITH {MODELS}
 SELECT model_id, mode, stream_id, event_id, value FROM events JOIN subs ON user_id = stream_id"""
@@ -324,7 +332,7 @@ WITH {REGISTRY}, newest AS (SELECT model_id, max(version) AS version FROM g GROU
 SELECT model_id, version, epoch_us(update_time) AS update_time, loss, 4 AS n FROM g
 UNION ALL
 SELECT user_id % 12, coalesce(version, 0) + row_number() OVER (PARTITION BY user_id % 12 ORDER BY ts, value), epoch_us(ts), value, 1
-FROM events LEFT JOIN newest ON user_id % 12 = model_id WHERE event_type = 'signup'"""
+FROM events LEFT JOIN newest ON user_id % 12 = model_id"""
 
 ORACLES["current_models"] = f"""
 WITH {REGISTRY}

@@ -139,7 +139,7 @@ def observed_values(spark, sf_dir):
 @query
 def results_for_model(spark, sf_dir):
     results = inputs.results(spark, sf_dir)
-    kept = parsing.results_for_model(results, inputs.subscribed(spark, sf_dir).where("model_id < 10"))
+    kept = parsing.results_for_model(results, inputs.subscribed(spark, sf_dir))
     return kept.select("model_id", "seq", long("stream_id"), r6("loss"), micros("updated_at"))
 
 
@@ -230,7 +230,7 @@ def training_budget(spark, sf_dir):
 
 @query
 def training_budget_descent(spark, sf_dir):
-    return budget(spark, sf_dir, "descent")
+    return budget(spark, sf_dir, "real")
 
 
 # Routing
@@ -298,7 +298,7 @@ def withdraw_status(spark, sf_dir):
 @query
 def publish(spark, sf_dir):
     known = inputs.registry(spark, sf_dir)
-    updates = inputs.table(spark, sf_dir, "events").where("event_type = 'signup'").select(
+    updates = inputs.table(spark, sf_dir, "events").select(
         (F.col("user_id") % 12).alias("model_id"),
         F.col("ts").cast("timestamp").alias("update_time"),
         F.col("value").alias("loss"),
