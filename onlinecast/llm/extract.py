@@ -180,7 +180,7 @@ def nodes(pages: DataFrame, source: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for host, value in zip(column(batch, "host").to_pylist(), column(batch, source), strict=True):
+            for host, value in zip(column(batch, "__host").to_pylist(), column(batch, source), strict=True):
                 page = Page(value.as_py() or "")
                 blocks = page.text_blocks()
                 content = name_of(*(text for text, _ in blocks))
@@ -193,7 +193,7 @@ def nodes(pages: DataFrame, source: str) -> DataFrame:
             if rows:
                 yield _node_batch(rows)
 
-    return pages.select("host", source).mapInArrow(
+    return pages.select("__host", source).mapInArrow(
         run, "host string, node long, leaf boolean, shown long, content long, above array<long>"
     )
 
@@ -210,7 +210,7 @@ def unimportant(pages: DataFrame, source: str, scratch: Scratch, min_pages: int
     Pages of a host with equal content count once. The importance of a node is ``LAYOUT`` parts the entropy of how
     its children are laid out, the rest the mean importance of the texts below it.
     """
-    once = nodes(pages.where("host <> ''"), source).groupBy("host", "node", "leaf", "shown", "content").agg(
+    once = nodes(pages.where("__host <> ''"), source).groupBy("host", "node", "leaf", "shown", "content").agg(
         F.first("above").alias("above")
     )
     shown = once.groupBy("host", "node", "leaf", "shown").agg(
@@ -248,11 +248,11 @@ def main_text(
     """
     keep = list(pages.columns) if keep is None else keep
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    hosted = pages.select(*{*keep, source}, host.alias("host"))
+    hosted = pages.select(*{*keep, source}, host.alias("__host"))
     scratch = Scratch(pages.sparkSession, "extract")
     weak = unimportant(hosted, source, scratch, min_pages, low)
-    weak = weak.groupBy("host").agg(F.collect_list("node").alias("__low"))
-    joined = hosted.join(small_side(weak), "host", "left").drop("host")
+    weak = weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("node").alias("__low"))
+    joined = hosted.join(small_side(weak), "__host", "left").drop("__host")
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out = []
