@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, small_side, text_buffer
+from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, text_buffer
 
 LENGTH = 200
 LEVELS = (7, 4, 0)
@@ -166,7 +166,7 @@ def parts(docs: DataFrame, wanted: DataFrame, level: int, length: int) -> DataFr
                     )
 
     packed = wanted.groupBy("tid").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs"))
-    texts = docs.select("tid", "text").join(small_side(packed, 32 << 20), "tid")
+    texts = docs.select("tid", "text").join(packed, "tid")
     return texts.select("tid", "text", "runs").mapInArrow(run, NODE)
 
 
@@ -233,7 +233,7 @@ def with_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, name
     texts = docs.where(F.octet_length(text) >= length).select(F.col("__tid").alias("tid"), F.col(text).alias("text"))
     found = spans(texts, Scratch(docs.sparkSession, "repeats"), length)
     found = found.select(F.col("tid").alias("__tid"), F.col("spans").alias(name))
-    return docs.join(small_side(found, 32 << 20), "__tid", "left").drop("__tid")
+    return docs.join(found, "__tid", "left").drop("__tid")
 
 
 def kept_bytes(data: bytes, ranges: list[dict] | None) -> bytes:
