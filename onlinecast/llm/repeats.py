@@ -172,15 +172,18 @@ def parts(docs: DataFrame, wanted: DataFrame, level: int, length: int) -> DataFr
 
 def decided(runs: DataFrame, scratch: Scratch, level: int) -> tuple[DataFrame, DataFrame]:
     """Of the runs of a level: those that repeat as a whole, and one of each kind in buckets of several kinds."""
+    # sides of joins are written first: what has just been aggregated by the key could not be split where it is hot
     sizes = runs.groupBy("core").agg(F.count("*").alias("in_core")).where("in_core > 1").select("core")
-    shared = scratch.write(runs.join(sizes, "core"), f"shared{level}")
+    shared = scratch.write(runs.join(scratch.write(sizes, f"cores{level}"), "core"), f"shared{level}")
     kinds = shared.groupBy("core", "hull").agg(
         F.count("*").alias("times"), F.first("tid").alias("tid"), F.first("anchor").alias("anchor"),
         F.first("first").alias("first"), F.first("n").alias("n"),
     )
     kinds = scratch.write(kinds, f"kinds{level}")
-    whole = shared.join(kinds.where("times > 1").select("core", "hull"), ["core", "hull"])
+    several = scratch.write(kinds.where("times > 1").select("core", "hull"), f"several{level}")
+    whole = shared.join(several, ["core", "hull"])
     mixed = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
+    mixed = scratch.write(mixed, f"mixed{level}")
     rest = kinds.join(mixed, "core").select("tid", "anchor", "first", "n")
     return whole.select("tid", "first", "n").distinct(), rest
 
