@@ -19,7 +19,9 @@ from onlinecast.operators.scoring import linear_pred, loss, score, with_params
 from onlinecast.plans.joins import attach
 from onlinecast.plans.tables import written
 
-MAX_STREAMS = 1024
+GRAM_STREAMS = 1024
+MOST_STEPS = 200
+PRECISION = 1e-10
 GRAM_BLOCK = 2048
 FLUSH_GROUPS = 1000
 
@@ -105,9 +107,10 @@ def project_gradient(
 ) -> DataFrame:
     """Gradient changed so that it does not work against the memory gradients.
 
-    ``exact`` solves the dual quadratic program (multipliers of at least ``margin``) and is for models of up to
-    ``MAX_STREAMS`` streams, as the program is that many numbers squared. ``average`` removes what points
-    against the mean memory gradient, for any number of streams. Models without a conflict keep their gradient.
+    ``exact`` solves the dual quadratic program (multipliers of at least ``margin``): with the products of all pairs
+    of streams where no model has more than ``GRAM_STREAMS``, else by steps that only ever hold as many numbers as
+    a model has parameters, squared. Both give the same gradient. ``average`` removes what points against the
+    mean memory gradient. Models without a conflict keep their gradient.
     """
     if method == "average":
         return _project_average(current, memories)
@@ -118,20 +121,91 @@ def project_gradient(
         F.max("conflict").alias("conflict"), F.count(F.lit(1)).alias("streams")
     )
     widest = shape.agg(F.max("streams")).first()[0] or 0
-    if widest > MAX_STREAMS:
-        raise ValueError(f"{widest} streams in one model: use method='average' beyond {MAX_STREAMS}")
     turned = shape.where("conflict").select("model_id")
     hit = attach(memories, turned, ["model_id"], "left_semi")
+    if widest > GRAM_STREAMS:
+        shift = _shift_by_parameters(current, hit, margin, ridge)
+        return _shifted(current, shift)
     weights = _multipliers(_gram(hit), facts, margin, ridge)
     shift = (
         attach(hit, weights, ["model_id", "stream_id"])
         .groupBy("model_id", "p")
         .agg(F.sum(F.col("v") * F.col("g")).alias("__shift"))
     )
-    return (
-        current.join(shift, ["model_id", "p"], "left")
-        .withColumn("g", F.col("g") + F.coalesce("__shift", F.lit(0.0)))
-        .drop("__shift")
+    return _shifted(current, shift)
+
+
+def _shifted(current: DataFrame, shift: DataFrame) -> DataFrame:
+    moved = F.col("g") + F.coalesce("__shift", F.lit(0.0))
+    return current.join(shift, ["model_id", "p"], "left").withColumn("g", moved).drop("__shift")
+
+
+def _in_order(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The numbers of each key as one array in the order of their parameters."""
+    listed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("p", "g"))).alias("__all"))
+    return listed.select(*keys, F.col("__all.g").alias(name), F.col("__all.p").alias("places"))
+
+
+def _shift_by_parameters(current: DataFrame, memories: DataFrame, margin: float, ridge: float) -> DataFrame:
+    """Shift w = sum of v * g over the streams, for the multipliers v >= margin that the dual program asks for.
+
+    At the solution v is the larger of ``margin`` and ``-g . (current + w) / ridge``, so w solves an equation with as
+    many unknowns as parameters, which is smooth but for kinks. Each step sums, over tasks and then over the
+    cluster, what its linear form needs; a step that makes the residual worse is halved.
+    """
+    model = memories.schema["model_id"]
+    arrays = T.ArrayType(T.DoubleType())
+    now = _in_order(current, ["model_id"], "now")
+    vectors = _in_order(memories, ["model_id", "stream_id"], "vector").drop("places")
+    vectors = written(vectors, "vectors")
+    state = now.join(vectors.select("model_id").distinct(), "model_id", "left_semi")
+    nothing = F.transform("now", lambda _: F.lit(0.0))
+    state = state.withColumns({"w": nothing, "step": nothing, "worst": F.lit(float("inf")), "done": F.lit(False)})
+    state = written(state, "state")
+    parts = T.StructType([model, T.StructField("i", T.IntegerType()), T.StructField("row", arrays), T.StructField("f", T.DoubleType())])
+
+    def linear_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
+        for batch in batches:
+            for name, part in batch.groupby("model_id"):
+                g = np.stack(part["vector"].to_numpy())
+                pull = -(g @ (np.asarray(part["now"].iloc[0]) + np.asarray(part["w"].iloc[0]))) / ridge
+                free = pull > margin
+                form, pushed = sums.get(name, (0.0, 0.0))
+                sums[name] = form + g[free].T @ g[free] / ridge, pushed + np.maximum(pull, margin) @ g
+        for name, (form, pushed) in sums.items():
+            yield pd.DataFrame({"model_id": name, "i": np.arange(len(pushed), dtype="int32"), "row": list(form), "f": pushed})
+
+    def advance(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        w, step = np.asarray(pdf["w"].iloc[0]), np.asarray(pdf["step"].iloc[0])
+        residual = w - pdf["f"].to_numpy()
+        size, worst = float(np.abs(residual).max()), float(pdf["worst"].iloc[0])
+        if size > worst:
+            step = step / 2
+            moved, worst = w - step, worst
+        else:
+            step = np.linalg.solve(np.eye(len(w)) + np.stack(pdf["row"].to_numpy()), -residual)
+            moved, worst = w + step, size
+        done = size <= PRECISION * max(1.0, float(np.abs(pdf["f"]).max()))
+        first = pdf.iloc[:1].drop(columns=["i", "row", "f"])
+        return first.assign(w=[w if done else moved], step=[step], worst=worst, done=done)
+
+    for _ in range(MOST_STEPS):
+        rows = attach(vectors, state.select("model_id", "now", "w"), ["model_id"])
+        forms = rows.select("model_id", "vector", "now", "w").mapInPandas(linear_forms, parts)
+        total = F.aggregate(
+            F.slice("rows", F.lit(2), F.size("rows")), F.col("rows")[0], lambda a, b: F.zip_with(a, b, lambda p, q: p + q)
+        )
+        forms = forms.groupBy("model_id", "i").agg(F.collect_list("row").alias("rows"), F.sum("f").alias("f"))
+        forms = forms.select("model_id", "i", total.alias("row"), "f").join(state, "model_id")
+        state = written(forms.groupBy("model_id").applyInPandas(advance, state.schema), "state")
+        if state.where("not done").isEmpty():
+            break
+    else:
+        raise ValueError(f"the projection did not settle within {MOST_STEPS} steps")
+    return state.select("model_id", F.explode(F.arrays_zip("places", "w")).alias("at")).select(
+        "model_id", F.col("at.places").alias("p"), F.col("at.w").alias("__shift")
     )
 
 
@@ -216,6 +290,8 @@ def bounded_minimum(matrix: np.ndarray, linear: np.ndarray, bound: float) -> np.
             stuck = np.flatnonzero(free)[room <= reach]
             v[stuck] = bound
             free[stuck] = False
+    else:
+        raise ValueError("the bounded minimum was not reached")
     return v
 
 

@@ -13,13 +13,18 @@ FIRST_LOSS = 100.0
 STATES = ["deploy", "pause"]
 
 
-def publish(registry: DataFrame, updates: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
-    """Registry with ``updates(model_id, update_time, loss, params)`` appended as the next versions."""
-    latest = registry.groupBy("model_id").agg(F.max("version").alias("__latest"))
+def next_versions(latest: DataFrame, updates: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """``updates`` with the versions that follow ``latest(model_id, latest)``, in order of their time and loss."""
     numbered = with_position(updates, ["model_id"], ["update_time", "loss"], "__at", group_rows)
     numbered = attach(numbered, latest, ["model_id"], "left")
-    version = F.coalesce("__latest", F.lit(0)) + F.col("__at") + 1
-    return registry.unionByName(numbered.withColumn("version", version).select(registry.columns))
+    version = F.coalesce("latest", F.lit(0)) + F.col("__at") + 1
+    return numbered.withColumn("version", version).drop("latest", "__at")
+
+
+def publish(registry: DataFrame, updates: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """Registry with ``updates(model_id, update_time, loss, params)`` appended as the next versions."""
+    latest = registry.groupBy("model_id").agg(F.max("version").alias("latest"))
+    return registry.unionByName(next_versions(latest, updates, group_rows).select(registry.columns))
 
 
 def current_models(registry: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +21,11 @@ class JobPaths:
     registry: str
     results: str
 
+    @property
+    def job(self) -> str:
+        """Name under which the job publishes; a new checkpoint is a new job."""
+        return md5(self.checkpoint.encode()).hexdigest()[:16]
+
     def table(self, spark: SparkSession, name: str, schema: str, keys: list[str], compact: int = 20) -> VersionedTable:
         return VersionedTable(spark, f"{self.state}/{name}", schema, keys, compact)
 

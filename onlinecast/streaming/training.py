@@ -24,8 +24,7 @@ from onlinecast.operators.windows import TAIL_SCHEMA, WindowShape, continued_win
 from onlinecast.plans.joins import attach
 from onlinecast.plans.ordering import with_position
 from onlinecast.plans.tables import VersionedTable, written
-from onlinecast.operators.registry import current_models
-from onlinecast.sources.registry import append_registry, read_registry
+from onlinecast.sources.registry import append_registry, read_deployed
 from onlinecast.sources.results import append_results
 from onlinecast.streaming.state import JobPaths, run_batches
 
@@ -65,7 +64,7 @@ class _Trainer:
         """Parameters of the models with windows: as trained last, else as deployed."""
         touched = windows.select("model_id").distinct()
         trained = self.params.read(batch_id)
-        deployed = current_models(read_registry(self.spark, self.paths.registry, before=0)).select("model_id", "params")
+        deployed = read_deployed(self.spark, self.paths.registry).select("model_id", "params")
         fresh = deployed.join(trained, "model_id", "left_anti")
         both = trained.unionByName(fresh, allowMissingColumns=True)
         return written(both.join(touched, "model_id", "left_semi"), "current")
@@ -77,7 +76,7 @@ class _Trainer:
         publications = self._promote(windows, losses, batch_id)
         updates = publications.join(after.select("model_id", "params"), "model_id")
         updates = updates.select("model_id", "update_time", "loss", "params")
-        append_registry(updates, self.paths.registry, batch_id)
+        append_registry(updates, self.paths.registry, batch_id, self.paths.job)
         self._document(windows, before, losses, publications, batch_id)
 
     def _promote(self, windows: DataFrame, losses: DataFrame, batch_id: int) -> DataFrame:

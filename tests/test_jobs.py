@@ -106,7 +106,7 @@ def test_inference_job(spark, tmp_path, scope):
     def between(i):
         if i == 0:
             better = spark.createDataFrame([(0, START, 0.1, [1.0, 0.0, 2.0])], "model_id long, update_time timestamp, loss double, params array<double>")
-            append_registry(better, where.registry, 0)
+            append_registry(better, where.registry, 0, "by hand")
 
     deliver(spark, frame, str(tmp_path / "in"), 3, start, between)
     got = read_results(spark, where.results)
@@ -339,3 +339,23 @@ def test_hot_stream_in_a_stream(spark, tmp_path):
     writer = streaming.lookback_windows_stream(rows, 5).writeStream.format("parquet").option("checkpointLocation", out + "-c")
     writer.trigger(**NOW).start(out).awaitTermination()
     same(spark.read.parquet(out), win.lookback_windows(frame, 5))
+
+
+def test_two_jobs_share_a_registry(spark, tmp_path):
+    """No job erases what another published, nor a restarted one what it did before; a replay replaces itself."""
+    path = str(tmp_path / "registry")
+    kind = "model_id long, update_time timestamp, loss double, params array<double>"
+
+    def publish(model, loss, run, job):
+        append_registry(spark.createDataFrame([(model, START, loss, [loss])], kind), path, run, job)
+
+    rows = spark.createDataFrame([(m, START, [0.0]) for m in (1, 2)], "model_id long, create_time timestamp, params array<double>")
+    deploy(rows, path)
+    deploy(rows, path)
+    publish(1, 0.5, 0, "a")
+    publish(2, 0.6, 0, "b")
+    publish(1, 0.4, 1, "a")
+    publish(1, 0.3, 1, "a")
+    publish(1, 0.2, 0, JobPaths("s", "new checkpoint", "r", "o").job)
+    found = sorted((r.model_id, r.version, r.loss) for r in read_registry(spark, path).collect())
+    assert found == [(1, 1, 100.0), (1, 2, 0.5), (1, 3, 0.3), (1, 4, 0.2), (2, 1, 100.0), (2, 2, 0.6)]

@@ -89,11 +89,25 @@ def test_average_projection(spark):
         assert want @ mean >= -1e-12
 
 
-def test_too_many_streams_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(learning, "MAX_STREAMS", 2)
-    current, mems = grad_frames(spark, [(np.ones(2), -np.ones((3, 2)))])
-    with pytest.raises(ValueError, match="average"):
-        learning.project_gradient(current, mems)
+def test_exact_projection_by_parameters(spark, monkeypatch):
+    monkeypatch.setattr(learning, "GRAM_STREAMS", 0)
+    rng = np.random.default_rng(1)
+    cases = [(rng.normal(size=6), rng.normal(size=(t, 6))) for t in (1, 2, 4, 9)]
+    cases.append((np.ones(6), np.ones((3, 6))))
+    current, mems = grad_frames(spark, cases)
+    got = {(r.model_id, r.p): r.g for r in learning.project_gradient(current, mems).collect()}
+    for m, (g, mem) in enumerate(cases):
+        np.testing.assert_allclose([got[m, p] for p in range(6)], project(g, mem), rtol=1e-5, atol=1e-7)
+
+
+def test_exact_projection_of_many_streams(spark):
+    rng = np.random.default_rng(3)
+    g, mem = rng.normal(size=4), rng.normal(size=(learning.GRAM_STREAMS + 76, 4))
+    current, mems = grad_frames(spark, [(g, mem)])
+    got = {r.p: r.g for r in learning.project_gradient(current, mems).collect()}
+    turned = np.array([got[p] for p in range(4)])
+    v = np.maximum(0.5, -(mem @ turned) / 1e-3)
+    np.testing.assert_allclose(turned, g + v @ mem, rtol=1e-6, atol=1e-6)
 
 
 @pytest.mark.parametrize("loss", ["mse", "mae"])

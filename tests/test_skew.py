@@ -29,8 +29,8 @@ def modelled(rows):
 
 def test_runs_bound_the_group_size(rows):
     cut, cuts = ordering.runs(rows, ["stream_id"], ["ts", "event_id"], SMALL)
-    assert len(cuts) > 1
-    assert cut.groupBy("stream_id", *cuts).count().agg(F.max("count")).first()[0] <= 2 * SMALL
+    assert cuts == [ordering.RUN]
+    assert cut.groupBy("stream_id", *cuts).count().agg(F.max("count")).first()[0] <= 3 * SMALL
     assert cut.count() == rows.count()
 
 
@@ -40,6 +40,56 @@ def test_positions(rows, group_rows):
     same(ordering.with_position(*args, group_rows), ordering.with_position(*args, None))
 
 
+@pytest.fixture(scope="module")
+def bursts(spark, tmp_path_factory):
+    """One stream: a few sparse rows, then bursts within bursts; ids fall while times rise, or are wide and random."""
+    path = str(tmp_path_factory.mktemp("bursts"))
+    i = F.col("id")
+    at = F.when(i < 4, i * 10**12).when(i < 200, F.lit(5 * 10**12) + i).otherwise(F.lit(5 * 10**12 + 200) + F.floor(i / 150))
+    rows = spark.range(600).select(
+        F.lit(1).alias("stream_id"),
+        at.cast("long").alias("ts"),
+        (1000 - i).alias("falling"),
+        F.xxhash64(i).alias("wide"),
+        (i % 3 == 0).alias("late"),
+        F.concat(F.lit("e"), (i % 7).cast("string")).alias("kind"),
+        F.when(i % 5 > 0, i).alias("id"),
+    )
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("group_rows", [10, 20, 50])
+@pytest.mark.parametrize(
+    "order", [["ts", "falling"], ["late", "ts", "falling"], ["kind", "wide"], ["wide"], ["late", "wide"], ["id", "wide"]]
+)
+def test_positions_in_any_order(bursts, order, group_rows):
+    args = (bursts, ["stream_id"], order, "pos")
+    same(ordering.with_position(*args, group_rows), ordering.with_position(*args, None))
+
+
+def test_running_in_any_order(bursts):
+    args = (bursts, ["stream_id"], ["late", "ts", "falling"], "id", "last", "run")
+    same(ordering.running(*args, True, 20), ordering.running(*args, True, None))
+
+
+def test_groups_that_grow_from_little_are_seen(spark, tmp_path):
+    path = str(tmp_path / "little")
+    spark.range(1).write.parquet(path)
+    grown = spark.read.parquet(path).select(F.lit(1).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(5000))).alias("v"))
+    assert ordering.hot_groups(grown, ["k"], 1000)[1]
+    side = grown.select(F.col("v").alias("k"), F.lit(1).alias("w"))
+    plan = joins.attach(grown, side, ["k"], limit=10_000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_only_hot_keys_are_dealt(rows, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 50)
+    side = rows.groupBy("stream_id").agg(F.max("value").alias("most"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        same(joins.attach(rows, side.where("stream_id < 3"), ["stream_id"], how, limit=64), rows.join(side.where("stream_id < 3"), ["stream_id"], how))
+
+
 @pytest.mark.parametrize("kind", ["last", "min", "sum"])
 @pytest.mark.parametrize("inclusive", [True, False])
 def test_running(rows, kind, inclusive):

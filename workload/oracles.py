@@ -203,6 +203,10 @@ SELECT * FROM (
   FROM r)
 WHERE k >= 0"""
 
+ORACLES["lookback_windows_cut"] = ORACLES["lookback_windows_lineitem"].replace(
+    "ORDER BY l_shipdate, l_orderkey * 8 + l_linenumber", "ORDER BY l_shipdate, -(l_orderkey * 8 + l_linenumber)"
+)
+
 ORACLES["training_windows"] = f"""
 WITH {READINGS}, {training(4, 3, 2, 3)}
 {values("stream_id, k, epoch_us(t_end) AS t_end", "(SELECT *, x || y AS xy FROM w)", "xy")}"""
@@ -239,6 +243,15 @@ WITH {INFERENCE}, o AS (
   FROM w)
 SELECT model_id, place // 32 AS batch_id, place % 32 AS pos, stream_id, k FROM o WHERE place < held - held % 32"""
 
+ORACLES["batches_cut"] = ORACLES["fixed_batches"]
+
+ORACLES["running_cut"] = """
+SELECT user_id % 10 AS model_id, event_id, sum(event_id) OVER (
+  PARTITION BY user_id % 10 ORDER BY value > 50,
+    CASE WHEN event_id % 2 = 0 THEN 9223372036854775000 - event_id ELSE event_id - 9223372036854775000 END
+  ROWS UNBOUNDED PRECEDING)::BIGINT AS total
+FROM events"""
+
 ORACLES["adaptive_batches"] = f"""
 WITH {INFERENCE}, {ADAPTIVE}
 SELECT model_id, tick, batch_id, pos, stream_id, k FROM b"""

@@ -11,6 +11,7 @@ from onlinecast.functions import stream_id
 from onlinecast.operators import analytics, batching, learning, memory, parsing, promotion, registry, routing, scoring
 from onlinecast.operators import windows as win
 from onlinecast.operators.models import linear_model, mlp_model
+from onlinecast.plans import ordering
 from onlinecast.plans.tables import new_path, written
 from onlinecast.sources import (
     decode_readings,
@@ -160,6 +161,29 @@ def lookback_windows_lineitem(spark, sf_dir):
     )
 
 
+@query
+def lookback_windows_cut(spark, sf_dir):
+    """Long streams in runs; of readings of a day the ids fall."""
+    rows = inputs.line_readings(spark, sf_dir).withColumn("event_id", -F.col("event_id"))
+    windows = win.lookback_windows(rows, 36, 1, group_rows=40)
+    return windows.select(
+        long("stream_id"), "k", micros("t_end"), F.aggregate("x", F.lit(0.0), lambda a, v: a + v).alias("total")
+    )
+
+
+@query
+def running_cut(spark, sf_dir):
+    """Running sums over models in runs, by a flag first and then by ids over the whole range of longs."""
+    wide = F.when(F.col("event_id") % 2 == 0, 9223372036854775000 - F.col("event_id")).otherwise(
+        F.col("event_id") - 9223372036854775000
+    )
+    events = inputs.table(spark, sf_dir, "events").select(
+        (F.col("user_id") % inputs.MODELS).alias("model_id"), (F.col("value") > 50).alias("late"), wide.alias("wide"), "event_id"
+    )
+    totals = ordering.running(events, ["model_id"], ["late", "wide"], "event_id", "sum", "total", group_rows=30)
+    return totals.select("model_id", "event_id", "total")
+
+
 @query
 def training_windows(spark, sf_dir):
     windows = win.training_windows(inputs.readings(spark, sf_dir), 4, 3, 2, 3)
@@ -191,6 +215,13 @@ def fixed_batches(spark, sf_dir):
     return batches.select("model_id", "batch_id", long("pos"), long("stream_id"), "k")
 
 
+@query
+def batches_cut(spark, sf_dir):
+    """Batches of models in runs."""
+    batches = batching.fixed_batches(inputs.inference_windows(spark, sf_dir), 32, group_rows=25)
+    return batches.select("model_id", "batch_id", long("pos"), long("stream_id"), "k")
+
+
 @query
 def adaptive_batches(spark, sf_dir):
     batches = batching.adaptive_batches(inputs.inference_windows(spark, sf_dir), 3, TICK)
