@@ -17,6 +17,12 @@ ERROR_MEMORY = 5
 FIRST_ERROR = 0.3
 
 
+def numbered_batch(tick: Column, part: Column) -> Column:
+    """``tick * PER_TICK + part``; an error if a tick has more batches than that leaves room for."""
+    full = F.raise_error(F.lit(f"more than {PER_TICK} batches of a model in one tick"))
+    return F.when(part < PER_TICK, tick * PER_TICK + part).otherwise(full.cast("long"))
+
+
 def fixed_batches(
     windows: DataFrame, size: int, group_rows: int | None = GROUP_ROWS, keep_tail: bool = False
 ) -> DataFrame:
@@ -41,9 +47,8 @@ def adaptive_batches(
     """
     ticked = windows.withColumn("tick", F.floor(F.unix_seconds("t_end") / tick_seconds))
     placed = with_position(ticked, ["model_id", "tick"], ARRIVAL, "__at", group_rows)
-    part = F.floor(F.col("__at") / size)
     return (
-        placed.withColumn("batch_id", F.col("tick") * PER_TICK + part)
+        placed.withColumn("batch_id", numbered_batch(F.col("tick"), F.floor(F.col("__at") / size)))
         .withColumn("pos", (F.col("__at") % size).cast("int"))
         .drop("__at")
     )

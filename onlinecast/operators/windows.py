@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from onlinecast.plans.joins import attach
 from onlinecast.plans.ordering import GROUP_ROWS, top_rows, with_position
+from onlinecast.plans.tables import written
 
 STREAM = ["stream_id"]
 ORDER = ["ts", "event_id"]
@@ -193,7 +194,8 @@ def model_windows(readings: DataFrame, subscriptions: DataFrame, group_rows: int
 
     ``subscriptions(model_id, stream_id, look_back, shift, forward_step, forward_size)``; the two forward
     columns are null for inference. Blocks must cover the longest reach, so models are grouped by the
-    power of two that covers theirs; the blocks of a class are made once for all its models.
+    power of two that covers theirs; the blocks of a class are made once for all its models. Without
+    subscriptions there are no windows.
     """
     training = F.col("forward_step").isNotNull()
     target = F.col("look_back") + F.col("forward_step") - 1
@@ -202,8 +204,10 @@ def model_windows(readings: DataFrame, subscriptions: DataFrame, group_rows: int
         "reach", F.greatest(F.lit(LEAST_REACH), F.pow(2, F.ceil(F.log2("needed"))).cast("int"))
     )
     placed = _placed(attach(readings, shaped.select("stream_id").distinct(), STREAM, "left_semi"), group_rows)
+    classes = sorted(row[0] for row in shaped.select("reach").distinct().collect()) or [LEAST_REACH]  # powers of two
+    placed = written(placed, "placed") if len(classes) > 1 else placed
     result = None
-    for reach in sorted(row[0] for row in shaped.select("reach").distinct().collect()):
+    for reach in classes:
         mine = shaped.where(F.col("reach") == reach)
         wanted = attach(placed, mine.select("stream_id").distinct(), STREAM, "left_semi")
         started = attach(_blocks(wanted, reach), mine, STREAM).withColumn(

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +35,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/onlinecast/{name}-{uuid.uuid4().hex}"
 
 
+_own = threading.local()
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end the tables that ``written`` made meanwhile in this thread."""
+    outer, _own.paths = getattr(_own, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _own.paths:
+            delete(spark, path)
+        _own.paths = outer
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, which cuts its lineage."""
     path = new_path(df.sparkSession, name)
+    if getattr(_own, "paths", None) is not None:
+        _own.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -89,7 +109,8 @@ class VersionedTable:
 
     Batch ``b`` reads the rows of versions below ``b`` and overwrites only version ``b``, so a
     replayed batch sees the same state and leaves the same result. A version holds the rows of
-    the keys it touched; every ``compact``-th version holds all rows, which bounds what is read.
+    the keys it touched; every ``compact``-th version holds all rows, which bounds what is read, and
+    versions before the last such one are deleted once the next is written.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], compact: int = 20):
@@ -131,3 +152,14 @@ class VersionedTable:
             kept = self.read(batch_id).join(changed.select(*self.keys).distinct(), self.keys, "left_anti")
             changed = changed.unionByName(kept)
         changed.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+        self._purge(batch_id)
+
+    def _purge(self, batch_id: int) -> None:
+        """Delete what neither this batch, if it is repeated, nor a later one reads."""
+        if batch_id % self.compact:
+            return
+        earlier = [v for v in self._versions() if v < batch_id]
+        whole = max((v for v in earlier if v % self.compact == 0), default=0)
+        for version in earlier:
+            if version < whole:
+                delete(self.spark, f"{self.path}/version={version}")

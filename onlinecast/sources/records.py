@@ -65,20 +65,25 @@ def write_windows(
     checkpoint: str | None = None,
     prefix: str = PREFIX,
     trigger: dict | None = None,
+    topics: Column | None = None,
 ) -> StreamingQuery | None:
-    """Write window records to a Kafka topic or a file table; a streaming frame returns its query.
+    """Write window records to Kafka or a file table; a streaming frame returns its query.
 
-    The source's ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger`` bounds what is in flight.
+    ``topics`` names the topic of each window, for example one for each model and mode; files are then parted by it.
+    Without it the options name the one topic. The source's ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger`` bounds what is in flight.
     """
-    records = format_window_record(windows, prefix)
+    named = windows if topics is None else windows.withColumn("__to", topics)
+    records = format_window_record(named, prefix)
+    to = [] if topics is None else [F.col("__to").alias("topic" if fmt == "kafka" else "window_topic")]
     options = dict(options or {})
     if fmt == "kafka":
-        records = records.select(F.col("topic").alias("key"), F.col("record").alias("value"))
+        records = records.select(F.col("topic").alias("key"), F.col("record").alias("value"), *to)
         options = {"kafka.acks": "all"} | options
     else:
-        records = records.select("t_end", "record")
+        records = records.select("t_end", "record", *to)
+    parted = ["window_topic"] if to and fmt != "kafka" else []
     if not windows.isStreaming:
-        records.write.format(fmt).options(**options).mode("append").save()
+        records.write.format(fmt).options(**options).partitionBy(*parted).mode("append").save()
         return None
-    writer = records.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
+    writer = records.writeStream.format(fmt).partitionBy(*parted).options(**options).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from onlinecast.functions.vectors import squared_distance
-from onlinecast.operators.batching import ARRIVAL
+from onlinecast.operators.batching import ARRIVAL, PER_TICK, numbered_batch
 from onlinecast.operators.models import ModelSpec
 from onlinecast.operators.registry import current_models
 from onlinecast.operators.scoring import one_step_errors, result_documents, rolling_loss, score
@@ -19,7 +19,7 @@ from onlinecast.sources.registry import read_registry
 from onlinecast.sources.results import append_results
 from onlinecast.streaming.state import JobPaths, run_batches
 
-PER_BATCH = 1 << 31
+PER_BATCH = PER_TICK
 PAIR = ["model_id", "stream_id"]
 SCORED = "model_id long, stream_id int, k long, t_end timestamp, true double, pred array<double>, batch_id long, pos int"
 LOSSES = "model_id long, stream_id int, batch_id long, loss double"
@@ -40,7 +40,7 @@ def inference_job(
 
     One query serves all models that share ``spec`` and ``shape``; ``subscriptions(model_id, stream_id)`` says
     who reads what. Each micro-batch uses the parameters that are newest when it starts, and notes in
-    the results when they differ from those before. Last predictions and losses live in state tables by
+    the results, at the time of its newest reading, when they differ from those before. Last predictions and losses live in state tables by
     micro-batch, so a replayed micro-batch writes the same documents.
     """
     spark = readings.sparkSession
@@ -67,7 +67,7 @@ def inference_job(
         rows = score(attach(windows, pairs, ["stream_id"]), models.select("model_id", "params"), spec).drop("x")
         placed = with_position(rows, ["model_id"], ARRIVAL, "__at")
         placed = (
-            placed.withColumn("batch_id", F.lit(batch_id * PER_BATCH) + F.floor(F.col("__at") / batch_size))
+            placed.withColumn("batch_id", numbered_batch(F.lit(batch_id).cast("long"), F.floor(F.col("__at") / batch_size)))
             .withColumn("pos", (F.col("__at") % batch_size).cast("int"))
             .drop("__at")
         )
@@ -93,7 +93,7 @@ def inference_job(
             "model_id",
             F.lit(batch_id * PER_BATCH - 1).alias("batch_id"),
             F.lit(None).cast("int").alias("stream_id"),
-            F.current_timestamp().alias("updated_at"),
+            F.lit(batch.agg(F.max("ts")).first()[0]).cast("timestamp").alias("updated_at"),
         )
         numbered = with_position(
             documents.unionByName(markers, allowMissingColumns=True), ["model_id"], ["batch_id", "stream_id"], "__at"

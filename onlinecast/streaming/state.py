@@ -9,7 +9,7 @@ from hashlib import md5
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from onlinecast.plans.tables import VersionedTable
+from onlinecast.plans.tables import VersionedTable, passing_tables
 
 
 @dataclass(frozen=True)
@@ -33,13 +33,14 @@ class JobPaths:
 def run_batches(
     readings: DataFrame, step: Callable[[DataFrame, int], None], paths: JobPaths, trigger: dict | None
 ) -> StreamingQuery:
-    """Start ``step`` on every non-empty micro-batch."""
+    """Start ``step`` on every non-empty micro-batch; tables it writes on its way are deleted after it."""
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                step(batch, batch_id)
+                with passing_tables(batch.sparkSession):
+                    step(batch, batch_id)
         finally:
             batch.unpersist()
 

@@ -11,8 +11,9 @@ from onlinecast import streaming
 from onlinecast.operators import batching, scoring
 from onlinecast.operators import windows as win
 from onlinecast.operators.models import linear_model
+from onlinecast.plans import tables
 from onlinecast.plans.tables import VersionedTable
-from onlinecast.sources import read_results
+from onlinecast.sources import read_results, write_windows
 from onlinecast.sources.registry import append_registry, deploy, read_registry
 from onlinecast.streaming.state import JobPaths
 from tests.frames import readings, same
@@ -321,14 +322,15 @@ def test_publication(spark, tmp_path):
 
 def test_state_survives_compaction(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "k int, v int", ["k"], compact=3)
-    want = {}
+    want, before = {}, {}
     for b in range(10):
+        before = dict(want)
         rows = [(k, 100 * b + k) for k in range(5) if (k + b) % 3 == 0]
         want |= dict(rows)
         table.write(spark.createDataFrame(rows, "k int, v int"), b)
         table.write(spark.createDataFrame(rows, "k int, v int"), b)
         assert {r.k: r.v for r in table.read(b + 1).collect()} == want
-    assert {r.k for r in table.read(1).collect()} == {0, 3}
+    assert {r.k: r.v for r in table.read(9).collect()} == before
 
 
 def test_hot_stream_in_a_stream(spark, tmp_path):
@@ -359,3 +361,34 @@ def test_two_jobs_share_a_registry(spark, tmp_path):
     publish(1, 0.2, 0, JobPaths("s", "new checkpoint", "r", "o").job)
     found = sorted((r.model_id, r.version, r.loss) for r in read_registry(spark, path).collect())
     assert found == [(1, 1, 100.0), (1, 2, 0.5), (1, 3, 0.3), (1, 4, 0.2), (2, 1, 100.0), (2, 2, 0.6)]
+
+
+def test_folders_of_state_and_lineage_are_bounded(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), "k int, v int", ["k"], compact=4)
+    for b in range(30):
+        table.write(spark.createDataFrame([(b % 3, b)], "k int, v int"), b)
+        assert len(table._versions()) <= 2 * 4 + 1
+    assert {r.k: r.v for r in table.read(30).collect()} == {0: 27, 1: 28, 2: 29}
+    assert {r.k: r.v for r in table.read(29).collect()} == {0: 27, 1: 28, 2: 26}
+    with tables.passing_tables(spark):
+        first = tables.written(spark.range(3), "passing")
+        assert first.count() == 3
+        path = first.inputFiles()[0].rsplit("/", 1)[0]
+    assert not tables.exists(spark, path)
+
+
+def test_windows_by_topic(spark, tmp_path):
+    rows, frame = in_order(spark, 11, n=60)
+    windows = win.lookback_windows(frame, 3).withColumn("model_id", F.col("stream_id") % 2)
+    to = F.concat(F.lit("model"), F.col("model_id").cast("string"), F.lit("-infer"))
+    out = str(tmp_path / "w")
+    write_windows(windows, "parquet", {"path": out}, topics=to)
+    found = {r.window_topic: r["count"] for r in spark.read.parquet(out).groupBy("window_topic").count().collect()}
+    want = {f"model{r.model_id}-infer": r["count"] for r in windows.groupBy("model_id").count().collect()}
+    assert found == want
+
+
+def test_model_windows_without_subscriptions(spark):
+    _, frame = in_order(spark, 12, n=30)
+    kind = "model_id long, stream_id int, look_back int, shift int, forward_step int, forward_size int"
+    assert win.model_windows(frame, spark.createDataFrame([], kind)).count() == 0
