@@ -3,7 +3,8 @@
 Documents with equal shingle sets form one class. The shingles are cut into fragments of about equal size;
 a fragment holds all occurrences of its shingles, so it counts in how many classes each occurs without a
 global table. A class of which more than a quarter of the shingles occur nowhere else has no partner and
-leaves. The other shingles are put in one global order, rare ones first; two classes that link must share one of
+leaves. Shingles that very many classes have are known
+from a first pass and not counted there. What is left is put in one global order, rare ones first; two classes that link must share one of
 the first few (the prefix filter). What a pair shares is counted separately in each part of the order and
 summed per pair.
 
@@ -28,6 +29,8 @@ PERCENT = 75
 FRAGMENT_BYTES = 24 << 20
 PARTS = 4
 SEEN = 500_000
+OFTEN_LEAST = 16
+HOT_LEAST = 1_000
 
 WORD = np.ones(256, bool)
 WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -69,23 +72,45 @@ def class_of(grams: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Number of shingles and class of every row; empty texts have none."""
+    """Number of shingles and class of every row (empty texts have none).
+
+    The first row of each block of texts also tells, in ``often``, which shingles a fiftieth of the block's classes have.
+    """
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         sets = list(shingle_sets(column(batch, text)))
+        names = [class_of(s) if len(s) else None for s in sets]
+        found = {name: grams for name, grams in zip(names, sets, strict=True) if name is not None}
+        often: list = [None] * len(sets)
+        if found:
+            grams, n = np.unique(np.concatenate(list(found.values())), return_counts=True)
+            many = n >= max(OFTEN_LEAST, len(found) / 50)
+            pairs = zip(grams[many].view(np.int64).tolist(), n[many].tolist(), strict=True)
+            often[0] = [{"gram": g, "n": k} for g, k in pairs] or None
         return {
             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-            "class": pa.array([class_of(s) if len(s) else None for s in sets], pa.int64()),
+            "class": pa.array(names, pa.int64()),
+            "often": pa.array(often, pa.list_(pa.struct([("gram", pa.int64()), ("n", pa.int64())]))),
         }
 
-    return append(docs.select(key, text), "n_shingles long, class long", add, [key], text)
+    fields = "n_shingles long, class long, often array<struct<gram:bigint,n:bigint>>"
+    return append(docs.select(key, text), fields, add, [key], text)
+
+
+def hot_shingles(rows: DataFrame) -> np.ndarray:
+    """Shingles that about a hundredth of all classes have, sorted: at most a hundred times those of a mean text."""
+    counted = rows.where("often is not null").select(F.explode("often").alias("o")).groupBy("o.gram").agg(F.sum("o.n").alias("n"))
+    least = max(HOT_LEAST, rows.where(F.col("class").isNotNull()).count() // 100)
+    return np.sort(np.array([r[0] for r in counted.where(F.col("n") >= least).select("gram").collect()], np.int64).view(np.uint64))
 
 
-def cut(docs: DataFrame, fragments: int, text: str = "text") -> DataFrame:
+def cut(docs: DataFrame, fragments: int, hot: np.ndarray, text: str = "text") -> DataFrame:
     """Shingles by fragment: for a block of texts and a fragment, classes, their sizes and shingles, packed.
 
-    A task sends a class once, however many copies of it there are.
+    A task sends a class once, however many copies of it there are. Hot shingles need no counting: they go to
+    fragments of their own, dealt by class, so that none of them gathers anywhere.
     """
+    known = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -106,9 +131,10 @@ def cut(docs: DataFrame, fragments: int, text: str = "text") -> DataFrame:
                 sizes = np.array([len(s) for s in sets], np.int64)
                 grams, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
                 fragment = (mix(grams ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(fragments)).astype(np.int64)
+                name = np.array(names, np.int64)
+                fragment = np.where(np.isin(grams, known.value), fragments + name[owner] % fragments, fragment)
                 order = np.argsort(fragment, kind="stable")
                 fragment, grams, owner = fragment[order], grams[order], owner[order]
-                name = np.array(names, np.int64)
                 found, begins = np.unique(fragment, return_index=True)
                 rows = []
                 for begin, end in zip(begins, np.append(begins[1:], len(grams)), strict=True):
@@ -122,10 +148,11 @@ def cut(docs: DataFrame, fragments: int, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, schema)
 
 
-def shared(fragments: DataFrame) -> DataFrame:
+def shared(packed: DataFrame, fragments: int) -> DataFrame:
     """Shingles of each class and fragment that other classes have too, as tokens of the global order.
 
-    A token is the logarithm of the number of classes with it, the fragment and a rank, from high bits to low.
+    A token is the logarithm of the number of classes with it, the fragment and a rank, from high bits to low; hot
+    shingles come last, by their hash.
     """
 
     def rank(table: pa.Table) -> pa.Table:
@@ -140,21 +167,24 @@ def shared(fragments: DataFrame) -> DataFrame:
         once = first[where] == np.arange(len(name))  # a class that several tasks sent counts once
         owner = np.repeat(where, counts)[np.repeat(once, counts)]
         gram = gram[np.repeat(once, counts)]
-        _, token, times = np.unique(gram, return_inverse=True, return_counts=True)
-        order = np.lexsort((np.arange(len(times)), times))
-        ranked = np.empty(len(times), np.int64)
-        ranked[order] = np.arange(len(times)) - (times == 1).sum()
-        level = np.ceil(4 * np.log2(times)).astype(np.int64)
-        tokens = (level << 55) | np.int64(fragment << 31) | ranked
-        several = times[token] > 1
-        owner, out = owner[several], tokens[token[several]]
+        if fragment >= fragments:
+            out = np.int64(255 << 55) | gram.astype(np.int64)
+        else:
+            _, token, times = np.unique(gram, return_inverse=True, return_counts=True)
+            order = np.lexsort((np.arange(len(times)), times))
+            ranked = np.empty(len(times), np.int64)
+            ranked[order] = np.arange(len(times)) - (times == 1).sum()
+            level = np.ceil(4 * np.log2(times)).astype(np.int64)
+            tokens = (level << 55) | np.int64(fragment << 31) | ranked
+            several = times[token] > 1
+            owner, out = owner[several], tokens[token[several]]
         order = np.lexsort((out, owner))
         owner, out = owner[order], out[order]
         own, begins = np.unique(owner, return_index=True)
         lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(out)).astype(np.int32)), pa.array(out))
         return pa.table({"class": pa.array(names[own]), "size": pa.array(size[first][own]), "tokens": lists})
 
-    return fragments.groupBy("fragment").applyInArrow(rank, "class long, size int, tokens array<long>")
+    return packed.groupBy("fragment").applyInArrow(rank, "class long, size int, tokens array<long>")
 
 
 def prefixes(kept: DataFrame, percent: int) -> DataFrame:
@@ -178,11 +208,14 @@ def verified(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("overlap") * 100 >= percent * (F.col("nu") + F.col("nv") - F.col("overlap"))).select("u", "v")
 
 
-def class_links(docs: DataFrame, scratch: Scratch, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``node`` and ``component`` of every class that is similar to another."""
+def class_links(
+    docs: DataFrame, rows: DataFrame, scratch: Scratch, text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """``node`` and ``component`` of every class that is similar to another; ``rows`` are the classes of ``docs``."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     fragments = max(8, -(-size // FRAGMENT_BYTES))
-    whole = shared(cut(docs, fragments, text)).groupBy("class").agg(
+    packed = cut(docs, fragments, hot_shingles(rows), text)
+    whole = shared(packed, fragments).groupBy("class").agg(
         F.max("size").alias("size"), F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens")
     )
     kept = scratch.write(whole.where(F.size("tokens") * 100 >= F.col("size") * percent), "kept")
@@ -224,13 +257,13 @@ def linked(
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = scratch.write(classes(docs, key, text), "classes")
-    found = class_links(docs, scratch, text, percent)
+    found = class_links(docs, rows, scratch, text, percent)
     least = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(key).alias("least"))
     least = least.join(found.withColumnRenamed("node", "class"), "class", "left")
     least = least.withColumn("component", F.coalesce("component", "class"))
     named = least.groupBy("component").agg(F.min("least").alias("component_id"))
     named = scratch.write(least.join(named, "component").select("class", "component_id"), "named")
-    out = rows.join(named, "class", "left")
+    out = rows.drop("often").join(named, "class", "left")
     alone = F.when(F.col("class").isNull(), F.col(key)).otherwise(F.col("component_id"))
     return out.select(key, "n_shingles", alone.alias("component_id"))
 

@@ -68,6 +68,16 @@ def test_chains_and_large_groups(spark, seed):
     check(spark, rows)
 
 
+def test_hot_shingles_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "OFTEN_LEAST", 3)
+    monkeypatch.setattr(jaccard, "HOT_LEAST", 4)
+    seen = []
+    find = jaccard.hot_shingles
+    monkeypatch.setattr(jaccard, "hot_shingles", lambda rows: seen.append(find(rows)) or seen[-1])
+    test_chains_and_large_groups(spark, 0)
+    assert len(seen[0]) > 5
+
+
 def test_threshold_is_exact(spark):
     # 3 of 4 shingles of the union shared, and one less
     a = "a b c d e f g h"
