@@ -47,4 +47,39 @@ ORACLES: dict[str, str] = {
             coalesce(sum(length(content)) FILTER (WHERE own), 0)::BIGINT AS n_trained
         FROM laid GROUP BY conv_id, perspective, part
     """,
+    # The classes and counts of shared shingles by plain joins; components by following links.
+    "op6_jaccard": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+            ) AS words FROM documents
+        ), listed AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles
+            FROM worded
+        ), shingle AS (
+            SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM listed
+        ), links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        ), reached(doc_id, found) AS (
+            SELECT doc_id, doc_id FROM listed UNION SELECT r.doc_id, l.v FROM reached r JOIN links l ON r.found = l.u
+        )
+        SELECT doc_id, len(shingles)::BIGINT AS n_shingles, least.component_id
+        FROM listed JOIN (SELECT doc_id, min(found) AS component_id FROM reached GROUP BY doc_id) least USING (doc_id)
+    """,
+    "op9_lattice": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reached(vec_id, found) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.v FROM reached r JOIN links l ON r.found = l.u
+        ), least AS (SELECT vec_id, min(found) AS component_id FROM reached GROUP BY vec_id)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+        FROM least
+    """,
 }
