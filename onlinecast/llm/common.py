@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onlinecast.plans.tables import new_path, size_bound
+from onlinecast.plans.tables import delete, new_path, size_bound
 
 BLOCK_BYTES = 4 << 20
 ODD = 0x9E3779B97F4A7C15
@@ -142,9 +142,10 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for name in names:
+            delete(self.spark, f"{self.root}/{name}")
 
 
 def small_side(df: DataFrame, limit: int = 16 << 20) -> DataFrame:

@@ -239,6 +239,7 @@ def class_links(
     tried = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
     rest = scratch.write(rest.join(tried, ["u", "v"], "left_anti"), "rest")
     more = scratch.write(verified(rest, kept, percent), "rest_links")
+    scratch.drop("kept", "prefix", "stars", "star_links", "mixed", "rest")
     if more.isEmpty():
         return found
     contracted = found.select(F.col("node").alias("u"), F.col("component").alias("v"))

@@ -204,6 +204,7 @@ def near_duplicates(
         "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     out = rows.select("key", "class").join(scratch.write(named, "named"), "class", "left")
+    scratch.drop("met", "vectors", "links")
     component = F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id"))
     return out.select(
         F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -204,10 +204,11 @@ def spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
         whole, rest = decided(runs, scratch, level)
         whole = scratch.write(whole, f"whole{level}")
         found = whole if found is None else found.union(whole)
+        rest = scratch.write(rest, f"rest{level}") if level else rest
+        scratch.drop("roots" if k == 0 else f"runs{level}")
+        scratch.drop(*(f"{name}{level}" for name in ("cores", "shared", "kinds", "several", "mixed")))
         if level == 0:
             break
-        rest = scratch.write(rest, f"rest{level}")
-        scratch.drop("roots" if k == 0 else f"runs{level}")
         following = LEVELS[k + 1]
         runs = scratch.write(parts(docs, rest, following, length), f"runs{following}")
 
@@ -222,7 +223,9 @@ def spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
 
     grouped = found.groupBy("tid").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
     merged = append(grouped, "spans array<struct<start:bigint,end:bigint>>", run, ["tid"])
-    return scratch.write(merged, "spans")
+    merged = scratch.write(merged, "spans")
+    scratch.drop(*(f"{name}{level}" for name in ("whole", "rest") for level in LEVELS))
+    return merged
 
 
 def with_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, name: str = "spans") -> DataFrame:
