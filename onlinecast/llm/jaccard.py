@@ -26,9 +26,9 @@ from onlinecast.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-FRAGMENT_BYTES = 24 << 20
+FRAGMENT_BYTES = 8 << 20
 PARTS = 4
-SEEN = 500_000
+SEEN = 200_000
 OFTEN_LEAST = 16
 HOT_LEAST = 1_000
 
@@ -116,7 +116,7 @@ def cut(docs: DataFrame, fragments: int, hot: np.ndarray, text: str = "text") ->
         seen: set[int] = set()
         for batch in batches:
             values = column(batch, text)
-            for first, last in row_blocks(text_buffer(values)[1], 2 * FRAGMENT_BYTES // 3):
+            for first, last in row_blocks(text_buffer(values)[1]):
                 names, sets = [], []
                 for grams in shingle_sets(values.slice(first, last - first)):
                     name = class_of(grams)
