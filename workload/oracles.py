@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from onlinecast.operators.models import mlp_model
+
 ORACLES: dict[str, str] = {}
 
 TICK = 21600
@@ -207,6 +209,31 @@ ORACLES["lookback_windows_cut"] = ORACLES["lookback_windows_lineitem"].replace(
     "ORDER BY l_shipdate, l_orderkey * 8 + l_linenumber", "ORDER BY l_shipdate, -(l_orderkey * 8 + l_linenumber)"
 )
 
+def hidden_layer(weights: list[str]) -> tuple[list[str], str]:
+    """The four hidden values and the output of a tanh network on two inputs."""
+    hidden = [f"tanh(x[1] * ({weights[j]}) + x[2] * ({weights[4 + j]}) + ({weights[8 + j]}))" for j in range(4)]
+    return hidden, " + ".join(f"({h}) * ({weights[12 + j]})" for j, h in enumerate(hidden)) + f" + ({weights[16]})"
+
+
+def network_step() -> str:
+    """Loss of the network after one step of 0.05 along its mean gradient."""
+    start = [repr(float(v)) for v in mlp_model(2, 4).init]
+    hidden, output = hidden_layer(start)
+    back = [f"2 * miss * ({start[12 + j]}) * (1 - a{j} * a{j})" for j in range(4)]
+    slopes = [f"{back[j]} * x[1]" for j in range(4)] + [f"{back[j]} * x[2]" for j in range(4)] + back
+    slopes += [f"2 * miss * a{j}" for j in range(4)] + ["2 * miss"]
+    moved = ", ".join(f"({w}) - 0.05 * avg({slope}) AS w{k}" for k, (w, slope) in enumerate(zip(start, slopes, strict=True)))
+    inner = ", ".join(f"{h} AS a{j}" for j, h in enumerate(hidden))
+    return f"""
+WITH {LEARNING},
+f AS (SELECT *, {inner}, {output} - y[1] AS miss FROM l),
+n AS (SELECT model_id, {moved} FROM f GROUP BY model_id)
+SELECT model_id, round(avg(({hidden_layer([f"w{k}" for k in range(17)])[1]} - y[1]) ** 2), 6) AS loss
+FROM l JOIN n USING (model_id) GROUP BY model_id"""
+
+
+ORACLES["user_model"] = network_step()
+
 ORACLES["training_windows"] = f"""
 WITH {READINGS}, {training(4, 3, 2, 3)}
 {values("stream_id, k, epoch_us(t_end) AS t_end", "(SELECT *, x || y AS xy FROM w)", "xy")}"""

@@ -533,7 +533,7 @@ def user_model(spark, sf_dir):
     windows = inputs.learning_windows(spark, sf_dir)
     start = inputs.parameters(spark, sf_dir).withColumn("params", F.array(*[F.lit(v) for v in spec.init]))
     moved = learning.apply_update(start, learning.gradient(windows, start, spec), 0.05)
-    return learning.evaluate(windows, moved, spec)
+    return learning.evaluate(windows, moved, spec).select("model_id", r6("loss"))
 
 
 # Result analytics
