@@ -46,4 +46,4 @@ def read_results(spark: SparkSession, path: str, model_id: int | None = None) ->
     table = spark.read.schema(SCHEMA + ", run long, bucket int").parquet(path)
     if model_id is not None:
         table = table.where((F.col("bucket") == model_id % BUCKETS) & (F.col("model_id") == model_id))
-    return table.drop("run", "bucket")
+    return table.drop("run", "bucket", "shape")

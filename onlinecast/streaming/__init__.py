@@ -1,6 +1,6 @@
 """Windows, inference and training on unbounded readings."""
 
-from onlinecast.streaming.inference import inference_job
+from onlinecast.streaming.inference import inference_job, inference_jobs
 from onlinecast.streaming.training import continual_job, incremental_job, scheduled_continual_job
 from onlinecast.streaming.windows import lookback_windows_stream, training_windows_stream, windows_job
 
@@ -8,6 +8,7 @@ __all__ = [
     "continual_job",
     "incremental_job",
     "inference_job",
+    "inference_jobs",
     "lookback_windows_stream",
     "scheduled_continual_job",
     "training_windows_stream",

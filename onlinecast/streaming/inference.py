@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -106,3 +108,24 @@ def inference_job(
         append_results(numbered, paths.results, batch_id)
 
     return run_batches(readings, step, paths, trigger)
+
+
+def inference_jobs(
+    readings: DataFrame,
+    subscriptions: DataFrame,
+    model: Callable[[int], ModelSpec],
+    paths: JobPaths,
+    **options,
+) -> list[StreamingQuery]:
+    """One ``inference_job`` for each window shape in ``subscriptions(model_id, stream_id, look_back, shift)``.
+
+    ``model`` gives the spec for a look-back. Jobs share the registry; state, checkpoint and results of a shape are
+    in a folder of its own, and ``read_results(spark, paths.results)`` reads the documents of all.
+    """
+    shapes = sorted(map(tuple, subscriptions.select("look_back", "shift").distinct().collect()))
+    queries = []
+    for look_back, shift in shapes:
+        members = subscriptions.where((F.col("look_back") == look_back) & (F.col("shift") == shift))
+        own = paths.below(f"shape={look_back}x{shift}")
+        queries.append(inference_job(readings, members, model(look_back), WindowShape(look_back, shift), own, **options))
+    return queries

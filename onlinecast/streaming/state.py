@@ -26,6 +26,10 @@ class JobPaths:
         """Name under which the job publishes; a new checkpoint is a new job."""
         return md5(self.checkpoint.encode()).hexdigest()[:16]
 
+    def below(self, name: str) -> JobPaths:
+        """Folders of a part of the work, which shares the registry."""
+        return JobPaths(f"{self.state}/{name}", f"{self.checkpoint}/{name}", self.registry, f"{self.results}/{name}")
+
     def table(self, spark: SparkSession, name: str, schema: str, keys: list[str], compact: int = 20) -> VersionedTable:
         return VersionedTable(spark, f"{self.state}/{name}", schema, keys, compact)
 

@@ -72,7 +72,7 @@ def messages(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
 SLICES = 3
 
 
-def replay(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+def replay(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery | list[StreamingQuery]]) -> None:
     """Deliver the messages in three slices of equal time; after each, run the query on what is new."""
     events = table(spark, sf_dir, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
     first, last = events.agg(F.min("at"), F.max("at")).first()
@@ -86,7 +86,9 @@ def replay(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], Stream
             F.encode(F.col("value").cast("string"), "UTF-8").alias("payload"),
         ).write.mode("append").parquet(path)
         raw = read_readings(spark, "parquet", {"path": path}, streaming=True, schema=MESSAGE_SCHEMA)
-        start(decode_readings(raw)).awaitTermination()
+        started = start(decode_readings(raw))
+        for query in started if isinstance(started, list) else [started]:
+            query.awaitTermination()
 
 
 def job_paths(spark: SparkSession, name: str) -> JobPaths:

@@ -583,12 +583,15 @@ ORACLES["lookback_windows_stream"] = ORACLES["lookback_windows"]
 ORACLES["training_windows_stream"] = ORACLES["sink_source_windows"]
 ORACLES["windows_job"] = ORACLES["training_windows"]
 
-ORACLES["inference_job"] = f"""
-WITH {INFERENCE}, {SLICED}, b AS (
+def inference(size: int, shift: int, models: str) -> str:
+    """Documents of the job for the models of one window shape."""
+    mean = " + ".join(f"x[{i + 1}]" for i in range(size))
+    return f"""
+WITH {READINGS}, {lookback(size, shift)}, {SLICED}, b AS (
   SELECT *, (place - 1) // 3 + run * {PER_TICK} AS batch_id, (place - 1) % 3 AS pos FROM (
     SELECT *, row_number() OVER (PARTITION BY model_id, run ORDER BY t_end, stream_id, k) AS place FROM (
-      SELECT w.*, stream_id % 10 AS model_id, {slice_of("t_end")} AS run FROM w, span))),
-s AS (SELECT *, (x[1] + x[2] + x[3]) / 3 AS pred, x[3] AS "true" FROM b), {errors('k', 'model_id, stream_id')}, a AS (
+      SELECT w.*, stream_id % 10 AS model_id, {slice_of("t_end")} AS run FROM w, span) WHERE {models})),
+s AS (SELECT *, ({mean}) / {size} AS pred, x[{size}] AS "true" FROM b), {errors('k', 'model_id, stream_id')}, a AS (
   SELECT d.*, CASE WHEN loss IS NOT NULL THEN avg(loss) OVER (
     PARTITION BY model_id, stream_id, loss IS NULL ORDER BY batch_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
   END AS average_loss FROM d)
@@ -597,6 +600,12 @@ SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, str
 FROM a"""
 
 
+ORACLES["inference_job"] = inference(3, 1, "true")
+
+ORACLES["inference_job_shapes"] = f"""
+SELECT * FROM ({inference(3, 1, "model_id % 2 = 0")}) UNION ALL SELECT * FROM ({inference(2, 2, "model_id % 2 = 1")})"""
+
+
 def training_step(b: int) -> str:
     """Parameters after micro-batch ``b``: a gradient step, turned away from the mean memory gradient."""
 

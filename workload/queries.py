@@ -25,6 +25,7 @@ from onlinecast.sources import (
     write_windows,
 )
 from onlinecast.sources.readings import PREFIX
+from onlinecast.sources.registry import deploy
 from onlinecast import streaming
 from onlinecast.streaming import lookback_windows_stream as lookback_stream
 from onlinecast.streaming import training_windows_stream as training_stream
@@ -637,11 +638,36 @@ def inference_job(spark, sf_dir):
         return streaming.inference_job(readings, members, INFERENCE, win.WindowShape(3), paths, trigger=NOW)
 
     inputs.replay(spark, sf_dir, start)
-    return read_results(spark, paths.results).select(
+    return inference_documents(read_results(spark, paths.results))
+
+
+def inference_documents(results):
+    return results.select(
         "model_id", "seq", "batch_id", long("stream_id"), long(F.size("pred"), "n"), micros("ts"), r6("loss"), r6("average_loss")
     )
 
 
+@query
+def inference_job_shapes(spark, sf_dir):
+    """Models with even ids look back over three readings, the others over two and start at every second."""
+    paths = inputs.job_paths(spark, "inference")
+    even = F.col("model_id") % 2 == 0
+    members = inputs.memberships(spark, sf_dir).withColumns(
+        {"look_back": F.when(even, 3).otherwise(2), "shift": F.when(even, 1).otherwise(2)}
+    )
+    weights = [F.array(*[F.lit(v) for v in linear_model(n).init]) for n in (3, 2)]
+    models = members.select("model_id").distinct().select(
+        "model_id", F.timestamp_seconds(F.lit(1704067200)).alias("create_time"), F.when(even, weights[0]).otherwise(weights[1]).alias("params")
+    )
+    deploy(models, paths.registry)
+
+    def start(readings):
+        return streaming.inference_jobs(readings, members, linear_model, paths, trigger=NOW)
+
+    inputs.replay(spark, sf_dir, start)
+    return inference_documents(read_results(spark, paths.results))
+
+
 def trained(spark, sf_dir, start_job):
     """Documents of a training job on the scaled readings."""
     paths = inputs.job_paths(spark, "training")
