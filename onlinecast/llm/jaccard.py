@@ -8,8 +8,9 @@ from a first pass and not counted there. What is left is put in one global order
 the first few (the prefix filter). What a pair shares is counted separately in each part of the order and
 summed per pair.
 
-Not all pairs of a large group are compared: the classes of a shingle are compared with the smallest of them
-first, then only those that are still in different components, which leaves the components exact.
+Not all pairs of a large group are compared: a class is compared first with the one it shares most first shingles
+with among the smallest of each, then in a few turns with others, and at last with all that are still in
+another component, which leaves the components exact.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, small_side, text_buffer, words_of
@@ -29,6 +30,7 @@ PERCENT = 75
 FRAGMENT_BYTES = 8 << 20
 PARTS = 4
 SEEN = 200_000
+TURNS = 6
 OFTEN_LEAST = 16
 HOT_LEAST = 1_000
 
@@ -188,24 +190,34 @@ def shared(packed: DataFrame, fragments: int) -> DataFrame:
 
 
 def prefixes(kept: DataFrame, percent: int) -> DataFrame:
-    """First tokens of each class, one row each: what any partner must share one of."""
+    """First tokens of each class with their places, one row each: what any partner must share one of."""
     rare = F.col("size") - F.size("tokens")
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - rare
-    return kept.select("class", "size", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token"))
+    first = F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("at", "token")
+    return kept.select("class", "size", rare.alias("rare"), first).withColumn("at", F.col("at") + F.col("rare"))
+
+
+def possible(percent: int) -> Column:
+    """Whether u and v can share enough if the token at these places is the first they share: no more than what follows."""
+    after = F.least(F.col("u.size") - F.col("u.at"), F.col("v.size") - F.col("v.at"))
+    return after * (100 + percent) >= (F.col("u.size") + F.col("v.size")) * percent
 
 
 def verified(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (u, v), those whose sets are similar enough; overlaps are counted per part and summed."""
-    part = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))
-    cuts = kept.select("class", "size", "tokens", part.alias("part")).withColumn(
-        "tokens", F.filter("tokens", lambda t: F.pmod(F.shiftright(t, 31), F.lit(PARTS)) == F.col("part"))
-    )
-    left = cuts.select(F.col("class").alias("u"), "part", F.col("size").alias("nu"), F.col("tokens").alias("tu"))
-    right = cuts.select(F.col("class").alias("v"), "part", F.col("size").alias("nv"), F.col("tokens").alias("tv"))
-    partial = pairs.join(left, "u").join(right, ["v", "part"])
-    partial = partial.select("u", "v", "nu", "nv", F.size(F.array_intersect("tu", "tv")).alias("overlap"))
-    total = partial.groupBy("u", "v", "nu", "nv").agg(F.sum("overlap").alias("overlap"))
-    return total.where(F.col("overlap") * 100 >= percent * (F.col("nu") + F.col("nv") - F.col("overlap"))).select("u", "v")
+    cuts = F.array(*[_part_of(k) for k in range(PARTS)])
+    sides = kept.select("class", "size", cuts.alias("parts"))
+    left = sides.select(F.col("class").alias("u"), F.col("size").alias("nu"), F.col("parts").alias("pu"))
+    right = sides.select(F.col("class").alias("v"), F.col("size").alias("nv"), F.col("parts").alias("pv"))
+    both = pairs.join(left, "u").join(right, "v")
+    partial = F.zip_with("pu", "pv", lambda a, b: F.size(F.array_intersect(a, b)))
+    both = both.withColumn("overlap", F.aggregate(partial, F.lit(0), lambda a, n: a + n))
+    return both.where(F.col("overlap") * 100 >= percent * (F.col("nu") + F.col("nv") - F.col("overlap"))).select("u", "v")
+
+
+def _part_of(k: int) -> Column:
+    """Tokens of the fragments that form part ``k`` of the order."""
+    return F.filter("tokens", lambda t: F.pmod(F.shiftright(t, 31), F.lit(PARTS)) == k)
 
 
 def class_links(
@@ -220,30 +232,53 @@ def class_links(
     )
     kept = scratch.write(whole.where(F.size("tokens") * 100 >= F.col("size") * percent), "kept")
     prefix = scratch.write(prefixes(kept, percent), "prefix")
-    like = lambda a, b: (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-    first = prefix.groupBy("token").agg(F.min(F.struct("size", "class")).alias("least"), F.count("*").alias("n"))
-    first = first.where("n > 1").select("token", F.col("least.class").alias("u"), F.col("least.size").alias("nu"))
-    stars = prefix.join(first, "token").where((F.col("class") != F.col("u")) & like("nu", "size"))
-    stars = scratch.write(stars.select("u", F.col("class").alias("v")).distinct(), "stars")
-    links = scratch.write(verified(stars, kept, percent), "star_links")
-    found = scratch.write(components(links), "components")
-
-    placed = prefix.join(found.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    placed = scratch.write(placed.join(mixed.select("token"), "token"), "mixed")
-    left = placed.select("token", F.col("class").alias("u"), F.col("size").alias("nu"), F.col("component").alias("cu"))
-    right = placed.select("token", F.col("class").alias("v"), F.col("size").alias("nv"), F.col("component").alias("cv"))
-    rest = left.join(right, "token").where((F.col("cu") < F.col("cv")) & like("nu", "nv")).select("u", "v").distinct()
-    tried = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    rest = scratch.write(rest.join(tried, ["u", "v"], "left_anti"), "rest")
-    more = scratch.write(verified(rest, kept, percent), "rest_links")
-    scratch.drop("kept", "prefix", "stars", "star_links", "mixed", "rest")
-    if more.isEmpty():
-        return found
-    contracted = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return components(contracted.union(more))
+    # every class of a token with the smallest one
+    least = prefix.groupBy("token").agg(F.min(F.struct("size", "class", "rare", "at")).alias("least"), F.count("*").alias("n"))
+    least = scratch.write(least.where("n > 1").select("token", "least.*"), "least")
+    met = least.alias("u").join(prefix.alias("v"), "token").where((F.col("u.class") != F.col("v.class")) & possible(percent))
+    stars = met.groupBy(F.col("u.class").alias("u"), F.col("v.class").alias("v")).agg(F.count("*").alias("n"))
+    stars = scratch.write(stars, "stars")
+    best = stars.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v")
+    links = scratch.write(verified(best, kept, percent), "links0")
+    found = scratch.write(components(links), "components0")
+
+    def grown(more: DataFrame, name: str) -> DataFrame:
+        if more.isEmpty():
+            return found
+        contracted = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        return scratch.write(components(contracted.union(more)), name)
+
+    def still_apart() -> DataFrame:
+        """Prefix rows, with components, of the tokens that stand in several components."""
+        placed = prefix.join(found.withColumnRenamed("node", "class"), "class", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "class"))
+        mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return placed.join(scratch.write(mixed.select("token"), f"tokens{turn}"), "token")
+
+    # in further turns with another class of each token, as long as that joins components
+    for turn in range(1, TURNS + 1):
+        placed = scratch.write(still_apart(), f"mixed{turn}")
+        chosen = F.min_by(F.struct("size", "class", "rare", "at", "component"), F.xxhash64("class", F.lit(turn)))
+        lead = scratch.write(placed.groupBy("token").agg(chosen.alias("lead")).select("token", "lead.*"), f"lead{turn}")
+        met = lead.alias("u").join(placed.alias("v"), "token")
+        met = met.where((F.col("u.component") != F.col("v.component")) & possible(percent))
+        pairs = met.groupBy(F.col("u.class").alias("u"), F.col("v.class").alias("v")).agg(F.count("*").alias("n"))
+        pairs = pairs.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v")
+        more = scratch.write(verified(pairs, kept, percent), f"links{turn}")
+        if more.isEmpty():
+            break
+        found = grown(more, f"components{turn}")
+
+    # what of a token is still in several components, each pair once
+    turn = TURNS + 1
+    placed = scratch.write(still_apart(), f"mixed{turn}")
+    met = placed.alias("u").join(placed.alias("v"), "token")
+    met = met.where((F.col("u.component") < F.col("v.component")) & possible(percent))
+    rest = met.select(F.col("u.class").alias("u"), F.col("v.class").alias("v")).distinct()
+    rest = scratch.write(rest, "rest")
+    found = grown(scratch.write(verified(rest, kept, percent), f"links{turn}"), f"components{turn}")
+    scratch.drop("kept", "prefix", "least", "stars", "rest", *(f"mixed{k}" for k in range(1, turn + 1)))
+    return found
 
 
 def linked(
