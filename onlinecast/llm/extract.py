@@ -4,7 +4,8 @@ Elements that are by their kind no part of an article (menus, headers, footers,
 are left out first. What the pages of one host have in common is then seen in their merged style tree: a
 node is the way of tags and classes that leads to an element. A node that holds text is as important as its
 texts differ between pages (their entropy, from 0 for one text to 1), a node that holds others as the way its
-children are laid out and what they hold differ. Branches of little importance are taken out of each page.
+children are laid out and what they hold differ. Text in ``article`` or ``main`` is a little more important than
+other text. Branches of little importance are taken out of each page, unless nothing would be left of it.
 
 The tree is never built in one place: its nodes are rows, their entropies are aggregates, and only the
 unimportant nodes travel back to the pages.
@@ -27,7 +28,8 @@ from onlinecast.llm.common import Scratch, append, column, small_side
 MIN_PAGES = 4
 LOW = 0.15
 LAYOUT = 0.1
-MOST = 0.5
+MARKED = 0.1
+HIGH = 0.5
 
 # fixed values: elements and words of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -169,7 +171,10 @@ class Page:
             self._pop()
 
     def text_blocks(self) -> list[tuple[str, tuple[int, ...]]]:
-        """Blocks of the article, or of the whole page if none is marked, with the way to each."""
+        """Blocks of the article, or of the whole page if none is marked, with the way to each.
+
+        This is what the marks of one page say; ``main_text`` takes all blocks and asks the tree of the site.
+        """
         marked = any(main for _, main, _ in self.blocks)
         return [(text, way) for text, main, way in self.blocks if main or not marked]
 
@@ -182,11 +187,13 @@ def nodes(pages: DataFrame, source: str) -> DataFrame:
             rows: list[tuple] = []
             for host, value in zip(column(batch, "__host").to_pylist(), column(batch, source), strict=True):
                 page = Page(value.as_py() or "")
-                blocks = page.text_blocks()
-                content = name_of(*(text for text, _ in blocks))
-                inside = {step for _, way in blocks for step in way}
-                rows += [(host, way[-1] if way else 0, True, name_of(text), content, list(way[:-1])) for text, way in blocks]
-                rows += [(host, path, False, name_of(*shown), content, []) for path, shown in page.layout if path in inside]
+                content = name_of(*(text for text, _, _ in page.blocks))
+                inside = {step for _, _, way in page.blocks for step in way}
+                rows += [
+                    (host, way[-1] if way else 0, True, main, name_of(text), content, list(way[:-1]))
+                    for text, main, way in page.blocks
+                ]
+                rows += [(host, path, False, False, name_of(*shown), content, []) for path, shown in page.layout if path in inside]
                 if len(rows) > 50_000:
                     yield _node_batch(rows)
                     rows = []
@@ -194,44 +201,53 @@ def nodes(pages: DataFrame, source: str) -> DataFrame:
                 yield _node_batch(rows)
 
     return pages.select("__host", source).mapInArrow(
-        run, "host string, node long, leaf boolean, shown long, content long, above array<long>"
+        run, "host string, node long, leaf boolean, main boolean, shown long, content long, above array<long>"
     )
 
 
 def _node_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-    names = ["host", "node", "leaf", "shown", "content", "above"]
+    kinds = (pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+    names = ["host", "node", "leaf", "main", "shown", "content", "above"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def unimportant(pages: DataFrame, source: str, scratch: Scratch, min_pages: int = MIN_PAGES, low: float = LOW) -> DataFrame:
-    """``host`` and ``node`` of the branches of little importance on hosts with enough different pages.
+    """``host``, ``node`` and ``importance`` of the unimportant branches on hosts with enough different pages.
 
-    Pages of a host with equal content count once. The importance of a node is ``LAYOUT`` parts the entropy of how
-    its children are laid out, the rest the mean importance of the texts below it.
+    Pages of a host with equal content count once. The importance of a text is its entropy, ``MARKED`` more in
+    ``article`` or ``main``; that of a node is ``LAYOUT`` parts the entropy of how its children are laid out, the rest
+    the mean importance of the texts below it. A node with a text of ``HIGH`` importance or one too rare to be judged
+    below it stays, whatever its mean is; the unimportant texts below it go one by one.
     """
     once = nodes(pages.where("__host <> ''"), source).groupBy("host", "node", "leaf", "shown", "content").agg(
-        F.first("above").alias("above")
+        F.first("above").alias("above"), F.max("main").alias("main")
     )
     shown = once.groupBy("host", "node", "leaf", "shown").agg(
-        F.count("*").alias("n"), F.first("above").alias("above")
+        F.count("*").alias("n"), F.first("above").alias("above"), F.max("main").alias("main")
     )
     # entropy of what is shown, in units of the logarithm of the number of occurrences
     sums = shown.groupBy("host", "node", "leaf").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.first("above").alias("above")
+        F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.first("above").alias("above"),
+        F.max("main").alias("main"),
     )
     entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("s") / F.col("m")) / F.log("m")).otherwise(1.0)
-    sums = scratch.write(sums.where(F.col("m") >= min_pages).withColumn("entropy", entropy), "entropy")
-    leaves = sums.where("leaf").select("host", "m", "entropy", "node", "above")
-    below = leaves.select("host", "entropy", "m", F.explode("above").alias("node")).groupBy("host", "node").agg(
-        F.avg("entropy").alias("held"), F.max("m").alias("m")
+    raised = F.least(F.lit(1.0), entropy + F.when(F.col("main"), MARKED).otherwise(0.0))
+    sums = scratch.write(sums.withColumn("entropy", F.when(F.col("m") >= min_pages, raised)), "entropy")
+    judged = sums.where(F.col("entropy").isNotNull())
+    leaves = judged.where("leaf").select("host", "entropy", "node")
+    below = (
+        sums.where("leaf").join(leaves.select("host").distinct(), "host", "left_semi")
+        .select("host", "entropy", F.explode("above").alias("node")).groupBy("host", "node").agg(
+            F.avg("entropy").alias("held"), F.max(F.coalesce("entropy", F.lit(1.0))).alias("most")
+        )
     )
-    layout = sums.where("not leaf").select("host", "node", F.col("entropy").alias("laid"))
-    inner = below.join(layout, ["host", "node"], "left").select(
+    layout = judged.where("not leaf").select("host", "node", F.col("entropy").alias("laid"))
+    inner = below.where(F.col("most") < HIGH).join(layout, ["host", "node"], "left").select(
         "host", "node", (LAYOUT * F.coalesce("laid", F.lit(1.0)) + (1 - LAYOUT) * F.col("held")).alias("importance")
     )
     every = leaves.select("host", "node", F.col("entropy").alias("importance")).union(inner)
-    return scratch.write(every.where(F.col("importance") < low).select("host", "node").distinct(), "low")
+    weak = every.where(F.col("importance") < low).groupBy("host", "node").agg(F.min("importance").alias("importance"))
+    return scratch.write(weak, "low")
 
 
 def main_text(
@@ -242,8 +258,8 @@ def main_text(
 
     Blocks of text stand in page order with an empty line between; white space in a block is one space. A null or
     empty page, and one without any text, gives an empty text. Pages whose address is null or has no host are
-    not merged with others. A page that would lose more than half of its text to the style tree keeps all of it: it is
-    then the repeated content itself. Repeated pages count once in the tree and get equal texts. ``keep`` names the
+    not merged with others. A page of which the style tree would leave nothing keeps its most important branches: it
+    is then the repeated content itself. Repeated pages count once in the tree and get equal texts. ``keep`` names the
     columns to carry on (all when None); columns called ``text`` and ``n_chars`` are replaced.
     """
     keep = list(pages.columns) if keep is None else keep
@@ -251,18 +267,20 @@ def main_text(
     hosted = pages.select(*{*keep, source}, host.alias("__host"))
     scratch = Scratch(pages.sparkSession, "extract")
     weak = unimportant(hosted, source, scratch, min_pages, low)
-    weak = weak.groupBy(F.col("host").alias("__host")).agg(F.collect_list("node").alias("__low"))
+    weak = weak.groupBy(F.col("host").alias("__host")).agg(
+        F.map_from_entries(F.collect_list(F.struct("node", "importance"))).alias("__low")
+    )
     joined = hosted.join(small_side(weak), "__host", "left").drop("__host")
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         out = []
         for value, nodes in zip(column(batch, source), column(batch, "__low"), strict=True):
-            blocks = Page(value.as_py() or "").text_blocks()
-            nodes = frozenset(nodes.as_py() or ())
-            left = [text for text, way in blocks if nodes.isdisjoint(way)] if nodes else [text for text, _ in blocks]
-            if sum(map(len, left)) < MOST * sum(len(text) for text, _ in blocks):
-                left = [text for text, _ in blocks]
-            out.append("\n\n".join(left))
+            blocks = Page(value.as_py() or "").blocks
+            low_nodes = dict(nodes.as_py() or ())
+            worth = [min((low_nodes[n] for n in way or (0,) if n in low_nodes), default=1.0) for _, _, way in blocks]
+            # blocks outside all low branches are worth 1, which no low branch is
+            best = max(worth, default=1.0)
+            out.append("\n\n".join(text for (text, _, _), w in zip(blocks, worth, strict=True) if w == best))
         return {"text": pa.array(out, pa.string()), "n_chars": pa.array(np.array([len(t) for t in out], np.int64))}
 
     return append(joined, "text string, n_chars long", add, [c for c in keep if c not in ("text", "n_chars")], source)

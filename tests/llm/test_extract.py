@@ -56,6 +56,28 @@ def test_copies_of_a_page_do_not_erase_it(spark):
     assert got[13] == "The v3 same page, again and again"
 
 
+def test_marks_and_long_notices_lose_no_article(spark):
+    """Teasers or a part in ``article`` are not the page; a notice longer than every article goes all the same."""
+    notice = "<div class=legal><p>" + "This notice stands on every page of this site. " * 20 + "</p></div>"
+    rows = []
+    for k in range(8):
+        body = f"<div class=body><p>Report {k} is about {k * k} things</p></div>"
+        card = f"<article class=card><p>Teaser {k}</p></article>"
+        rows.append((k, f"http://cards.example/{k}", f"<body>{body}{card}</body>"))
+        rows.append((10 + k, f"http://short.example/{k}", f"<body>{notice}{body}</body>"))
+        many = "".join(f"<div class=n{'abcdefghijkl'[j]}><p>Notice {j}</p></div>" for j in range(12))
+        rows.append((20 + k, f"http://many.example/{k}", f"<body><div>{many}{body}</div><p>by {k}</p></body>"))
+        rows.append((40 + k, f"http://same.example/{k}", f"<body><main>{notice}<h1>Title {k}</h1></main></body>" if k else f"<body><main>{notice}</main></body>"))
+    rows.append((60, "http://alone.example/", "<body><p>The first half</p><article><p>the second half</p></article></body>"))
+    got = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[3] == "Report 3 is about 9 things\n\nTeaser 3"
+    assert got[13] == "Report 3 is about 9 things"
+    assert got[23] == "Report 3 is about 9 things\n\nby 3"
+    assert got[43] == "Title 3"
+    assert got[40].startswith("This notice stands")
+    assert got[60] == "The first half\n\nthe second half"
+
+
 def test_query_pages(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     rows = extract.main_text(pages, keep=["page_id"]).join(pages, "page_id").collect()
