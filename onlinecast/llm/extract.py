@@ -1,7 +1,7 @@
 """Main text of pages, with a style tree of each site.
 
-Elements that are by their kind no part of an article (menus, headers, footers, forms, adverts, comments and so on)
-are left out first. What the pages of one host have in common is then seen in their merged style tree: a
+Elements that are by their kind no part of an article (menus, footers, forms, hidden ones and so on) are left out
+first, and those whose class names say so (adverts, comments), unless they hold an article or most of a page. What the pages of one host have in common is then seen in their merged style tree: a
 node is the way of tags and classes that leads to an element. A node that holds text is as important as its
 texts differ between pages (their entropy, from 0 for one text to 1), a node that holds others as the way its
 children are laid out and what they hold differ. Text in ``article`` or ``main`` is a little more important than
@@ -30,6 +30,8 @@ LOW = 0.15
 LAYOUT = 0.1
 MARKED = 0.1
 HIGH = 0.5
+MOST = 0.5
+MOST_NAMED = 2 / 3
 
 # fixed values: elements and words of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,6 +49,7 @@ WORDS = frozenset(
     "pager pagination paywall popup promo promoted promotion related replies reply respond share sharing sidebar signup "
     "skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+FOREIGN = frozenset("ad ads advert advertisement advertising adsense comment comments disqus replies reply respond".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th")}
 HOLDS = frozenset("ul ol dl table tr tbody thead select article section div body main".split())
@@ -60,11 +63,32 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class Branch:
+    """An element that its class names call no article, and what speaks for it."""
+
+    __slots__ = ("named", "foreign", "held", "article")
+
+    def __init__(self, named: bool, foreign: bool):
+        self.named, self.foreign = named, foreign
+        self.held = 0
+        self.article = False
+
+    def goes(self, total: int, elsewhere: bool) -> bool:
+        """Whether it is left out of a page of ``total`` characters.
+
+        One that holds an article or most of the text stays. Adverts and comments can be longer than an article and
+        hold articles of others, so they go if an article stands ``elsewhere``, outside of all such branches.
+        """
+        if self.foreign and elsewhere:
+            return True
+        return not self.article and self.held <= (MOST_NAMED if self.named else MOST) * total
+
+
 class Element:
-    __slots__ = ("tag", "path", "out", "main", "children", "kept")
+    __slots__ = ("tag", "path", "out", "main", "branches", "children", "kept")
 
-    def __init__(self, tag: str, path: int, out: bool, main: bool):
-        self.tag, self.path, self.out, self.main = tag, path, out, main
+    def __init__(self, tag: str, path: int, out: bool, main: bool, branches: tuple[Branch, ...] = ()):
+        self.tag, self.path, self.out, self.main, self.branches = tag, path, out, main, branches
         self.children: list[int] = []
         self.kept = False
 
@@ -79,12 +103,21 @@ def unwanted(tag: str, attributes: dict[str, str], inside: bool) -> bool:
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or HIDDEN.search(attributes.get("style", "")):
         return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
+    return attributes.get("role", "").lower() in ROLES
+
+
+def named(tag: str, attributes: dict[str, str], inside: bool) -> Branch | None:
+    """The branch an element opens if its class names or its id call it no part of an article.
+
+    A whole name (``sidebar``) says more than a part of one (``has-sidebar``).
+    """
     if tag in ("html", "body", "main"):
-        return False
-    words = set(re.findall(r"[a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    return bool(words & WORDS) or (not inside and "header" in words)
+        return None
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    words = WORDS if inside else WORDS | {"header"}
+    if words.isdisjoint(re.findall(r"[a-z]+", " ".join(names))):
+        return None
+    return Branch(not words.isdisjoint(names), not FOREIGN.isdisjoint(names))
 
 
 class Page:
@@ -94,22 +127,50 @@ class Page:
         self.blocks: list[tuple[str, bool, tuple[int, ...]]] = []
         self.layout: list[tuple[int, tuple[int, ...]]] = []
         self.stack = [Element("", 0, False, False)]
-        self.pieces: list[str] = []
+        self.pieces: list[tuple[str, tuple[Branch, ...]]] = []
+        self._found: list[tuple[list[tuple[str, tuple[Branch, ...]]], bool, tuple[Element, ...]]] = []
+        self._laid: list[Element] = []
+        self._total, self._elsewhere = 0, False
         self._read(source)
+        self._judge()
+
+    def _add(self, text: str) -> None:
+        at = self.stack[-1]
+        if at.out:
+            return
+        self.pieces.append((text, at.branches))
+        size = len(text.strip())
+        self._total += size
+        for branch in at.branches:
+            branch.held += size
+        if size and at.main and not at.branches:
+            self._elsewhere = True
 
     def _flush(self) -> None:
-        text = " ".join("".join(self.pieces).split())
-        self.pieces.clear()
-        if text and not self.stack[-1].out:
-            for element in self.stack:
-                element.kept = True
-            self.blocks.append((text, self.stack[-1].main, tuple(e.path for e in self.stack[1:])))
+        if any(not text.isspace() for text, _ in self.pieces):
+            self._found.append((self.pieces, self.stack[-1].main, tuple(self.stack)))
+        self.pieces = []
+
+    def _judge(self) -> None:
+        """Blocks without the branches that go; those are only left out as long as something else stays."""
+        gone = {b for pieces, _, _ in self._found for _, above in pieces for b in above if b.goes(self._total, self._elsewhere)}
+        if gone and not any(text.strip() and gone.isdisjoint(above) for pieces, _, _ in self._found for text, above in pieces):
+            gone = set()
+        for pieces, main, way in self._found:
+            text = " ".join("".join(text for text, above in pieces if gone.isdisjoint(above)).split())
+            if text:
+                for element in way:
+                    element.kept = True
+                self.blocks.append((text, main, tuple(e.path for e in way[1:])))
+        for element in self._laid:
+            if element.kept:
+                runs = [c for k, c in enumerate(element.children) if not k or c != element.children[k - 1]]
+                self.layout.append((element.path, tuple(runs)))
 
     def _pop(self) -> None:
         element = self.stack.pop()
-        if element.kept and element.children:
-            runs = [c for k, c in enumerate(element.children) if not k or c != element.children[k - 1]]
-            self.layout.append((element.path, tuple(runs)))
+        if element.children:
+            self._laid.append(element)
 
     def _close(self, tag: str) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -136,16 +197,21 @@ class Page:
         path = name_of(above.path, tag, style)
         above.children.append(path)
         main = above.main or tag in ("article", "main") or attributes.get("role", "") in ("main", "article")
-        self.stack.append(Element(tag, path, above.out or unwanted(tag, attributes, above.main), main))
+        branch = named(tag, attributes, above.main) if attributes else None
+        branches = (*above.branches, branch) if branch else above.branches
+        if tag in ("article", "main") or attributes.get("role", "") in ("main", "article"):
+            for other in branches:
+                other.article = True
+        self.stack.append(Element(tag, path, above.out or unwanted(tag, attributes, above.main), main, branches))
 
     def _read(self, source: str) -> None:
         at = 0
         while (found := TOKEN.search(source, at)) is not None:
             if found.start() > at:
-                self.pieces.append(html.unescape(source[at : found.start()]))
+                self._add(html.unescape(source[at : found.start()]))
             at = found.end()
             if found[0].startswith("<![CDATA["):
-                self.pieces.append(found[0][9:].removesuffix("]]>"))
+                self._add(found[0][9:].removesuffix("]]>"))
             tag = (found[2] or found[5] or "").lower()
             if not tag:
                 continue
@@ -156,7 +222,7 @@ class Page:
                     at = end.end() if end else len(source)
                 continue
             if tag == "br":
-                self.pieces.append(" ")
+                self._add(" ")
                 continue
             if tag in BLOCK:
                 self._flush()
@@ -165,7 +231,7 @@ class Page:
             elif tag not in VOID:
                 self._open(tag, rest)
         if at < len(source):
-            self.pieces.append(html.unescape(source[at:]))
+            self._add(html.unescape(source[at:]))
         self._flush()
         while len(self.stack) > 1:
             self._pop()

@@ -35,6 +35,26 @@ def test_blocks(source, want):
     assert text(source) == want
 
 
+@pytest.mark.parametrize(
+    "source,want",
+    [
+        (f"<div class='{name}'><article><h1>T</h1><p>body</article><div class=sidebar>links and more links</div></div>", "T\n\nbody")
+        for name in ("has-sidebar", "no-sidebar", "comments-open", "with-banner", "nav-fixed", "share-enabled", "widget")
+    ]
+    + [
+        ("<div class='post comments-open'><p>all of the text</div><p>x", "all of the text\n\nx"),
+        ("<div class=widget>everything there is</div>", "everything there is"),
+        ("<article class='post has-sidebar'>text</article><div class=sidebar>links</div>", "text"),
+        ("<p>text <button>Share</button></p>", "text"),
+        ("<p>one <span class='ad'>buy</span> two <span hidden>three</span> four</p>", "one two four"),
+        ("<p>one <b hidden>two", "one"),
+        ("<p><label class=share>Tell</label> a longer story</p>", "a longer story"),
+    ],
+)
+def test_class_names_are_evidence(source, want):
+    assert text(source) == want
+
+
 def test_repeated_branches_of_a_site_go(spark):
     rows = []
     for k in range(8):
