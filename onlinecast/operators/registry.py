@@ -14,8 +14,9 @@ STATES = ["deploy", "pause"]
 
 
 def next_versions(latest: DataFrame, updates: DataFrame, group_rows: int | None = GROUP_ROWS) -> DataFrame:
-    """``updates`` with the versions that follow ``latest(model_id, latest)``, in order of their time and loss."""
-    numbered = with_position(updates, ["model_id"], ["update_time", "loss"], "__at", group_rows)
+    """``updates`` with the versions that follow ``latest(model_id, latest)``, by ``batch_id`` if any, time and loss."""
+    order = [c for c in ("batch_id", "update_time", "loss") if c in updates.columns]
+    numbered = with_position(updates, ["model_id"], order, "__at", group_rows)
     numbered = attach(numbered, latest, ["model_id"], "left")
     version = F.coalesce("latest", F.lit(0)) + F.col("__at") + 1
     return numbered.withColumn("version", version).drop("latest", "__at")

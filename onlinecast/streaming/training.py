@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from onlinecast.operators.batching import ARRIVAL, ERROR_MEMORY, FIRST_ERROR, training_budget
+from onlinecast.operators.batching import ERROR_MEMORY, FIRST_ERROR, numbered_batch
 from onlinecast.operators.learning import (
     MARGIN,
     apply_update,
     evaluate,
-    fit_epochs,
     gradient,
     memory_gradients,
     project_gradient,
@@ -26,13 +25,14 @@ from onlinecast.plans.ordering import with_position
 from onlinecast.plans.tables import VersionedTable, written
 from onlinecast.sources.registry import append_registry, read_deployed
 from onlinecast.sources.results import append_results
+from onlinecast.streaming.budgets import STATE, STEP, TAKEN, WAITING, drained
 from onlinecast.streaming.state import JobPaths, run_batches
 
 PAIR = ["model_id", "stream_id"]
 WINDOWS = "model_id long, stream_id int, k long, t_end timestamp, x array<double>, y array<double>"
 PARAMS = "model_id long, params array<double>, m array<double>, v array<double>, t int"
 QUEUE = "model_id long, sizes array<long>, losses array<double>, best double"
-ERRORS = "model_id long, at timestamp, errors array<double>"
+ERRORS = "model_id long, at timestamp, errors array<double>, rate double"
 RING_NAMES = ("ring", "ringbuffer", "ring_buffer")
 SIMILARITY_NAMES = ("similarity", "cossim")
 
@@ -77,7 +77,9 @@ class _Trainer:
         updates = publications.join(after.select("model_id", "params"), "model_id")
         updates = updates.select("model_id", "update_time", "loss", "params")
         append_registry(updates, self.paths.registry, batch_id, self.paths.job)
-        self._document(windows, before, losses, publications, batch_id)
+        rows = score(windows.withColumn("batch_id", F.lit(batch_id).cast("long")), before, self.spec)
+        publications = publications.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        self.document(attach(rows, losses, ["model_id"]), publications, batch_id)
 
     def _promote(self, windows: DataFrame, losses: DataFrame, batch_id: int) -> DataFrame:
         """Queue the step's loss; models whose queue is long enough and better than ever are published."""
@@ -106,23 +108,23 @@ class _Trainer:
         self.queue.write(rows, batch_id)
         return rows.where("publish").select("model_id", "update_time", "loss")
 
-    def _document(self, windows, before, losses, publications, batch_id) -> None:
-        at = with_position(windows.withColumn("batch_id", F.lit(batch_id).cast("long")), PAIR, ["t_end", "k"], "__at")
+    def document(self, rows: DataFrame, publications: DataFrame, batch_id: int) -> None:
+        """Store documents of windows with ``batch_id``, ``pred`` and ``loss``, and the markers of publications."""
+        at = with_position(rows, [*PAIR, "batch_id"], ["t_end", "k"], "__at")
         at = at.withColumns(
             {"part": F.floor(F.col("__at") / DOCUMENT_ROWS), "pos": (F.col("__at") % DOCUMENT_ROWS).cast("int")}
         )
-        rows = score(at.drop("__at"), before, self.spec)
-        documents = result_documents(attach(rows, losses, ["model_id"]), true="y")
+        documents = result_documents(at.drop("__at"), true="y")
         markers = publications.select(
             "model_id",
-            F.lit(batch_id).cast("long").alias("batch_id"),
+            "batch_id",
             F.lit(None).cast("int").alias("stream_id"),
             F.col("update_time").alias("updated_at"),
         )
         numbered = with_position(
             documents.unionByName(markers, allowMissingColumns=True).withColumn("__late", F.col("stream_id").isNull()),
             ["model_id"],
-            ["__late", "stream_id", "part"],
+            ["batch_id", "__late", "stream_id", "part"],
             "__at",
         )
         numbered = attach(numbered, self.counts.read(batch_id), ["model_id"], "left")
@@ -151,10 +153,12 @@ def incremental_job(
     method: str = "grid",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Fit each model on its oldest waiting windows, for as many rows and epochs as its budget gives.
+    """Fit each model on its waiting windows, oldest first, for as many rows and epochs as its budget gives.
 
-    Arrivals are timed by the readings. ``cost(model_id, slope, intercept)`` comes from ``fit_cost_model``.
-    Windows beyond the budget wait for the next micro-batch, as do all if there are too few.
+    Arrivals are timed by the readings. ``cost(model_id, slope, intercept)`` comes from ``fit_cost_model``. A micro-batch
+    takes budget after budget, each from the losses so far, until fewer windows wait than the next one asks for; those
+    wait for the next micro-batch. A model without arrivals keeps its last rate. ``batch_id`` of a document is the
+    micro-batch times 2^31 plus the number of the model's training in it.
     """
     trainer = _Trainer(readings, subscriptions, spec, shape, paths)
     waiting = trainer.table("waiting", WINDOWS, ["model_id"], compact=1)
@@ -166,40 +170,51 @@ def incremental_job(
         backlog = written(waiting.read(batch_id).unionByName(arrived.select(*columns)), "backlog")
 
         clock = arrived.groupBy("model_id").agg(F.max("t_end").alias("now"), F.min("t_end").alias("start"), F.count(F.lit(1)).alias("new"))
-        held = backlog.groupBy("model_id").agg(F.count(F.lit(1)).alias("backlog"))
-        ticks = clock.join(held, "model_id").join(past.read(batch_id), "model_id", "left")
+        ticks = backlog.select("model_id").distinct().join(clock, "model_id", "left").join(past.read(batch_id), "model_id", "left")
+        latest = batch.agg(F.max("ts")).first()[0]
         errors = F.coalesce("errors", F.array_repeat(F.lit(FIRST_ERROR), ERROR_MEMORY + 1))
-        since = (F.unix_micros("now") - F.unix_micros(F.coalesce("at", "start"))) / 1e6
+        now = F.coalesce("now", F.lit(latest).cast("timestamp"))
+        since = (F.unix_micros(now) - F.unix_micros(F.coalesce("at", "start"))) / 1e6
         seconds = F.greatest(since, F.lit(1e-3))
-        recent = F.aggregate(F.slice(errors, 1, ERROR_MEMORY), F.lit(0.0), lambda a, v: a + v) / ERROR_MEMORY
         ticks = ticks.select(
             "model_id",
-            "now",
+            F.coalesce("now", "at").alias("at"),
             errors.alias("errors"),
-            (F.col("new") / seconds).alias("rate"),
+            F.coalesce(F.col("new") / seconds, F.col("rate")).alias("rate"),
             seconds.alias("elapsed"),
-            "backlog",
-            F.element_at(errors, -1).alias("error"),
-            recent.alias("recent_error"),
         )
-        budget = written(training_budget(ticks, cost, method), "budget")
-        ready = budget.where(F.col("batch_size") <= F.col("backlog")).select("model_id", "epochs", "batch_size")
-        placed = attach(with_position(backlog, ["model_id"], ARRIVAL, "__at"), ready, ["model_id"], "left")
-        chosen = F.coalesce(F.col("__at") < F.col("batch_size"), F.lit(False))
-        placed = written(placed.withColumn("__chosen", chosen), "placed")
-        waiting.write(placed.where(~F.col("__chosen")).select(*columns), batch_id, whole=True)
-        taken = placed.where("__chosen").select(*columns)
-
-        before = trainer.current(taken, batch_id)
-        epochs = before.join(budget.select("model_id", "epochs"), "model_id")
-        fitted = written(fit_epochs(taken, epochs, spec, "epochs", lr), "fitted")
-        losses = fitted.select("model_id", "loss")
-        kept = F.slice(F.concat("errors", F.array(F.coalesce("loss", "error"))), -(ERROR_MEMORY + 1), ERROR_MEMORY + 1)
-        remembered = budget.join(losses, "model_id", "left").select(
-            "model_id", F.col("now").alias("at"), F.when(F.col("loss").isNull(), F.col("errors")).otherwise(kept).alias("errors")
+        queue = trainer.queue.read(batch_id).select(
+            "model_id", "sizes", "losses", F.col("best").alias("__best")
+        )
+        states = trainer.current(backlog, batch_id).select("model_id", "params").join(ticks, "model_id")
+        states = attach(states, cost, ["model_id"]).join(queue, "model_id", "left")
+        states = states.where("rate is not null and slope is not null and intercept is not null").withColumns(
+            {
+                "sizes": F.coalesce("sizes", F.array().cast("array<long>")),
+                "losses": F.coalesce("losses", F.array().cast("array<double>")),
+                "best": F.coalesce("__best", F.lit(FIRST_BEST)),
+            }
         )
+        states = written(states, "states")
+        done = written(
+            drained(backlog, states, spec, lr, method)
+            .withColumn("t_end", F.timestamp_micros("at"))
+            .withColumn("batch_id", numbered_batch(F.lit(batch_id).cast("long"), F.coalesce("step", F.lit(0)))),
+            "drained",
+        )
+        waiting.write(done.where(F.col("kind") == WAITING).select(*columns), batch_id, whole=True)
+        after = done.where(F.col("kind") == STATE)
+        remembered = states.select("model_id", "at", "rate").join(after.select("model_id", "errors"), "model_id")
         past.write(remembered, batch_id)
-        trainer.finish(taken, before, fitted.select("model_id", "params"), losses, batch_id)
+        trained = after.where("step > 0")
+        trainer.params.write(_with_optimizer_state(trained.select("model_id", "params")), batch_id)
+        trainer.queue.write(trained, batch_id)
+        published = done.where((F.col("kind") == STEP) & F.col("publish")).withColumnRenamed("t_end", "update_time")
+        append_registry(
+            published.select("model_id", "update_time", "loss", "params", "batch_id"), paths.registry, batch_id, paths.job
+        )
+        taken = done.where(F.col("kind") == TAKEN).select("model_id", "stream_id", "k", "t_end", "y", "batch_id", "pred", "loss")
+        trainer.document(taken, published, batch_id)
 
     return run_batches(readings, step, paths, trigger)
 

@@ -288,6 +288,87 @@ def test_incremental_job(spark, tmp_path):
     np.testing.assert_allclose(errors, ([0.3] * 6 + losses)[-6:])
 
 
+def test_incremental_job_drains(spark, tmp_path):
+    """Budgets follow each other until too few windows wait, also of a model whose streams have fallen silent."""
+    rows, _ = in_order(spark, 21, streams=3, n=240)
+    rows = [(0 if s == 2 else s, t, i, v) if i >= 80 else (s, t, i, v) for s, t, i, v in rows]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    where, spec, lr = paths(tmp_path), linear_model(2), 0.05
+    deployed(spark, where, [0, 1], [0.9, -0.7, 0.2])
+    members = spark.createDataFrame([(0, 0), (0, 1), (1, 2), (7, 0)], "model_id long, stream_id int")
+    cost = spark.createDataFrame([(0, 20.0, 600.0), (1, 20.0, 600.0)], "model_id long, slope double, intercept double")
+    shape, before = win.WindowShape(2, 1, 1, 1), []
+
+    def start(stream):
+        return streaming.incremental_job(stream, members, spec, shape, cost, where, lr, trigger=NOW)
+
+    def seen(i):
+        table = VersionedTable(spark, f"{where.state}/errors", "model_id long, at timestamp", ["model_id"])
+        before.append({r.model_id: r.at for r in table.read().collect()})
+
+    deliver(spark, frame, str(tmp_path / "in"), 3, start, seen)
+    documents = read_results(spark, where.results).where("stream_id is not null").collect()
+    waiting = VersionedTable(spark, f"{where.state}/waiting", "model_id long, stream_id int, k long, t_end timestamp, x array<double>, y array<double>", ["model_id"], 1).read().collect()
+    windows = win.training_windows(frame, 2, 1, 1, 1).collect()
+    for model, streams in ((0, (0, 1)), (1, (2,)), (7, (0,))):
+        all_of = sorted((w.t_end, w.stream_id, w.k) for w in windows if w.stream_id in streams)
+        left = sorted((w.t_end, w.stream_id, w.k) for w in waiting if w.model_id == model)
+        done = sum(len(d.pred) for d in documents if d.model_id == model)
+        assert done + len(left) == len(all_of) and left == all_of[len(all_of) - len(left) :]
+    assert not [d for d in documents if d.model_id == 7]
+
+    # replay: budgets from the losses, windows in order, predictions from before each training
+    steps = {}
+    for d in documents:
+        steps.setdefault((d.model_id, d.batch_id), []).append(d)
+    assert max(b % PER_BATCH for _, b in steps) > 0
+    errors = VersionedTable(spark, f"{where.state}/errors", "model_id long, errors array<double>, rate double", ["model_id"]).read()
+    errors = {r.model_id: r for r in errors.collect()}
+    params = VersionedTable(spark, f"{where.state}/params", "model_id long, params array<double>", ["model_id"]).read()
+    params = {r.model_id: r.params for r in params.collect()}
+    for model, streams in ((0, (0, 1)), (1, (2,))):
+        queue = sorted((w.t_end, w.stream_id, w.k, w.x, w.y) for w in windows if w.stream_id in streams)
+        weights = np.array([0.9, -0.7, 0.2])
+        for (_, batch), parts in sorted(i for i in steps.items() if i[0][0] == model):
+            size = sum(len(d.pred) for d in parts)
+            taken, queue = queue[:size], queue[size:]
+            x = np.array([[*r[3], 1.0] for r in taken])
+            y = np.array([r[4][0] for r in taken])
+            for d in parts:
+                np.testing.assert_allclose(d.pred, [v for v, r in zip(x @ weights, taken) if r[1] == d.stream_id], atol=1e-7)
+            losses, moved = [], [weights]
+            for _ in range(2000):
+                losses.append(np.mean((x @ moved[-1] - y) ** 2))
+                moved.append(moved[-1] - lr * 2 * x.T @ (x @ moved[-1] - y) / size)
+            epochs = int(np.argmin(np.abs(np.array(losses) - parts[0].loss)))
+            assert abs(losses[epochs] - parts[0].loss) < 1e-7
+            weights = moved[epochs + 1]
+        np.testing.assert_allclose(params[model], weights, atol=1e-6)
+        held = [r for r in waiting if r.model_id == model]
+        assert len(queue) == len(held)
+        # fewer windows are left than the next budget asks for
+        e = errors[model].errors
+        slices_at = [b[model] for b in before if model in b]
+        elapsed = (slices_at[-1] - (slices_at[-2] if len(slices_at) > 1 else START)).total_seconds()
+        tick = [(model, errors[model].rate, max(elapsed, 1e-3), len(held), e[-1], sum(e[:5]) / 5)]
+        ticks = spark.createDataFrame(tick, "model_id long, rate double, elapsed double, backlog long, error double, recent_error double")
+        assert len(held) < batching.training_budget(ticks, cost).first().batch_size
+
+
+@pytest.mark.parametrize("method", ["grid", "real"])
+def test_one_budget(spark, method):
+    from onlinecast.streaming.budgets import one_budget
+
+    rng = np.random.default_rng(4)
+    rows = [(k, *(float(v) for v in np.exp(rng.normal(0, 2, 3))), int(rng.integers(9)), *(float(v) for v in np.exp(rng.normal(0, 2, 2)))) for k in range(300)]
+    ticks = spark.createDataFrame([(k, r, t, b, e, m) for k, r, t, _, b, e, m in rows], "model_id long, rate double, elapsed double, backlog long, error double, recent_error double")
+    cost = spark.createDataFrame([(k, 0.3 * (k % 7 + 1), f - 0.2) for k, _, _, f, *_ in rows], "model_id long, slope double, intercept double")
+    prices = {r.model_id: r for r in cost.collect()}
+    want = {r.model_id: (r.epochs, r.batch_size) for r in batching.training_budget(ticks, cost, method).collect()}
+    for k, rate, elapsed, _, _, error, recent in rows:
+        assert one_budget(rate, elapsed, prices[k].slope, prices[k].intercept, error, recent, method) == want[k]
+
+
 def test_publication(spark, tmp_path):
     """Once 288 rows are queued, a model whose mean loss is the best so far becomes a new version."""
     rows, frame = in_order(spark, 10, streams=1, n=700)
