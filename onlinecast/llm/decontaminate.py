@@ -10,6 +10,8 @@ them one pass over the documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,6 +55,20 @@ def plain(data: np.ndarray, offsets: np.ndarray, apart: int) -> tuple[np.ndarray
     return out, place
 
 
+def plain_pieces(data: np.ndarray, size: int, overlap: int, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A long text as ``plain`` gives it, in pieces of ``size`` bytes of ``data`` with ``overlap`` bytes of the plain text before."""
+    text, place = np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    edge = np.zeros(apart, np.uint8), np.full(apart, -1, np.int64)
+    for at in range(0, len(data), size):
+        lead = min(at, 1)  # the byte before tells whether a run of spaces or a letter of two bytes goes on
+        part = data[at - lead : at + size]
+        marks, kept = plain(part, np.array([0, len(part)]), 0)
+        new = kept >= lead
+        text = np.concatenate([text[max(len(text) - overlap, 0) :], marks[new]])
+        place = np.concatenate([place[max(len(place) - overlap, 0) :], kept[new] + at - lead])
+        yield np.concatenate([edge[0], text, edge[0]]), np.concatenate([edge[1], place, edge[1]])
+
+
 class Passages:
     """Index of a block of benchmark items: their q-grams, and the windows that are searched for."""
 
@@ -142,7 +158,12 @@ class Passages:
         """Row, item, first and last byte (past the end) in ``data``, and edits of each window found."""
         if not len(self.names) or not len(data):
             return []
-        text, place = plain(data, offsets, self.widest + 1)
+        return self.hits_of(*plain(data, offsets, self.widest + 1), offsets, roller)
+
+    def hits_of(
+        self, text: np.ndarray, place: np.ndarray, offsets: np.ndarray, roller: Roller
+    ) -> list[tuple[int, int, int, int, int]]:
+        """``hits`` in a text that is plain already."""
         item, start, first = self.candidates(*self.shared(text, roller))
         if not len(item):
             return []
@@ -214,13 +235,18 @@ def with_hits(
             overlap = 4 * window + 4 * passages.widest
             for first, last in row_blocks(offsets, PIECE):
                 begin, end = int(offsets[first]), int(offsets[last])
-                # a long text is taken in parts that overlap by more than any window
-                for at in range(begin, max(end, begin + 1), PIECE) if last - first == 1 else [begin]:
-                    stop = min(end, at + PIECE + overlap) if last - first == 1 else end
-                    bounds = np.clip(offsets[first : last + 1] - at, 0, stop - at)
-                    for row, item, lo, hi, edits in passages.hits(data[at:stop], bounds, roller):
-                        shift = at - int(offsets[first + row])
-                        found[first + row].append((item, lo + shift, hi + shift, edits))
+                bounds = offsets[first : last + 1] - begin
+                if end - begin <= PIECE:
+                    hits = passages.hits(data[begin:end], bounds, roller)
+                elif not len(passages.names):
+                    hits = []
+                else:
+                    # a long text is taken in pieces that overlap by more than any window, both as they are compared
+                    pieces = plain_pieces(data[begin:end], PIECE, overlap, passages.widest + 1)
+                    hits = [hit for piece in pieces for hit in passages.hits_of(*piece, bounds, roller)]
+                for row, item, lo, hi, edits in hits:
+                    shift = begin - int(offsets[first + row])
+                    found[first + row].append((item, lo + shift, hi + shift, edits))
             lists = [[{**hit, key: keys[hit.pop("item")]} for hit in merged(f)] for f in found]
             return {part: pa.array(lists, to_arrow_type(kind))}
 

@@ -101,6 +101,21 @@ def test_long_texts_and_blocks_of_items(spark, monkeypatch):
         assert text[r.start : r.end].strip() == items[r.item_id][1]
 
 
+def test_wide_runs_at_the_border_of_pieces(spark, monkeypatch):
+    """A passage laid out with runs of spaces is found wherever a long text is cut."""
+    rng = random.Random(8)
+    passage = words(rng, 14)
+    wide = passage.replace(" ", " " + "." * 60 + "\n ")
+    docs = [(k, words(rng, 500)[: 2_000 - 97 * k] + " " + wide + " " + words(rng, 300)) for k in range(10)]
+    docs.append((10, "É" * 999 + " " + wide + " " * 9_000 + words(rng, 40)))
+    docs = spark.createDataFrame(docs, DOCS)
+    items = spark.createDataFrame([(1, passage)], ITEMS)
+    whole = sorted(dec.contamination(docs, items).collect())
+    assert [r.doc_id for r in whole] == list(range(11))
+    monkeypatch.setattr(dec, "PIECE", 2_000)
+    assert sorted(dec.contamination(docs, items).collect()) == whole
+
+
 def test_passages_never_cross_documents():
     passage = words(random.Random(1), 30)
     index = dec.Passages([passage])
