@@ -82,4 +82,51 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, (SELECT count(*) FROM links WHERE u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
         FROM least
     """,
+    "op11_exact": """
+        WITH named AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents
+        ), placed AS (
+            SELECT *, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size FROM named
+            WINDOW same AS (PARTITION BY text_sha256)
+        )
+        SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept, text_sha256 FROM placed
+    """,
+    "op13_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+            )) AS piece FROM documents
+        ), worded AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+        ), gram AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+            FROM worded, (VALUES (1), (2), (3), (4), (5)) AS size(k) WHERE len(words) >= k
+        ), f AS (
+            SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100
+        ), total AS (
+            SELECT lang, count(*) AS n FROM gram WHERE k = 1 GROUP BY lang
+        ), cuts AS (
+            SELECT lang, phrase, string_split(phrase, ' ') AS w, f AS a, unnest(range(1, f.k)) AS c FROM f WHERE k > 1
+        ), scored AS (
+            SELECT cuts.lang, cuts.phrase, a, c, p.f AS l, q.f AS r, n,
+                (1000::HUGEINT * a * n) // (p.f::HUGEINT * q.f) AS score
+            FROM cuts JOIN total USING (lang)
+            JOIN f p ON p.lang = cuts.lang AND p.phrase = array_to_string(w[1:c], ' ')
+            JOIN f q ON q.lang = cuts.lang AND q.phrase = array_to_string(w[c + 1:], ' ')
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+        ), inside AS (
+            SELECT lang, f, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' '))) AS phrase
+            FROM f, (VALUES (2), (3), (4)) AS part(m) WHERE m < k
+        ), left_over AS (
+            SELECT * FROM lowest WHERE NOT EXISTS (
+                SELECT 1 FROM inside WHERE inside.lang = lowest.lang AND inside.phrase = lowest.phrase AND 100 * inside.f >= 100 * a
+            )
+        )
+        SELECT * FROM (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                phrase, a, l, r, n, score::BIGINT AS score FROM left_over
+        ) WHERE rank <= 2000
+    """,
 }

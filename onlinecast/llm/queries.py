@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from onlinecast.llm import bpe, chat, decontaminate, extract, jaccard, langid, lattice, repeats, toxicity, warc
+from onlinecast.llm import (
+    bpe, chat, decontaminate, exact, extract, jaccard, langid, lattice, phrases, repeats, runs, toxicity, warc,
+)
 from onlinecast.llm.common import remainder_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -83,6 +85,35 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
 
 
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document, and whether it stays."""
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by the hash of its id) with a tail that repeats itself."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("__h", hashed).withColumn("__g", F.expr("__h div 10"))
+    docs = docs.withColumn("__words", F.when(F.col("__h") % 10 == 0, words)).withColumn("__n", F.size("__words"))
+    docs = docs.withColumn("__a", F.expr("if(__n > 0, __g % __n, null)"))
+    docs = docs.withColumn("__p", F.expr("1 + (__n - __a) div (3 + __g % 8)"))
+    tail = F.expr("transform(__words, (w, i) -> if(i >= __a, __words[int(__a + (i - __a) % __p)], w))")
+    text = F.when(F.col("__n") > 0, F.array_join(tail, " ")).otherwise(F.col("text"))
+    return docs.withColumn("text", text).drop("__h", "__g", "__words", "__n", "__a", "__p")
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of which get a periodic tail first."""
+    docs = with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.run_digests(runs.periodic_runs(docs, keep=["doc_id"]))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language": op2_language,
@@ -94,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_lattice": op9_lattice,
     "op10_bpe": op10_bpe,
+    "op11_exact": op11_exact,
+    "op12_runs": op12_runs,
+    "op13_phrases": op13_phrases,
 }
