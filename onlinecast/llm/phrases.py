@@ -27,9 +27,10 @@ LEAST = 100
 FIRST = 2000
 HOT = 1 << 20
 SLICE_BYTES = 8 << 20
+HASH_BYTES = 1 << 20
 SEND_ROWS = 1 << 16
 BUCKET_ROWS = 200_000
-FILTER_BITS = 27
+FILTER_BITS = 26
 SALTS = 256
 BREAKS = np.zeros(256, bool)
 BREAKS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -40,23 +41,29 @@ LOWER[65:91] += 32
 
 
 class Words:
-    """Words of a slice of documents: text, place, hash with the language, and how many words of the piece follow."""
+    """Words of a slice of documents: text, place, hash with the language, and whether the next word is of the same piece.
+
+    Texts are taken in blocks of ``HASH_BYTES``, since hashing holds many numbers for each byte.
+    """
 
     def __init__(self, batch: pa.RecordBatch, roller: Roller):
         data, offsets = text_buffer(column(batch, "__text"))
         self.data, offsets = LOWER[data[offsets[0] : offsets[-1]]], offsets - offsets[0]
-        row, self.first, self.last = words_of(self.data, offsets, WORD)
-        self.langs, codes = np.unique(np.array([v or "und" for v in column(batch, "__lang").to_pylist()], object), return_inverse=True)
-        self.lang = codes[row].astype(np.int64) if len(row) else np.zeros(0, np.int64)
-        salts = np.array([np.uint64(hash_text(v)) for v in self.langs], np.uint64)
-        plain = roller.spans(roller.prefix(self.data), self.first, self.last)
-        self.hash = mix(plain ^ salts[self.lang]) if len(row) else np.zeros(0, np.uint64)
-        broken = np.concatenate([[0], np.cumsum(BREAKS[self.data])])
-        n = len(row)
-        follows = np.zeros(n, bool)
-        if n > 1:
-            follows[:-1] = (row[1:] == row[:-1]) & (broken[self.first[1:]] == broken[self.last[:-1]])
-        self.follows = follows
+        langs = np.array([v or "und" for v in column(batch, "__lang").to_pylist()], object)
+        self.langs, codes = np.unique(langs, return_inverse=True)
+        salts = np.array([hash_text(v) for v in self.langs], np.uint64)
+        parts = []
+        for top, bottom in row_blocks(offsets, HASH_BYTES):
+            begin = offsets[top]
+            block = self.data[begin : offsets[bottom]]
+            row, first, last = words_of(block, offsets[top : bottom + 1] - begin, WORD)
+            lang = codes[top:bottom][row]
+            hashed = mix(roller.spans(roller.prefix(block), first, last) ^ salts[lang])
+            broken = np.concatenate([[0], np.cumsum(BREAKS[block], dtype=np.int32)])
+            follows = np.zeros(len(row), bool)
+            follows[:-1] = (row[1:] == row[:-1]) & (broken[first[1:]] == broken[last[:-1]])
+            parts.append((first + begin, last + begin, lang.astype(np.int32), hashed, follows))
+        self.first, self.last, self.lang, self.hash, self.follows = (np.concatenate(x) for x in zip(*parts, strict=True))
 
     def pairs(self) -> np.ndarray:
         """Hash of each word with the next one."""
