@@ -29,7 +29,7 @@ HOT = 1 << 20
 SLICE_BYTES = 8 << 20
 HASH_BYTES = 1 << 20
 SEND_ROWS = 1 << 16
-BUCKET_ROWS = 200_000
+BUCKET_PLACES = 1 << 19
 FILTER_BITS = 26
 SALTS = 256
 BREAKS = np.zeros(256, bool)
@@ -137,8 +137,8 @@ def _pair_counts(texts: DataFrame, frequent) -> DataFrame:
     return texts.mapInArrow(run, "__hash long, n long").groupBy("__hash").agg(F.sum("n").alias("n"))
 
 
-def _pointers(texts: DataFrame, frequent, hot) -> DataFrame:
-    """Different suffixes of each slice with their number and their route.
+def _pointers(texts: DataFrame, frequent, hot, buckets: int) -> DataFrame:
+    """Different suffixes of each slice with their number, packed by bucket and language.
 
     A suffix ends before the first pair of words that is not frequent: no phrase beyond it can be.
     """
@@ -161,17 +161,24 @@ def _pointers(texts: DataFrame, frequent, hot) -> DataFrame:
                 if step == 3:
                     led = np.where(many, whole, led)
             _, where, times = np.unique(whole, return_index=True, return_counts=True)
-            for begin in range(0, len(where), SEND_ROWS):
-                some = where[begin : begin + SEND_ROWS]
+            bucket = (mix(led) % np.uint64(buckets)).astype(np.int64)[where]
+            group = (bucket * 2 + many[where]) * len(words.langs) + words.lang[at[where]]
+            order = np.argsort(group, kind="stable")
+            for begin in range(0, len(order), SEND_ROWS):
+                some = order[begin : begin + SEND_ROWS]
+                edges = np.flatnonzero(np.diff(group[some])) + 1
+                bounds = pa.array(np.concatenate([[0], edges, [len(some)]]), pa.int32())
+                some_at, head = at[where[some]], some[np.concatenate([[0], edges])]
+                suffixes = pa.ListArray.from_arrays(bounds, _joined(words, some_at, end[some_at] + 1 - some_at))
                 yield pa.RecordBatch.from_pydict({
-                    "route": pa.array(led[some].view(np.int64)),
-                    "complete": pa.array(np.where(many[some], 4, 2).astype(np.int32)),
-                    "lang": pa.array(words.langs[words.lang[at[some]]], pa.string()),
-                    "suffix": _joined(words, at[some], end[at[some]] + 1 - at[some]),
-                    "n": pa.array(times[begin : begin + SEND_ROWS], pa.int64()),
+                    "bucket": pa.array(bucket[head]),
+                    "complete": pa.array(np.where(many[where[head]], 4, 2).astype(np.int32)),
+                    "lang": pa.array(words.langs[words.lang[at[where[head]]]], pa.string()),
+                    "suffixes": pc.binary_join(suffixes, "\n"),
+                    "n": pa.ListArray.from_arrays(bounds, pa.array(times[some], pa.int64())),
                 })
 
-    return texts.mapInArrow(run, "route long, complete int, lang string, suffix string, n long")
+    return texts.mapInArrow(run, "bucket long, complete int, lang string, suffixes string, n array<bigint>")
 
 
 def _joined(words: Words, at: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -221,17 +228,21 @@ def _bucket_counts(pointers: DataFrame, least: int) -> DataFrame:
     """Counts of phrases within each bucket of pointers."""
 
     def count(table: pa.Table) -> pa.Table:
-        lists = pc.split_pattern(table["suffix"].combine_chunks(), " ")
+        packed = pc.split_pattern(table["suffixes"].combine_chunks(), "\n")
+        times = packed.value_lengths().to_numpy().astype(np.int64)
+        lists = pc.split_pattern(packed.flatten(), " ")
         words = lists.flatten().dictionary_encode()
         length = lists.value_lengths().to_numpy().astype(np.int64)
+        langs = table["lang"].combine_chunks().dictionary_encode()
         codes = np.full((len(length), LONGEST + 1), -1, np.int64)
-        codes[:, 0] = table["lang"].combine_chunks().dictionary_encode().indices.to_numpy()
+        codes[:, 0] = np.repeat(langs.indices.to_numpy(), times)
         row = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
         codes[row, place + 1] = words.indices.to_numpy()
-        names = words.dictionary.to_pylist()
-        langs = table["lang"].combine_chunks().dictionary_encode().dictionary.to_pylist()
-        found = list(sorted_counts(codes, table["n"].to_numpy(), table["complete"].to_numpy(), least))
+        complete = np.repeat(table["complete"].to_numpy(), times)
+        weights = table["n"].combine_chunks().flatten().to_numpy()
+        found = list(sorted_counts(codes, weights, complete, least))
+        names, langs = words.dictionary.to_pylist(), langs.dictionary.to_pylist()
         return pa.table({
             "lang": pa.array([langs[codes[i, 0]] for i, _, _ in found], pa.string()),
             "phrase": pa.array([" ".join(names[c] for c in codes[i, 1 : d + 1]) for i, d, _ in found], pa.string()),
@@ -252,12 +263,11 @@ def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str =
     known.unpersist()
     frequent = spark.sparkContext.broadcast(Filter(pairs))
     hot = spark.sparkContext.broadcast(Filter(pairs.where(F.col("n") > HOT)))
-    pointers = scratch.write(_pointers(texts, frequent, hot), "pointers")
-    buckets = max(1, -(-pointers.count() // BUCKET_ROWS))
+    places = pairs.agg(F.sum("n")).first()[0] or 0
+    pointers = _pointers(texts, frequent, hot, max(1, -(-places // BUCKET_PLACES)))
+    parts = scratch.write(_bucket_counts(pointers, least), "parts")
     frequent.unpersist()
     hot.unpersist()
-    dealt = pointers.withColumn("bucket", F.pmod(F.xxhash64("route"), F.lit(buckets)))
-    parts = _bucket_counts(dealt.drop("route"), least)
     phrases = parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     return words.select("lang", "phrase", "n"), scratch.write(phrases, "counts")
 

@@ -60,7 +60,7 @@ def result(docs, **settings):
 def test_documents(spark, monkeypatch, hot):
     """Also where routes go by four words, and buckets and slices are small."""
     monkeypatch.setattr(phrases, "HOT", hot)
-    monkeypatch.setattr(phrases, "BUCKET_ROWS", 1000)
+    monkeypatch.setattr(phrases, "BUCKET_PLACES", 1000)
     monkeypatch.setattr(phrases, "SLICE_BYTES", 100_000)
     docs = documents(spark)
     want = brute(docs.collect(), 12, 50)
