@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.operators.batching import ARRIVAL, ERROR_MEMORY, ERROR_WEIGHT
+from onlinecast.operators.batching import ARRIVAL, ERROR_MEMORY, one_budget
 from onlinecast.operators.models import ModelSpec
 from onlinecast.operators.promotion import QUEUE_ROWS
 
@@ -34,45 +33,6 @@ ARROW = {
 OUT_SCHEMA = pa.schema([pa.field(name, ARROW[kind]) for name, kind in OUT.items()])
 
 
-def _root(value: float) -> float:
-    return math.sqrt(value) if value >= 0 else math.inf
-
-
-def one_budget(
-    rate: float, elapsed: float, slope: float, intercept: float, error: float, recent: float, method: str
-) -> tuple[int, int]:
-    """Epochs and rows of the next training: ``training_budget`` for one tick."""
-    ratio = error / recent if recent else 1.0
-    if slope * rate != 1:
-        elapsed = max(elapsed, intercept / (1 - slope * rate))
-    bound = (elapsed - intercept) / (slope * rate * elapsed)
-    turn = _root(ERROR_WEIGHT * ratio / slope) / (intercept * rate) if intercept > 0 else bound
-
-    def rows(e: float) -> float:
-        b, c = rate * (slope * e - intercept), rate * ERROR_WEIGHT * ratio / e
-        half = c / 2 - b**3 / 27
-        disc = half * half - (b / 3) ** 6
-        if not disc > 0:
-            return -1.0
-        root = math.sqrt(disc)
-        larger = math.cbrt(half - root if half < 0 else half + root)
-        return larger + b * b / 9 / larger - b / 3
-
-    def cost(e: float, d: float) -> float:
-        value = d * d / (2 * rate) + slope * d * e - intercept * d + ERROR_WEIGHT * ratio / (e * d) if d else math.inf
-        return math.inf if math.isnan(value) else value
-
-    if method == "real":
-        choices = [max(min(turn, bound), 1.0)]
-    elif method == "grid":
-        turn = min(max(turn, 1.0), bound)
-        choices = [1.0] if bound < 1 else [float(math.floor(turn)), min(float(math.ceil(turn)), float(math.floor(bound))), bound]
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    _, epochs, size = min((cost(e, d), e, d) for e, d in ((e, rows(e)) for e in choices))
-    return max(math.floor(epochs), 1), max(math.floor(size), 1)
-
-
 def predictions(spec: ModelSpec, params: np.ndarray, x: np.ndarray) -> np.ndarray:
     if not spec.linear:
         return np.asarray(spec.predict(params, x), float).reshape(len(x), -1)
@@ -126,7 +86,7 @@ class _Model:
 
     def _ask(self) -> None:
         recent = sum(self.errors[:ERROR_MEMORY]) / ERROR_MEMORY
-        self.epochs, self.size = one_budget(**self.tick, error=self.errors[-1], recent=recent, method=self.method)
+        self.epochs, self.size = one_budget(**self.tick, error=self.errors[-1], recent_error=recent, method=self.method)
 
     def take(self, row: dict) -> list[dict]:
         """Let a window wait, and train if as many wait as the budget asks for."""

@@ -357,7 +357,7 @@ def test_incremental_job_drains(spark, tmp_path):
 
 @pytest.mark.parametrize("method", ["grid", "real"])
 def test_one_budget(spark, method):
-    from onlinecast.streaming.budgets import one_budget
+    from onlinecast.operators.batching import one_budget
 
     rng = np.random.default_rng(4)
     rows = [(k, *(float(v) for v in np.exp(rng.normal(0, 2, 3))), int(rng.integers(9)), *(float(v) for v in np.exp(rng.normal(0, 2, 2)))) for k in range(300)]

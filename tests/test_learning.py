@@ -360,6 +360,54 @@ def test_budget_over_real_epochs_is_the_least_cost(spark):
         width = (max(top, 1.0) - 1) / 399
         assert best - width - 1 <= got[m].epochs <= best + width
 
+
+def test_budget_of_many_settings(spark):
+    """Least cost over all whole epochs and all rows, small errors and cubics of three real roots included."""
+    rng = np.random.default_rng(6)
+    n = 5000
+    slope, intercept = 10 ** rng.uniform(-4, 1.5, n), 10 ** rng.uniform(-3, 2, n)
+    rate, elapsed = 10 ** rng.uniform(-3, 2, n), 10 ** rng.uniform(0, 4, n)
+    error, recent = 10 ** rng.uniform(-9, 0, n), 10 ** rng.uniform(-2, 0, n)
+    slope = np.maximum(slope, 1 / (rate * 5000))  # at most some thousand epochs to try
+    ticks = [(int(k), 0, float(rate[k]), float(elapsed[k]), 10, float(error[k]), float(recent[k])) for k in range(n)]
+    frame = spark.createDataFrame(ticks, "model_id long, tick long, rate double, elapsed double, backlog long, error double, recent_error double")
+    cost = spark.createDataFrame([(int(k), float(slope[k]), float(intercept[k])) for k in range(n)], "model_id long, slope double, intercept double")
+    got = {r.model_id: r for r in batching.training_budget(frame, cost).collect()}
+    three = 0
+    for k in range(n):
+        waited = elapsed[k]
+        if 1 - slope[k] * rate[k] != 0:
+            waited = max(waited, intercept[k] / (1 - slope[k] * rate[k]))
+        top, ratio = (waited - intercept[k]) / (slope[k] * rate[k] * waited), error[k] / recent[k]
+        e = np.array([1.0]) if top < 1 else np.append(np.arange(1.0, math.floor(top) + 1), top)
+        # the slope of the cost over rows rises through 0 once: halve the interval
+        b, c = rate[k] * (slope[k] * e - intercept[k]), rate[k] * 60000 * ratio / e
+        low, high = np.zeros(len(e)), np.abs(b) + np.cbrt(c)
+        for _ in range(200):
+            middle = (low + high) / 2
+            above = middle * middle * (middle + b) > c
+            low, high = np.where(above, low, middle), np.where(above, middle, high)
+        d = (low + high) / 2
+        weights = d * d / (2 * rate[k]) + slope[k] * d * e - intercept[k] * d + 60000 * ratio / (e * d)
+        best = int(weights.argmin())
+        three += (c[best] / 2 - b[best] ** 3 / 27) ** 2 <= (b[best] / 3) ** 6
+        near = np.flatnonzero(weights <= weights[best] + 1e-9 * abs(weights[best]))
+        right = {(max(1, math.floor(e[i])), max(1, math.floor(d[i] * (1 + s)))) for i in near for s in (-1e-9, 1e-9)}
+        assert (got[k].epochs, got[k].batch_size) in right
+        assert batching.one_budget(rate[k], elapsed[k], slope[k], intercept[k], error[k], recent[k]) in right
+    assert three > 500
+
+
+def test_budget_without_error(spark):
+    """An error of 0 asks for the least training; after recent errors of 0 the error counts as equal to them."""
+    kind = "model_id long, tick long, rate double, elapsed double, backlog long, error double, recent_error double"
+    frame = spark.createDataFrame([(1, 0, 0.1, 50.0, 3, 0.0, 0.2), (2, 0, 0.1, 50.0, 3, 0.3, 0.0), (3, 0, 0.1, 50.0, 3, 0.3, 0.3)], kind)
+    cost = spark.createDataFrame([(m, 2.0, 0.5) for m in (1, 2, 3)], "model_id long, slope double, intercept double")
+    got = {r.model_id: (r.epochs, r.batch_size) for r in batching.training_budget(frame, cost).collect()}
+    assert got[1] == (1, 1) and got[2] == got[3]
+    assert batching.one_budget(0.1, 50.0, 2.0, 0.5, 0.0, 0.2) == (1, 1)
+
+
 def test_registered_user_model(spark):
     spec = register_model("last", lambda p, x: x[:, -1:] * p[0], lambda p, x, y: np.array([0.0]), [2.0], 3)
     assert registered_model("last") is spec and not spec.linear

@@ -312,11 +312,10 @@ q AS (
 tm AS (SELECT *, (t - intercept) / (slope * ld * t) AS top FROM q),
 choices AS (SELECT *, {epochs} AS e FROM tm),
 cubic AS (SELECT *, ld * (slope * e - intercept) AS b, ld * 60000 * ratio / e AS c FROM choices),
-solved AS (
-  SELECT *, c / 2 - b ** 3 / 27 AS h, (c / 2 - b ** 3 / 27) ** 2 - (b / 3) ** 6 AS disc FROM cubic),
 sized AS (
-  SELECT *, CASE WHEN disc > 0 THEN g + b * b / 9 / g - b / 3 ELSE -1 END AS d
-  FROM (SELECT *, cbrt(CASE WHEN h < 0 THEN h - sqrt(greatest(disc, 0)) ELSE h + sqrt(greatest(disc, 0)) END) AS g FROM solved)),
+  -- Newton's steps from a point right of the positive root of d^3 + b d^2 - c, which they never cross
+  SELECT *, list_reduce(list_prepend(abs(b) + cbrt(c), list_transform(range(300), lambda i: 0.0::DOUBLE)),
+    lambda d, _: d - (d * d * (d + b) - c) / (3 * d * d + 2 * b * d)) AS d FROM cubic),
 weighed AS (SELECT *, d * d / (2 * ld) + slope * d * e - intercept * d + 60000 * ratio / (e * d) AS cost FROM sized),
 best AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY model_id, tick ORDER BY cost, e) = 1)
 SELECT model_id, tick, CAST(greatest(floor(e), 1) AS BIGINT) AS epochs, CAST(greatest(floor(d), 1) AS BIGINT) AS batch_size,
