@@ -25,7 +25,7 @@ from onlinecast.plans.ordering import with_position
 from onlinecast.plans.tables import VersionedTable, written
 from onlinecast.sources.registry import append_registry, read_deployed
 from onlinecast.sources.results import append_results
-from onlinecast.streaming.budgets import STATE, STEP, TAKEN, WAITING, drained
+from onlinecast.streaming.budgets import drained
 from onlinecast.streaming.state import JobPaths, run_batches
 
 PAIR = ["model_id", "stream_id"]
@@ -196,24 +196,21 @@ def incremental_job(
             }
         )
         states = written(states, "states")
-        done = written(
-            drained(backlog, states, spec, lr, method)
-            .withColumn("t_end", F.timestamp_micros("at"))
-            .withColumn("batch_id", numbered_batch(F.lit(batch_id).cast("long"), F.coalesce("step", F.lit(0)))),
-            "drained",
-        )
-        waiting.write(done.where(F.col("kind") == WAITING).select(*columns), batch_id, whole=True)
-        after = done.where(F.col("kind") == STATE)
-        remembered = states.select("model_id", "at", "rate").join(after.select("model_id", "errors"), "model_id")
+        done = drained(backlog, states, spec, lr, method)
+        waiting.write(done.waiting.select(*columns), batch_id, whole=True)
+        remembered = states.select("model_id", "at", "rate").join(done.models.select("model_id", "errors"), "model_id")
         past.write(remembered, batch_id)
-        trained = after.where("step > 0")
+        trained = done.models.where("step > 0")
         trainer.params.write(_with_optimizer_state(trained.select("model_id", "params")), batch_id)
         trainer.queue.write(trained, batch_id)
-        published = done.where((F.col("kind") == STEP) & F.col("publish")).withColumnRenamed("t_end", "update_time")
+        number = numbered_batch(F.lit(batch_id).cast("long"), F.col("step"))
+        published = done.steps.where("publish").withColumn("batch_id", number)
+        published = published.withColumn("update_time", F.timestamp_micros("at"))
         append_registry(
             published.select("model_id", "update_time", "loss", "params", "batch_id"), paths.registry, batch_id, paths.job
         )
-        taken = done.where(F.col("kind") == TAKEN).select("model_id", "stream_id", "k", "t_end", "y", "batch_id", "pred", "loss")
+        taken = done.taken.withColumn("batch_id", number)
+        taken = taken.select("model_id", "stream_id", "k", "t_end", "y", "batch_id", "pred", "loss")
         trainer.document(taken, published, batch_id)
 
     return run_batches(readings, step, paths, trigger)

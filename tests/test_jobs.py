@@ -355,6 +355,68 @@ def test_incremental_job_drains(spark, tmp_path):
         assert len(held) < batching.training_budget(ticks, cost).first().batch_size
 
 
+@pytest.mark.parametrize("method", ["grid", "real"])
+def test_drained_budgets(spark, method):
+    """Budgets far smaller and far larger than a block of sums, against epochs taken one by one on the windows."""
+    from onlinecast.streaming.budgets import BLOCK, drained
+
+    rng = np.random.default_rng(12)
+    spec, lr, start = linear_model(3, outputs=2), 0.05, np.linspace(-0.4, 0.5, 8)
+    settings = {1: (2.0, 40.0, 0.4, 30.0), 2: (0.05, 900.0, 3.0, 20.0), 3: (400.0, 30.0, 0.002, 9.0)}
+    rows, sizes = [], {1: 1700, 2: 900, 3: 6000, 9: 5}
+    for model, n in sizes.items():
+        for i in range(n):
+            x = rng.normal(size=3) * (1 + i / n)
+            y = [x @ [0.3, -0.2, 0.6] + rng.normal() * 0.3, x[0] - rng.normal() * 0.2]
+            rows.append((model, int(rng.integers(3)), i, START + dt.timedelta(seconds=i), x.tolist(), [float(v) for v in y]))
+    kind = "model_id long, stream_id int, k long, t_end timestamp, x array<double>, y array<double>"
+    states = [(m, start.tolist(), [], [], 10000.0, [0.3] * 6, *settings[m]) for m in settings]
+    states = spark.createDataFrame(states, "model_id long, params array<double>, sizes array<long>, losses array<double>, best double, "
+                                   "errors array<double>, rate double, elapsed double, slope double, intercept double")
+    done = drained(spark.createDataFrame(rows, kind).repartition(7), states, spec, lr, method)
+    steps = {(r.model_id, r.step): r for r in done.steps.collect()}
+    taken = {(r.model_id, r.k): r for r in done.taken.collect()}
+    models = {r.model_id: r for r in done.models.collect()}
+    waiting = {(r.model_id, r.k) for r in done.waiting.collect()}
+    assert waiting >= {(9, k) for k in range(5)} and len(waiting) + len(taken) == len(rows)
+    most = 0
+    for m, (rate, elapsed, slope, intercept) in settings.items():
+        mine = [r for r in rows if r[0] == m]
+        params, errors, at, step = start, [0.3] * 6, 0, 0
+        queue, best = [], 10000.0
+        while True:
+            epochs, size = batching.one_budget(rate, elapsed, slope, intercept, errors[-1], sum(errors[:5]) / 5, method)
+            if at + size > len(mine):
+                break
+            x = np.array([[*r[4], 1.0] for r in mine[at : at + size]])
+            y = np.array([r[5] for r in mine[at : at + size]])
+            weights = params.reshape(2, 4)
+            for r, p in zip(mine[at : at + size], x @ weights.T):
+                got = taken[m, r[2]]
+                assert got.step == step
+                np.testing.assert_allclose(got.pred, p, atol=1e-7)
+            for _ in range(epochs):
+                miss = x @ weights.T - y
+                weights = weights - lr * 2 * miss.T @ x / y.size
+            loss, params = float((miss * miss).mean()), weights.ravel()
+            queue.append((size, loss))
+            publish = False
+            if sum(n for n, _ in queue) >= 288:
+                mean = np.mean([v for _, v in queue])
+                publish = mean < best
+                best = min(best, mean)
+                queue.pop(0)
+            done_step = steps[m, step]
+            assert (done_step.size, done_step.epochs, done_step.start, done_step.publish) == (size, epochs, at, publish)
+            np.testing.assert_allclose(done_step.loss, loss, rtol=1e-6, atol=1e-10)
+            errors, at, step, most = [*errors, loss][-6:], at + size, step + 1, max(most, size)
+        assert models[m].step == step and models[m].start == at
+        np.testing.assert_allclose(models[m].params, params, atol=1e-6)
+        np.testing.assert_allclose(models[m].errors, errors, rtol=1e-6)
+        assert {k for model, k in waiting if model == m} == set(range(at, len(mine)))
+    assert len(steps) > 20 and most > BLOCK
+
+
 @pytest.mark.parametrize("method", ["grid", "real"])
 def test_one_budget(spark, method):
     from onlinecast.operators.batching import one_budget
