@@ -144,21 +144,24 @@ class VersionedTable:
     def has(self, batch_id: int) -> bool:
         return batch_id in self._versions()
 
-    def write(self, changed: DataFrame, batch_id: int, whole: bool = False) -> None:
-        """Store the rows of the touched keys, or the whole table, as version ``batch_id``."""
+    def write(self, changed: DataFrame, batch_id: int, whole: bool = False, replay_from: int | None = None) -> None:
+        """Store the rows of the touched keys, or the whole table, as version ``batch_id``.
+
+        Where a micro-batch stores several versions, ``replay_from`` is its first: a repeated one reads what was before it.
+        """
         changed = changed.select(*self.schema.fieldNames())
         if not whole and batch_id % self.compact == 0 and any(v < batch_id for v in self._versions()):
             changed = written(changed, "state")
             kept = self.read(batch_id).join(changed.select(*self.keys).distinct(), self.keys, "left_anti")
             changed = changed.unionByName(kept)
         changed.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        self._purge(batch_id)
+        self._purge(batch_id, batch_id if replay_from is None else replay_from)
 
-    def _purge(self, batch_id: int) -> None:
+    def _purge(self, batch_id: int, replay_from: int) -> None:
         """Delete what neither this batch, if it is repeated, nor a later one reads."""
         if batch_id % self.compact:
             return
-        earlier = [v for v in self._versions() if v < batch_id]
+        earlier = [v for v in self._versions() if v < replay_from]
         whole = max((v for v in earlier if v % self.compact == 0), default=0)
         for version in earlier:
             if version < whole:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 SCHEMA = (
     "model_id long, seq long, batch_id long, stream_id int, pred array<double>, true array<double>, "
-    "ts timestamp, loss double, average_loss double, updated_at timestamp"
+    "ts timestamp, loss double, average_loss double, updated_at timestamp, part long"
 )
 BUCKETS = 64
 

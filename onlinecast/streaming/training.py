@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from onlinecast.operators.batching import ERROR_MEMORY, FIRST_ERROR, numbered_batch
+from onlinecast.operators.batching import ARRIVAL, ERROR_MEMORY, FIRST_ERROR, numbered_batch
 from onlinecast.operators.learning import (
     MARGIN,
     apply_update,
@@ -22,7 +22,7 @@ from onlinecast.operators.scoring import result_documents, score
 from onlinecast.operators.windows import TAIL_SCHEMA, WindowShape, continued_windows
 from onlinecast.plans.joins import attach
 from onlinecast.plans.ordering import with_position
-from onlinecast.plans.tables import VersionedTable, written
+from onlinecast.plans.tables import VersionedTable, passing_tables, written
 from onlinecast.sources.registry import append_registry, read_deployed
 from onlinecast.sources.results import append_results
 from onlinecast.streaming.budgets import drained
@@ -33,9 +33,11 @@ WINDOWS = "model_id long, stream_id int, k long, t_end timestamp, x array<double
 PARAMS = "model_id long, params array<double>, m array<double>, v array<double>, t int"
 QUEUE = "model_id long, sizes array<long>, losses array<double>, best double"
 ERRORS = "model_id long, at timestamp, errors array<double>, rate double"
+PROGRESS = "model_id long, batches long, versions long"
 RING_NAMES = ("ring", "ringbuffer", "ring_buffer")
 SIMILARITY_NAMES = ("similarity", "cossim")
 
+# Windows in one document; those of a longer batch have several, numbered by ``part``.
 DOCUMENT_ROWS = 10_000
 
 
@@ -69,25 +71,29 @@ class _Trainer:
         both = trained.unionByName(fresh, allowMissingColumns=True)
         return written(both.join(touched, "model_id", "left_semi"), "current")
 
-    def finish(self, windows: DataFrame, before: DataFrame, after: DataFrame, losses: DataFrame, batch_id: int) -> None:
-        """Store parameters, documents and publications of a training step."""
-        self.params.write(_with_optimizer_state(after), batch_id)
-        after = self.params.read(batch_id + 1)
-        publications = self._promote(windows, losses, batch_id)
+    def finish(
+        self, windows: DataFrame, before: DataFrame, after: DataFrame, losses: DataFrame, version: int, replay_from: int
+    ) -> None:
+        """Store parameters, documents and publications of a training step on windows with ``batch_id``."""
+        self.params.write(_with_optimizer_state(after), version, replay_from=replay_from)
+        after = self.params.read(version + 1)
+        publications = self._promote(windows, losses, version, replay_from)
         updates = publications.join(after.select("model_id", "params"), "model_id")
         updates = updates.select("model_id", "update_time", "loss", "params")
-        append_registry(updates, self.paths.registry, batch_id, self.paths.job)
-        rows = score(windows.withColumn("batch_id", F.lit(batch_id).cast("long")), before, self.spec)
-        publications = publications.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        self.document(attach(rows, losses, ["model_id"]), publications, batch_id)
+        append_registry(updates, self.paths.registry, version, self.paths.job)
+        rows = score(windows, before, self.spec)
+        self.document(attach(rows, losses, ["model_id"]), publications, version, replay_from)
 
-    def _promote(self, windows: DataFrame, losses: DataFrame, batch_id: int) -> DataFrame:
+    def _promote(self, windows: DataFrame, losses: DataFrame, version: int, replay_from: int) -> DataFrame:
         """Queue the step's loss; models whose queue is long enough and better than ever are published."""
-        sizes = windows.groupBy("model_id").agg(F.count(F.lit(1)).alias("size"), F.max("t_end").alias("update_time"))
-        rows = losses.join(sizes, "model_id").join(self.queue.read(batch_id), "model_id", "left")
+        sizes = windows.groupBy("model_id", "batch_id").agg(
+            F.count(F.lit(1)).alias("size"), F.max("t_end").alias("update_time")
+        )
+        rows = losses.join(sizes, "model_id").join(self.queue.read(version), "model_id", "left")
         none = F.array()
         rows = rows.select(
             "model_id",
+            "batch_id",
             "update_time",
             "loss",
             F.concat(F.coalesce("sizes", none.cast("array<long>")), F.array("size")).alias("sizes"),
@@ -105,10 +111,10 @@ class _Trainer:
             .withColumn("losses", F.when(ready, F.slice("losses", F.lit(2), F.size("losses"))).otherwise(F.col("losses"))),
             "queue",
         )
-        self.queue.write(rows, batch_id)
-        return rows.where("publish").select("model_id", "update_time", "loss")
+        self.queue.write(rows, version, replay_from=replay_from)
+        return rows.where("publish").select("model_id", "batch_id", "update_time", "loss")
 
-    def document(self, rows: DataFrame, publications: DataFrame, batch_id: int) -> None:
+    def document(self, rows: DataFrame, publications: DataFrame, version: int, replay_from: int | None = None) -> None:
         """Store documents of windows with ``batch_id``, ``pred`` and ``loss``, and the markers of publications."""
         at = with_position(rows, [*PAIR, "batch_id"], ["t_end", "k"], "__at")
         at = at.withColumns(
@@ -127,11 +133,12 @@ class _Trainer:
             ["batch_id", "__late", "stream_id", "part"],
             "__at",
         )
-        numbered = attach(numbered, self.counts.read(batch_id), ["model_id"], "left")
+        numbered = attach(numbered, self.counts.read(version), ["model_id"], "left")
         numbered = numbered.withColumn("seq", F.coalesce("documents", F.lit(0)) + F.col("__at"))
-        numbered = written(numbered.drop("__at", "__late", "part", "documents"), "numbered")
-        self.counts.write(numbered.groupBy("model_id").agg((F.max("seq") + 1).alias("documents")), batch_id)
-        append_results(numbered, self.paths.results, batch_id)
+        numbered = written(numbered.drop("__at", "__late", "documents"), "numbered")
+        counts = numbered.groupBy("model_id").agg((F.max("seq") + 1).alias("documents"))
+        self.counts.write(counts, version, replay_from=replay_from)
+        append_results(numbered, self.paths.results, version)
 
 
 def _with_optimizer_state(params: DataFrame) -> DataFrame:
@@ -231,8 +238,15 @@ def continual_job(
     optimizer: str = "sgd",
     seed: int | None = 0,
     trigger: dict | None = None,
+    batch_size: int | None = None,
+    adaptive: bool = False,
 ) -> StreamingQuery:
-    """One gradient step of every model per micro-batch, kept from undoing what its memory holds.
+    """Gradient steps of every model, kept from undoing what its memory holds.
+
+    ``batch_size`` windows of a model, in order of arrival, make a step, and a micro-batch takes as many steps as it fills. What is
+    left waits for the next one, so the steps do not depend on how the source cuts the stream; ``adaptive`` steps on
+    it, too. Without a size the windows of a micro-batch make one step. ``batch_id`` of a document is the number of the
+    model's batch, or of the micro-batch.
 
     The memory is read before the new windows enter it. ``scheduled`` (similarity memory only) replaces a
     stream's memory only by a selection of larger variance, and projects only for models where that
@@ -240,25 +254,28 @@ def continual_job(
     """
     if memory not in RING_NAMES + SIMILARITY_NAMES:
         raise ValueError(f"unknown memory {memory!r}")
+    if batch_size is not None and batch_size < 1:
+        raise ValueError("a batch has at least one window")
     ring = memory in RING_NAMES
     scheduled = scheduled and not ring
     trainer = _Trainer(readings, subscriptions, spec, shape, paths)
     store = trainer.table("memory", WINDOWS, PAIR)
+    carried = trainer.table("carried", WINDOWS, ["model_id"], compact=1)
+    progress = trainer.table("progress", PROGRESS, ["model_id"], compact=1)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        windows = trainer.windows(batch, batch_id)
-        if windows.isEmpty():
-            return
-        before = trainer.current(windows, batch_id)
+    def learn(windows: DataFrame, version: int, replay_from: int) -> None:
+        """One step of every model with windows, on the state before ``version``."""
+        before = trainer.current(windows, version)
         current = written(gradient(windows, before, spec), "gradient")
-        held = written(attach(store.read(batch_id), before.select("model_id"), ["model_id"], "left_semi"), "memory")
+        held = written(attach(store.read(version), before.select("model_id"), ["model_id"], "left_semi"), "memory")
 
         streams = windows.select(*PAIR).distinct()
         touched = attach(held, streams, PAIR, "left_semi")
+        new = windows.drop("batch_id")
         if ring:
-            candidate = ring_memory(touched, windows, capacity)
+            candidate = ring_memory(touched, new, capacity)
         else:
-            candidate = similarity_memory(touched, windows, capacity, seed)
+            candidate = similarity_memory(touched, new, capacity, seed)
         eligible = held
         if scheduled:
             candidate = written(candidate, "candidate")
@@ -266,16 +283,47 @@ def continual_job(
             candidate = gated_memory(touched, candidate, gate)
             opened = gate.where("accepted").select("model_id").distinct()
             eligible = attach(held, opened, ["model_id"], "left_semi")
-        store.write(candidate, batch_id)
+        store.write(candidate, version, replay_from=replay_from)
 
         if not eligible.isEmpty():
             memories = written(memory_gradients(eligible, before, spec), "memories")
             current = project_gradient(current, memories, margin, method=projection)
         after = written(apply_update(before, current, lr, optimizer), "after")
         losses = written(evaluate(windows, after, spec), "losses")
-        trainer.finish(windows, before, after, losses, batch_id)
+        trainer.finish(windows, before, after, losses, version, replay_from)
 
-    return run_batches(readings, step, paths, trigger)
+    def one_step(batch: DataFrame, batch_id: int) -> None:
+        windows = trainer.windows(batch, batch_id)
+        if not windows.isEmpty():
+            learn(windows.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id, batch_id)
+
+    def steps(batch: DataFrame, batch_id: int) -> None:
+        columns = [c.split()[0] for c in WINDOWS.split(", ")]
+        arrived = trainer.windows(batch, batch_id).select(*columns)
+        waiting = written(carried.read(batch_id).unionByName(arrived), "backlog")
+        placed = with_position(waiting, ["model_id"], ARRIVAL, "__at")
+        placed = written(placed.withColumn("__turn", F.floor(F.col("__at") / batch_size)), "turns")
+        held = placed.groupBy("model_id").agg(F.count(F.lit(1)).alias("__held"))
+        turns = F.ceil(F.col("__held") / batch_size) if adaptive else F.floor(F.col("__held") / batch_size)
+        past = progress.read(batch_id)
+        now = held.join(past, "model_id", "full").select(
+            "model_id", F.coalesce("batches", F.lit(0)).alias("__first"), F.coalesce(turns, F.lit(0)).alias("__turns"), "versions"
+        )
+        now = written(now, "now")
+        most, done = now.agg(F.max("__turns"), F.max("versions")).first()
+        first = done or 0
+        placed = attach(placed, now, ["model_id"]).withColumn("batch_id", F.col("__first") + F.col("__turn"))
+        carried.write(placed.where(F.col("__turn") >= F.col("__turns")).select(*columns), batch_id, whole=True)
+        for turn in range(most or 0):
+            with passing_tables(trainer.spark):
+                mine = placed.where((F.col("__turn") == turn) & (F.col("__turn") < F.col("__turns")))
+                learn(written(mine.select(*columns, "batch_id"), "windows"), first + turn, first)
+        after = now.select(
+            "model_id", (F.col("__first") + F.col("__turns")).alias("batches"), F.lit(first + (most or 0)).cast("long").alias("versions")
+        )
+        progress.write(after, batch_id, whole=True)
+
+    return run_batches(readings, steps if batch_size else one_step, paths, trigger)
 
 
 def scheduled_continual_job(*args, **options) -> StreamingQuery:

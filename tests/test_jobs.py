@@ -223,6 +223,64 @@ def test_continual_job(spark, tmp_path):
         np.testing.assert_allclose(r.params, final[r.model_id])
 
 
+@pytest.mark.parametrize("adaptive", [False, True])
+def test_batches_of_a_size(spark, tmp_path, adaptive):
+    """Steps on 11 windows: the same documents however the stream is cut, and after a repeated micro-batch."""
+    rows, frame = in_order(spark, 17, n=100)
+    spec, lr, capacity, size = linear_model(2), 0.05, 3, 25
+    members = {0: [0, 1, 2], 1: [2]}
+    pairs = spark.createDataFrame([(m, s) for m, ss in members.items() for s in ss], "model_id long, stream_id int")
+    seen, final = {}, {}
+    for slices in (1,) if adaptive else (1, 3, 7):
+        where = paths(tmp_path / str(slices))
+        deployed(spark, where, [0, 1], [0.9, -0.7, 0.2])
+        source = str(tmp_path / str(slices) / "in")
+
+        def start(stream):
+            return streaming.continual_job(
+                stream, pairs, spec, win.WindowShape(2, 1, 1, 1), where, lr, "ring", capacity, trigger=NOW,
+                projection="average", batch_size=size, adaptive=adaptive,
+            )
+
+        deliver(spark, frame, source, slices, start)
+        if slices == 3:
+            replay_last(where)
+            start(spark.readStream.schema(SCHEMA).parquet(source)).awaitTermination()
+            spark.catalog.clearCache()
+        got = read_results(spark, where.results).collect()
+        seen[slices] = sorted((r.model_id, r.seq, r.batch_id, r.stream_id, tuple(np.round(r.pred or [], 9)), round(r.loss or 0, 9)) for r in got if r.stream_id is not None)
+        stored = VersionedTable(spark, f"{where.state}/params", "model_id long, params array<double>", ["model_id"])
+        final[slices] = {r.model_id: r.params for r in stored.read().collect()}
+    assert len({tuple(v) for v in seen.values()}) == 1
+
+    done = slices_of(rows, 1)[0]
+    order = {(w.stream_id, w.k): (w.t_end, w.stream_id, w.k) for w in win.training_windows(frame, 2, 1, 1, 1).collect()}
+    done.sort(key=lambda w: order[w[0], w[1]])
+    turned = steps = 0
+    for m, streams in members.items():
+        mine = [w for w in done if w[0] in streams]
+        params, memory = np.array([0.9, -0.7, 0.2]), {}
+        count = -(-len(mine) // size) if adaptive else len(mine) // size
+        steps += count
+        for b in range(count):
+            now = mine[b * size : (b + 1) * size]
+            g = slope(params, now)
+            if memory:
+                mean = np.mean([slope(params, memory[s]) for s in memory], axis=0)
+                if g @ mean < 0:
+                    turned += 1
+                    g = g - (g @ mean) / (mean @ mean) * mean
+            for w in now:
+                memory[w[0]] = (memory.get(w[0], []) + [w])[-capacity:]
+            params = params - lr * g
+            loss = mean_loss(params, now)
+            assert {round(v, 7) for model, _, batch, _, _, v in seen[1] if (model, batch) == (m, b)} == {round(loss, 7)}
+        assert {batch for model, _, batch, *_ in seen[1] if model == m} == set(range(count))
+        for found in final.values():
+            np.testing.assert_allclose(found[m], params)
+    assert turned and steps >= 4
+
+
 def test_scheduled_job(spark, tmp_path):
     rows, frame = in_order(spark, 8, streams=2, n=120)
     where, spec, lr, capacity = paths(tmp_path), linear_model(2), 0.05, 3

@@ -662,3 +662,52 @@ written AS (
 SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id NULLS LAST) - 1 AS seq, batch_id, stream_id, n,
        round(top, 6) AS top, round(loss, 6) AS loss
 FROM written"""
+
+
+def slopes(name: str) -> str:
+    """Means of the derivatives of the squared error by the three parameters."""
+    miss = "2 * (w1 * x[1] + w2 * x[2] + w3 - y[1])"
+    return f"avg({miss} * x[1]) AS {name}1, avg({miss} * x[2]) AS {name}2, avg({miss}) AS {name}3"
+
+
+ORACLES["continual_job_batches"] = f"""
+WITH RECURSIVE {LEARNING},
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY model_id ORDER BY t_end, stream_id, k) - 1) // 80 AS b,
+         count(*) OVER (PARTITION BY model_id) // 80 AS whole FROM l),
+filled AS (SELECT * FROM placed WHERE b < whole),
+held AS (
+  SELECT n.b AS turn, f.* FROM (SELECT DISTINCT model_id, b FROM filled) n JOIN filled f ON f.model_id = n.model_id AND f.b < n.b
+  QUALIFY row_number() OVER (PARTITION BY f.model_id, n.b, f.stream_id ORDER BY f.t_end DESC, f.k DESC) <= 4),
+p AS (
+  SELECT DISTINCT model_id, CAST(0 AS BIGINT) AS b, CAST(0.5 AS DOUBLE) AS w1, CAST(0.25 AS DOUBLE) AS w2, CAST(0.1 AS DOUBLE) AS w3
+  FROM filled
+  UNION ALL
+  SELECT model_id, b + 1, w1 - 0.05 * (g1 - part * m1), w2 - 0.05 * (g2 - part * m2), w3 - 0.05 * (g3 - part * m3)
+  FROM (
+    SELECT model_id, b, w1, w2, w3, g1, g2, g3, coalesce(m1, 0) AS m1, coalesce(m2, 0) AS m2, coalesce(m3, 0) AS m3,
+           CASE WHEN g1 * m1 + g2 * m2 + g3 * m3 < 0
+             THEN (g1 * m1 + g2 * m2 + g3 * m3) / (m1 * m1 + m2 * m2 + m3 * m3) ELSE 0 END AS part
+    FROM (SELECT p.model_id, p.b, w1, w2, w3, {slopes("g")} FROM p JOIN filled f ON f.model_id = p.model_id AND f.b = p.b GROUP BY ALL)
+    LEFT JOIN (
+      SELECT model_id, b, avg(h1) AS m1, avg(h2) AS m2, avg(h3) AS m3 FROM (
+        SELECT p.model_id, p.b, stream_id, {slopes("h")} FROM p JOIN held h ON h.model_id = p.model_id AND h.turn = p.b
+        GROUP BY p.model_id, p.b, stream_id) GROUP BY model_id, b) USING (model_id, b))),
+losses AS (
+  SELECT f.model_id, f.b, avg((w1 * x[1] + w2 * x[2] + w3 - y[1]) ** 2) AS loss
+  FROM filled f JOIN p ON p.model_id = f.model_id AND p.b = f.b + 1 GROUP BY ALL),
+-- batches of equal size: after the fourth one (320 windows) every batch looks at the mean of the last four
+looked AS (
+  SELECT *, CASE WHEN b >= 3 THEN avg(loss) OVER (PARTITION BY model_id ORDER BY b ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) END AS mean_loss
+  FROM losses),
+published AS (
+  SELECT model_id, b FROM (
+    SELECT *, min(mean_loss) OVER (PARTITION BY model_id ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM looked)
+  WHERE mean_loss < least(10000, best)),
+written AS (
+  SELECT f.model_id, f.b AS batch_id, stream_id, count(*) AS n, max(w1 * x[1] + w2 * x[2] + w3) AS top, any_value(loss) AS loss
+  FROM filled f JOIN p USING (model_id, b) JOIN losses USING (model_id, b) GROUP BY ALL
+  UNION ALL SELECT model_id, b, NULL, NULL, NULL, NULL FROM published)
+SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id NULLS LAST) - 1 AS seq, batch_id, stream_id, n,
+       round(top, 6) AS top, round(loss, 6) AS loss
+FROM written"""

@@ -707,6 +707,18 @@ def continual_job(spark, sf_dir):
     return trained(spark, sf_dir, start)
 
 
+@query
+def continual_job_batches(spark, sf_dir):
+    """Steps on 80 windows of a model each, whatever a micro-batch holds."""
+
+    def start(*args):
+        return streaming.continual_job(
+            *args, lr=0.05, memory="ring", capacity=4, projection="average", batch_size=80, trigger=NOW
+        )
+
+    return trained(spark, sf_dir, start)
+
+
 @query
 def continual_job_similarity(spark, sf_dir):
     def start(*args):
