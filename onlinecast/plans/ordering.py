@@ -1,9 +1,9 @@
 """Ordered work per group (positions, frames, running values, top rows) without a hot task.
 
 A plain ``Window.partitionBy(keys)`` sends each group to one task. That is the right plan while
-groups are small, and every function here uses it then. When a count finds groups above
-``group_rows`` rows, the rows are dealt to range partitions by ``(keys, order)`` and written once with
-the number of their partition. A group is then a row of consecutive runs, the window works per run, and
+groups are small, and every function here uses it for those. When a count finds groups above
+``group_rows`` rows, their rows, and no others, are dealt to range partitions by ``(keys, order)`` and written once
+with the number of their partition. A group is then a row of consecutive runs, the window works per run, and
 what earlier runs contribute (a count, a last value) is joined in. This holds for every type and any spread of
 the order columns. ``group_rows=None`` says that groups are known to be small; nothing is counted then.
 """
@@ -11,13 +11,16 @@ the order columns. ``group_rows=None`` says that groups are known to be small; n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onlinecast.plans.joins import attach, salt
-from onlinecast.plans.tables import settled, written
+from onlinecast.plans.joins import BROADCAST_BYTES, attach, salt
+from onlinecast.plans.tables import settled, size_bound, written
 
 GROUP_ROWS = 1_000_000
 SETTLE_BYTES = 8 << 20
@@ -35,37 +38,80 @@ def hot_groups(
     return df, not sizes.where(F.col("n") > group_rows).isEmpty()
 
 
-def runs(
-    df: DataFrame, keys: list[str], order: list[str], group_rows: int | None = GROUP_ROWS
-) -> tuple[DataFrame, list[str]]:
-    """Cut groups into consecutive runs if one is above ``group_rows``; returns the frame and the run columns.
+class Heat(NamedTuple):
+    """Rows of groups within the limit, those of groups beyond it (None without any) and the number of the latter."""
 
-    A run is what a range partition holds of a group, so runs rise with the order columns whatever their
-    types. Rows with equal order columns may be in neighbouring runs. There are no run columns when no group is
-    too large.
-    """
+    cool: DataFrame
+    hot: DataFrame | None
+    rows: int
+
+
+def by_heat(df: DataFrame, keys: list[str], group_rows: int | None = GROUP_ROWS) -> Heat:
+    """Part the rows by the size of their group. There are at most 1 / ``group_rows`` as many hot keys as rows."""
     df, hot = hot_groups(df, keys, group_rows)
     if not hot:
-        return df, []
-    parts = 2 * -(-df.count() // group_rows)
+        return Heat(df, None, 0)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
+    named = written(sizes.withColumnsRenamed({k: f"__hot_{k}" for k in keys}), "hot")
+    side = F.broadcast(named) if size_bound(named) <= BROADCAST_BYTES else named
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
+    rows = named.agg(F.sum("__n")).first()[0]
+    return Heat(df.join(side, same, "left_anti"), df.join(side, same, "left_semi"), rows)
+
+
+def _cut(heat: Heat, keys: list[str], order: list[str], group_rows: int) -> DataFrame:
+    """Hot rows with the number of their run: what a range partition holds of a group.
+
+    Runs rise with the order columns whatever their types. Rows with equal order columns may be in neighbouring runs.
+    """
+    parts = 2 * -(-heat.rows // group_rows)
+    df = heat.hot
     plain = [c for c, f in zip(df.columns, df.schema.fields, strict=True) if not isinstance(f.dataType, T.MapType)]
     ranged = df.repartitionByRange(parts, *keys, *order, F.xxhash64(*plain))
-    return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs"), [RUN]
+    return written(ranged.withColumn(RUN, F.spark_partition_id()), "runs")
+
+
+def runs(
+    df: DataFrame, keys: list[str], order: list[str], group_rows: int | None = GROUP_ROWS
+) -> tuple[DataFrame, list[str]]:
+    """Cut the groups above ``group_rows`` into consecutive runs; returns the frame and the run columns.
+
+    Groups within the limit are one run. There are no run columns when no group is too large.
+    """
+    heat = by_heat(df, keys, group_rows)
+    if heat.hot is None:
+        return heat.cool, []
+    whole = heat.cool.withColumn(RUN, F.lit(-1))
+    return whole.unionByName(_cut(heat, keys, order, group_rows)), [RUN]
 
 
 def with_position(
     df: DataFrame, keys: list[str], order: list[str], name: str = "pos", group_rows: int | None = GROUP_ROWS
 ) -> DataFrame:
     """Add the dense 0-based position of each row in its group."""
-    df, cuts = runs(df, keys, order, group_rows)
-    local = F.row_number().over(Window.partitionBy(*keys, *cuts).orderBy(*order)).cast("long") - 1
-    if not cuts:
-        return df.withColumn(name, local)
-    sizes = df.groupBy(*keys, *cuts).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(*keys).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
+
+    def local(*by: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long") - 1
+
+    heat = by_heat(df, keys, group_rows)
+    cool = heat.cool.withColumn(name, local(*keys))
+    if heat.hot is None:
+        return cool
+    cut = _cut(heat, keys, order, group_rows)
+    sizes = cut.groupBy(*keys, RUN).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
-    df = attach(df, starts, [*keys, *cuts])
-    return df.withColumn(name, F.col("__start") + local).drop("__start", *cuts)
+    cut = _with_run(cut, starts, keys).withColumn(name, F.col("__start") + local(*keys, RUN)).drop("__start", RUN)
+    return cool.unionByName(cut)
+
+
+def _with_run(cut: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of runs with what is known of their run; a key may be null, so they meet by a hash and are then compared."""
+    known = {k: f"__of_{k}" for k in [*keys, RUN]}
+    facts = facts.withColumnsRenamed(known).withColumn("__which", F.xxhash64(*known.values()))
+    joined = attach(cut.withColumn("__which", F.xxhash64(*known)), facts, ["__which"])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(other)) for k, other in known.items()])
+    return joined.where(same).drop("__which", *known.values())
 
 
 def over_frame(
@@ -80,25 +126,27 @@ def over_frame(
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
-    Each callable gets the ordered window and applies its own frame. In the presence of hot groups the
-    rows are cut by position into blocks, and each block also gets the neighbours its frames reach.
+    Each callable gets the ordered window and applies its own frame. The rows of hot groups
+    are cut by position into blocks, and each block also gets the neighbours its frames reach.
     """
-    df, hot = hot_groups(df, keys, group_rows)
-    if not hot:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        if position:
-            df = df.withColumn(position, F.row_number().over(w).cast("long") - 1)
-        return df.withColumns({name: build(w) for name, build in columns.items()})
+    heat = by_heat(df, keys, group_rows)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    cool = heat.cool
+    if position:
+        cool = cool.withColumn(position, F.row_number().over(w).cast("long") - 1)
+    cool = cool.withColumns({name: build(w) for name, build in columns.items()})
+    if heat.hot is None:
+        return cool
     at = position or "__pos"
     block = max(group_rows, before + after + 1)
-    df = with_position(df, keys, order, at, group_rows)
+    hot = with_position(heat.hot, keys, order, at, group_rows)
     first = F.floor(F.greatest(F.col(at) - after, F.lit(0)) / block)
     last = F.floor((F.col(at) + before) / block)
-    df = df.withColumn("__block", F.explode(F.sequence(first, last)))
+    hot = hot.withColumn("__block", F.explode(F.sequence(first, last)))
     w = Window.partitionBy(*keys, "__block").orderBy(at)
-    df = df.withColumns({name: build(w) for name, build in columns.items()})
-    df = df.where(F.floor(F.col(at) / block) == F.col("__block")).drop("__block")
-    return df if position else df.drop(at)
+    hot = hot.withColumns({name: build(w) for name, build in columns.items()})
+    hot = hot.where(F.floor(F.col(at) / block) == F.col("__block")).drop("__block")
+    return cool.unionByName(hot if position else hot.drop(at))
 
 
 def running(
@@ -112,7 +160,6 @@ def running(
     group_rows: int | None = GROUP_ROWS,
 ) -> DataFrame:
     """Add the running ``last`` (non-null), ``min`` or ``sum`` of ``column`` in each group."""
-    df, cuts = runs(df, keys, order, group_rows)
     value = F.col(column)
     folds = {
         "last": lambda c, w: F.last(c, ignorenulls=True).over(w),
@@ -120,26 +167,31 @@ def running(
         "sum": lambda c, w: F.sum(c).over(w),
     }
     fold = folds[kind]
-    inner = Window.partitionBy(*keys, *cuts).orderBy(*order)
-    inner = inner.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    if not cuts:
-        return df.withColumn(name, fold(value, inner))
+
+    def inner(*by: str) -> WindowSpec:
+        return Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+
+    heat = by_heat(df, keys, group_rows)
+    cool = heat.cool.withColumn(name, fold(value, inner(*keys)))
+    if heat.hot is None:
+        return cool
+    cut = _cut(heat, keys, order, group_rows)
     totals = {
         "last": F.max_by(value, F.when(value.isNotNull(), F.struct(*order))),
         "min": F.min(value),
         "sum": F.sum(value),
     }
-    per_run = df.groupBy(*keys, *cuts).agg(totals[kind].alias("__run_value"))
-    earlier = Window.partitionBy(*keys).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
+    per_run = cut.groupBy(*keys, RUN).agg(totals[kind].alias("__run_value"))
+    earlier = Window.partitionBy(*keys).orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_run.withColumn("__carry", fold(F.col("__run_value"), earlier)).drop("__run_value")
-    df = attach(df, carry, [*keys, *cuts])
-    own, carried = fold(value, inner), F.col("__carry")
+    own, carried = fold(value, inner(*keys, RUN)), F.col("__carry")
     merged = {
         "last": F.coalesce(own, carried),
         "min": F.least(own, carried),
         "sum": F.coalesce(own + carried, own, carried),
     }
-    return df.withColumn(name, merged[kind]).drop("__carry", *cuts)
+    cut = _with_run(cut, carry, keys).withColumn(name, merged[kind]).drop("__carry", RUN)
+    return cool.unionByName(cut)
 
 
 def top_rows(
@@ -151,7 +203,8 @@ def top_rows(
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return frame.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
 
-    df, hot = hot_groups(df, keys, group_rows)
-    if hot:
-        df = keep(df.withColumn("__salt", salt(df)), [*keys, "__salt"]).drop("__salt")
-    return keep(df, keys)
+    heat = by_heat(df, keys, group_rows)
+    if heat.hot is None:
+        return keep(heat.cool, keys)
+    salted = keep(heat.hot.withColumn("__salt", salt(heat.hot)), [*keys, "__salt"]).drop("__salt")
+    return keep(heat.cool, keys).unionByName(keep(salted, keys))

@@ -34,6 +34,40 @@ def test_runs_bound_the_group_size(rows):
     assert cut.count() == rows.count()
 
 
+@pytest.fixture(scope="module")
+def one_hot(spark, tmp_path_factory):
+    """A group of 101 rows among many single ones, and one whose key is null."""
+    path = str(tmp_path_factory.mktemp("one-hot"))
+    i = F.col("id")
+    key = F.when(i < 101, F.lit(-1)).when((i >= 200) & (i < 350), F.lit(None)).otherwise(i)
+    rows = spark.range(20_000).select(key.cast("int").alias("stream_id"), (i * 7919 % 20_011).alias("ts"), i.alias("event_id"))
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_only_hot_groups_are_cut(one_hot):
+    order = ["ts", "event_id"]
+    heat = ordering.by_heat(one_hot, ["stream_id"], 100)
+    assert heat.rows == 251 and heat.hot.count() == 251 and heat.cool.count() == 20_000 - 251
+    cut, _ = ordering.runs(one_hot, ["stream_id"], order, 100)
+    assert cut.where(F.col(ordering.RUN) >= 0).select(ordering.RUN).distinct().count() <= 6
+    assert cut.where(F.col(ordering.RUN) < 0).count() == heat.cool.count()
+    # single rows are numbered by a plain window over the table itself, which is not written again
+    plan = ordering.with_position(one_hot, ["stream_id"], order, "pos", 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "one-hot" in "".join(one_hot.inputFiles())
+    for frame, plain in (
+        (ordering.with_position(one_hot, ["stream_id"], order, "pos", g) for g in (100, None)),
+        (ordering.running(one_hot, ["stream_id"], order, "event_id", "sum", "s", False, g) for g in (100, None)),
+        (ordering.top_rows(one_hot, ["stream_id"], [F.desc("ts"), "event_id"], 2, g) for g in (100, None)),
+        (
+            ordering.over_frame(one_hot, ["stream_id"], order, 2, 1, {"n": lambda w: F.sum("event_id").over(w.rowsBetween(-2, 1))}, None, g)
+            for g in (100, None)
+        ),
+    ):
+        assert frame.count() == plain.count()
+        assert frame.exceptAll(plain.select(*frame.columns)).isEmpty()
+
+
 @pytest.mark.parametrize("group_rows", [3, SMALL, 150])
 def test_positions(rows, group_rows):
     args = (rows, ["stream_id"], ["ts", "event_id"], "pos")
