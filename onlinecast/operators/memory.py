@@ -5,14 +5,13 @@ Memory and windows share the columns ``model_id, stream_id, k, t_end, x, y``.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.functions.vectors import cosine_to_ones
-from onlinecast.plans.folds import fold_states
 from onlinecast.plans.joins import attach
-from onlinecast.plans.ordering import GROUP_ROWS, top_rows
+from onlinecast.plans.ordering import GROUP_ROWS, running, top_rows
+from onlinecast.plans.tables import written
 
 STREAM = ["model_id", "stream_id"]
 COLUMNS = [*STREAM, "k", "t_end", "x", "y"]
@@ -34,18 +33,37 @@ def ring_memory_reset(batches: DataFrame, capacity: int, group_rows: int | None
     ``batches`` are windows with ``batch_id``. Visible are the windows of the batches after the last one
     that filled the ring; none if the last batch did.
     """
-    sizes = batches.groupBy(*STREAM, "batch_id").agg(F.count(F.lit(1)).alias("size"))
+    last = _last_fill(batches.groupBy(*STREAM, "batch_id").agg(F.count(F.lit(1)).alias("size")), capacity, group_rows)
+    kept = attach(batches, last, STREAM, "left")
+    return kept.where(F.col("__full").isNull() | (F.col("batch_id") > F.col("__full"))).select(*COLUMNS)
+
 
-    def fill(state: np.ndarray, size: int) -> np.ndarray:
-        filled = state + size
-        return np.where(filled >= capacity, 0, filled)
+def _last_fill(sizes: DataFrame, capacity: int, group_rows: int | None) -> DataFrame:
+    """The last batch of each stream that fills the ring, for streams that have one.
 
-    counted = fold_states(sizes, STREAM, ["batch_id"], "size", fill, capacity, "filled", group_rows)
-    last_full = counted.groupBy(*STREAM).agg(
-        F.max(F.when(F.col("filled") + F.col("size") >= capacity, F.col("batch_id"))).alias("__full")
+    A ring that is empty behind some batch is next full at the first batch where the running sum of sizes is larger by
+    ``capacity``: every batch has a jump to another one. The last fill is where the jumps from the start end. Jumps are doubled until
+    those of the start go no further, so n fills take log n rounds.
+    """
+    summed = running(sizes, STREAM, ["batch_id"], "size", "sum", "__sum", group_rows=group_rows)
+    summed = written(summed.select(*STREAM, "batch_id", "__sum"), "sums")
+    nobody = F.lit(None).cast(sizes.schema["batch_id"].dataType)
+    sources = summed.unionByName(summed.select(*STREAM).distinct().withColumns({"batch_id": nobody, "__sum": F.lit(0).cast("long")}))
+    # downwards over the sums, the last batch seen is the first one that reaches the sum asked for
+    reached = summed.select(*STREAM, (-F.col("__sum")).alias("__down"), F.lit(0).alias("__asks"), F.col("batch_id").alias("__to"), nobody.alias("batch_id"))
+    asked = sources.select(*STREAM, (-F.col("__sum") - capacity).alias("__down"), F.lit(1).alias("__asks"), nobody.alias("__to"), "batch_id")
+    found = running(
+        reached.unionByName(asked), STREAM, ["__down", "__asks", "__to", "batch_id"], "__to", "last", "__next", group_rows=group_rows
     )
-    kept = attach(batches, last_full, STREAM)
-    return kept.where(F.col("__full").isNull() | (F.col("batch_id") > F.col("__full"))).select(*COLUMNS)
+    jumps = found.where((F.col("__asks") == 1) & F.col("__next").isNotNull()).select(*STREAM, "batch_id", "__next")
+    jumps = written(jumps, "jumps")
+    while True:
+        further = jumps.where("batch_id is not null").select(*STREAM, F.col("batch_id").alias("__next"), F.col("__next").alias("__then"))
+        starts = jumps.where("batch_id is null")
+        if starts.join(further, [*STREAM, "__next"], "left_semi").isEmpty():
+            return starts.select(*STREAM, F.col("__next").alias("__full"))
+        doubled = jumps.join(further, [*STREAM, "__next"], "left")
+        jumps = written(doubled.select(*STREAM, "batch_id", F.coalesce("__then", "__next").alias("__next")), "jumps")
 
 
 def similarity_memory(
