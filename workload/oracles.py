@@ -113,10 +113,11 @@ def gradients(source: str, keys: str, name: str) -> str:
   FROM {source}, range(3) t(p) GROUP BY {keys}, p)"""
 
 
-CURRENT = f"""{LEARNING_BATCHES},
-last_batch AS (SELECT lb.* FROM lb JOIN (SELECT model_id, max(batch_id) AS batch_id FROM lb GROUP BY 1) USING (model_id, batch_id)),
-{gradients("last_batch", "model_id", "cur")},
-mem AS (SELECT * FROM lb QUALIFY row_number() OVER (PARTITION BY model_id, stream_id ORDER BY t_end DESC, k DESC) <= 3),
+CURRENT = f"""{LEARNING},
+aged AS (SELECT *, row_number() OVER (PARTITION BY model_id, stream_id ORDER BY t_end DESC, k DESC) AS age FROM l),
+others AS (SELECT * FROM aged WHERE age > 7),
+{gradients("others", "model_id", "cur")},
+mem AS (SELECT * FROM aged WHERE age <= 7),
 {gradients("mem", "model_id, stream_id", "mg")}"""
 
 SIMILAR = """sim AS (
@@ -156,9 +157,9 @@ WITH {READINGS}, {training(3, 1, 2, 2)}
 
 ORACLES["sink_source_results"] = f"""
 WITH {ROLLED}
-SELECT model_id, row_number() OVER (ORDER BY batch_id, stream_id) - 1 AS seq, batch_id, stream_id, n,
+SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id) - 1 AS seq, batch_id, stream_id, n,
        epoch_us(ts) AS ts, round(loss, 6) AS loss, round(average_loss, 6) AS average_loss
-FROM a WHERE model_id = 3"""
+FROM a"""
 
 ORACLES["decoded_readings"] = """
 SELECT user_id AS stream_id, epoch_us(ts) AS ts, event_id, value FROM events WHERE event_type <> 'error'"""
@@ -500,6 +501,35 @@ q AS (SELECT model_id, p, g, m, sum(g * m) OVER (PARTITION BY model_id) AS gm, s
       FROM cur JOIN av USING (model_id, p))
 SELECT model_id, p, round(CASE WHEN gm < 0 THEN g - gm / mm * m ELSE g END, 6) AS g FROM q"""
 
+# Newton's method for the shift u = sum of v * (a, b, c) over the streams, where v is the larger of the margin and -slope / ridge.
+ORACLES["project_gradient_exact"] = f"""
+WITH RECURSIVE {CURRENT},
+now AS (SELECT model_id, max(g) FILTER (WHERE p = 0) AS g1, max(g) FILTER (WHERE p = 1) AS g2, max(g) FILTER (WHERE p = 2) AS g3 FROM cur GROUP BY 1),
+past AS (
+  SELECT model_id, stream_id, max(g) FILTER (WHERE p = 0) AS a, max(g) FILTER (WHERE p = 1) AS b, max(g) FILTER (WHERE p = 2) AS c
+  FROM mg GROUP BY 1, 2),
+turned AS (SELECT DISTINCT model_id FROM past JOIN now USING (model_id) WHERE a * g1 + b * g2 + c * g3 < 0),
+step AS (
+  SELECT model_id, 0 AS i, CAST(0 AS DOUBLE) AS u1, CAST(0 AS DOUBLE) AS u2, CAST(0 AS DOUBLE) AS u3 FROM turned
+  UNION ALL
+  SELECT model_id, i + 1,
+         u1 - ((h22 * h33 - h23 * h23) * r1 + (h13 * h23 - h12 * h33) * r2 + (h12 * h23 - h13 * h22) * r3) / det,
+         u2 - ((h13 * h23 - h12 * h33) * r1 + (h11 * h33 - h13 * h13) * r2 + (h12 * h13 - h11 * h23) * r3) / det,
+         u3 - ((h12 * h23 - h13 * h22) * r1 + (h12 * h13 - h11 * h23) * r2 + (h11 * h22 - h12 * h12) * r3) / det
+  FROM (SELECT *, h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h13 * h23) + h13 * (h12 * h23 - h13 * h22) AS det FROM (
+    SELECT model_id, i, u1, u2, u3, u1 - sum(v * a) AS r1, u2 - sum(v * b) AS r2, u3 - sum(v * c) AS r3,
+           1 + sum(f * a * a) AS h11, sum(f * a * b) AS h12, sum(f * a * c) AS h13, 1 + sum(f * b * b) AS h22, sum(f * b * c) AS h23,
+           1 + sum(f * c * c) AS h33
+    FROM (
+      SELECT *, greatest(0.5, slope / -0.001) AS v, CASE WHEN slope / -0.001 > 0.5 THEN 1000.0::DOUBLE ELSE 0 END AS f FROM (
+        SELECT step.*, a, b, c, a * (g1 + u1) + b * (g2 + u2) + c * (g3 + u3) AS slope
+        FROM step JOIN past USING (model_id) JOIN now USING (model_id)))
+    GROUP BY model_id, i, u1, u2, u3))
+  WHERE i < 50),
+shift AS (SELECT model_id, u1, u2, u3 FROM step WHERE i = 50)
+SELECT model_id, p, round(g + coalesce(CASE p WHEN 0 THEN u1 WHEN 1 THEN u2 ELSE u3 END, 0), 6) AS g
+FROM cur LEFT JOIN shift USING (model_id)"""
+
 ORACLES["apply_update"] = f"""
 WITH {CURRENT}
 SELECT model_id, p, round(CASE p WHEN 0 THEN 0.5 WHEN 1 THEN 0.25 ELSE 0.1 END - 0.05 * g, 6) AS w FROM cur"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,7 +89,8 @@ def sink_source_windows(spark, sf_dir):
 def sink_source_results(spark, sf_dir):
     path = new_path(spark, "results")
     write_results(analytics.number_results(inputs.documents(spark, sf_dir)), path, restart=True)
-    return read_results(spark, path, 3).select(
+    each = [read_results(spark, path, model) for model in range(inputs.MODELS)]
+    return reduce(DataFrame.unionByName, each).select(
         "model_id", "seq", "batch_id", long("stream_id"), long(F.size("pred"), "n"), micros("ts"), r6("loss"), r6("average_loss")
     )
 
@@ -475,13 +477,13 @@ def variance_gate(spark, sf_dir):
 
 
 def latest_gradients(spark, sf_dir):
-    """Gradients on the windows of the last batch and on the ring memory."""
-    batches = written(inputs.learning_batches(spark, sf_dir), "batches")
+    """Gradients on the newest windows of each stream, as its memory, and on all other windows of a model."""
+    windows = written(inputs.learning_windows(spark, sf_dir), "windows")
     params = inputs.parameters(spark, sf_dir)
-    last = batches.groupBy("model_id").agg(F.max("batch_id").alias("batch_id"))
-    current = learning.gradient(batches.join(last, ["model_id", "batch_id"]), params, TRAINING)
-    kept = memory.ring_memory(None, batches, 3)
-    return params, written(current, "current"), written(learning.memory_gradients(kept, params, TRAINING), "memories")
+    kept = written(memory.ring_memory(None, windows, 7), "kept")
+    others = windows.join(kept, ["model_id", "stream_id", "k"], "left_anti")
+    current = written(learning.gradient(others, params, TRAINING), "current")
+    return params, current, written(learning.memory_gradients(kept, params, TRAINING), "memories")
 
 
 @query
