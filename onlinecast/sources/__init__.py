@@ -2,7 +2,7 @@
 
 from onlinecast.sources.readings import decode_readings, read_readings, rejected_readings
 from onlinecast.sources.records import format_window_record, parse_window_record, read_windows, write_windows
-from onlinecast.sources.results import append_results, read_results, write_results
+from onlinecast.sources.results import append_results, read_results, stream_results, write_results
 
 __all__ = [
     "append_results",
@@ -13,6 +13,7 @@ __all__ = [
     "read_results",
     "read_windows",
     "rejected_readings",
+    "stream_results",
     "write_results",
     "write_windows",
 ]

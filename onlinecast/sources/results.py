@@ -10,6 +10,7 @@ SCHEMA = (
     "model_id long, seq long, batch_id long, stream_id int, pred array<double>, true array<double>, "
     "ts timestamp, loss double, average_loss double, updated_at timestamp, part long"
 )
+STORED = SCHEMA + ", run long, bucket int"
 BUCKETS = 64
 
 
@@ -43,7 +44,12 @@ def append_results(results: DataFrame, path: str, run: int) -> None:
 
 def read_results(spark: SparkSession, path: str, model_id: int | None = None) -> DataFrame:
     """Documents of one model (only its bucket is read, and of it the files that hold the model) or of all."""
-    table = spark.read.schema(SCHEMA + ", run long, bucket int").parquet(path)
+    table = spark.read.schema(STORED).parquet(path)
     if model_id is not None:
         table = table.where((F.col("bucket") == model_id % BUCKETS) & (F.col("model_id") == model_id))
     return table.drop("run", "bucket", "shape")
+
+
+def stream_results(spark: SparkSession, path: str) -> DataFrame:
+    """Documents as they are written; those of a repeated micro-batch of their writer come again."""
+    return spark.readStream.schema(STORED).parquet(path).drop("run", "bucket")

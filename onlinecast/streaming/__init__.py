@@ -1,6 +1,7 @@
 """Windows, inference and training on unbounded readings."""
 
 from onlinecast.streaming.inference import inference_job, inference_jobs
+from onlinecast.streaming.summary import read_summary, summary_job
 from onlinecast.streaming.training import continual_job, incremental_job, scheduled_continual_job
 from onlinecast.streaming.windows import lookback_windows_stream, training_windows_stream, windows_job
 
@@ -10,7 +11,9 @@ __all__ = [
     "inference_job",
     "inference_jobs",
     "lookback_windows_stream",
+    "read_summary",
     "scheduled_continual_job",
+    "summary_job",
     "training_windows_stream",
     "windows_job",
 ]

@@ -8,12 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from onlinecast import streaming
-from onlinecast.operators import batching, scoring
+from onlinecast.operators import analytics, batching, scoring
 from onlinecast.operators import windows as win
 from onlinecast.operators.models import linear_model
 from onlinecast.plans import tables
 from onlinecast.plans.tables import VersionedTable
-from onlinecast.sources import read_results, write_windows
+from onlinecast.sources import append_results, read_results, write_windows
 from onlinecast.sources.registry import append_registry, deploy, read_registry
 from onlinecast.streaming.state import JobPaths
 from tests.frames import readings, same
@@ -521,6 +521,29 @@ def test_publication(spark, tmp_path):
     assert [r.batch_id for r in markers] == [b for b, _ in published]
 
 
+def test_summary_job(spark, tmp_path):
+    """The running summary equals the batch one after each part, also when a part is written or read again."""
+    where = paths(tmp_path)
+    rows = [(i % 3, i // 3, i, i % 2, [0.1 * i, -1.0], [0.2 * (40 - i), 0.0], float(i % 7) if i % 5 else None) for i in range(60)]
+    kind = "model_id long, seq long, batch_id long, stream_id int, pred array<double>, true array<double>, loss double"
+    results = spark.createDataFrame(rows, kind).withColumn("average_loss", F.col("loss") / 2)
+    columns = ["model_id", "documents", "max_value", "max_loss", "max_average_loss"]
+    known = {}
+    for i, upto in enumerate((7, 7, 12, 20)):
+        run = max(i, 1)  # the second part is the first one written again
+        first = 0 if i < 2 else (7, 12)[i - 2]
+        append_results(results.where((F.col("seq") >= first) & (F.col("seq") < upto)), where.results, run)
+        streaming.summary_job(spark, where, NOW).awaitTermination()
+        if i == 2:
+            replay_last(where)
+            streaming.summary_job(spark, where, NOW).awaitTermination()
+        found = streaming.read_summary(spark, where)
+        same(found.select(*columns), analytics.axis_maxima(results.where(F.col("seq") < upto)).select(*columns))
+        new = {r.model_id: r.new_documents for r in found.collect()}
+        assert new == {m: upto - known.get(m, 0) for m in range(3)}
+        known = {m: upto for m in range(3)}
+
+
 def test_state_survives_compaction(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "k int, v int", ["k"], compact=3)
     want, before = {}, {}

@@ -741,3 +741,5 @@ written AS (
 SELECT model_id, row_number() OVER (PARTITION BY model_id ORDER BY batch_id, stream_id NULLS LAST) - 1 AS seq, batch_id, stream_id, n,
        round(top, 6) AS top, round(loss, 6) AS loss
 FROM written"""
+
+ORACLES["summary_job"] = ORACLES["axis_maxima"]

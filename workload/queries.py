@@ -15,6 +15,7 @@ from onlinecast.operators.models import linear_model, mlp_model
 from onlinecast.plans import ordering
 from onlinecast.plans.tables import new_path, written
 from onlinecast.sources import (
+    append_results,
     decode_readings,
     format_window_record,
     parse_window_record,
@@ -735,3 +736,16 @@ def scheduled_continual_job(spark, sf_dir):
         return streaming.scheduled_continual_job(*args, lr=0.05, capacity=8, trigger=NOW)
 
     return trained(spark, sf_dir, start)
+
+
+@query
+def summary_job(spark, sf_dir):
+    """Documents are written in three parts; after each the summary goes on."""
+    paths = inputs.job_paths(spark, "summary")
+    results = written(inputs.results(spark, sf_dir), "results")
+    numbers = results.agg(F.max("seq")).first()[0] + 1
+    for part in range(inputs.SLICES):
+        append_results(results.where(F.floor(F.col("seq") * inputs.SLICES / numbers) == part), paths.results, part)
+        streaming.summary_job(spark, paths, NOW).awaitTermination()
+    maxima = streaming.read_summary(spark, paths)
+    return maxima.select("model_id", "documents", r6("max_value"), r6("max_loss"), r6("max_average_loss"))
