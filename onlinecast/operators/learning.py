@@ -9,11 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from onlinecast.functions.vectors import dot
 from onlinecast.operators.models import ModelSpec
 from onlinecast.operators.scoring import linear_pred, loss, score, with_params
 from onlinecast.plans.joins import attach
@@ -24,6 +24,8 @@ MOST_STEPS = 200
 PRECISION = 1e-10
 GRAM_BLOCK = 2048
 FLUSH_GROUPS = 1000
+FLUSH_NUMBERS = 1 << 22
+ROUNDING = 1e-12
 
 # Fixed values of the projection.
 MARGIN = 0.5
@@ -377,45 +379,97 @@ def fit_epochs(
     return state.drop("__left")
 
 
-def _fit_linear(windows: DataFrame, params: DataFrame, spec: ModelSpec, epochs: int | str, lr: float) -> DataFrame:
-    wide, outs = spec.look_back + 1, spec.outputs
-    inputs = [F.element_at("x", i + 1) for i in range(spec.look_back)] + [F.lit(1.0)]
-    targets = [F.element_at("y", o + 1) for o in range(outs)]
-    pairs = {(i, j): F.sum(inputs[i] * inputs[j]) for i in range(wide) for j in range(i, wide)}
-    sums = windows.groupBy("model_id").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.array(*pairs.values()).alias("__pairs"),
-        *[F.array(*[F.sum(z * y) for z in inputs]).alias(f"__b{o}") for o, y in enumerate(targets)],
-        sum(F.sum(y * y) for y in targets).alias("__yy"),
-    )
-    index = {pair: i for i, pair in enumerate(pairs)}
-    matrix = F.array(
-        *[F.array(*[F.col("__pairs")[index[min(i, j), max(i, j)]] for j in range(wide)]) for i in range(wide)]
-    )
-    sums = sums.withColumn("__a", matrix).withColumn("__b", F.array(*[f"__b{o}" for o in range(outs)]))
-    weights = F.array(*[F.slice("params", o * wide + 1, wide) for o in range(outs)])
-    rows = params.join(sums, "model_id", "left")
-    scale = F.col("__n") * outs
-
-    def step(state: Column, _: Column) -> Column:
-        products = F.transform(state["w"], lambda w: F.transform(F.col("__a"), lambda row: dot(row, w)))
-        quadratic = F.aggregate(
-            F.zip_with(
-                F.zip_with(state["w"], products, lambda w, aw: dot(w, aw)),
-                F.zip_with(state["w"], F.col("__b"), lambda w, b: dot(w, b)),
-                lambda waw, wb: waw - 2 * wb,
-            ),
-            F.lit(0.0),
-            lambda a, v: a + v,
-        )
-        slopes = F.zip_with(products, F.col("__b"), lambda aw, b: F.zip_with(aw, b, lambda p, q: 2 * (p - q) / scale))
-        moved = F.zip_with(state["w"], slopes, lambda w, s: F.zip_with(w, s, lambda a, b: a - lr * b))
-        return F.struct(moved.alias("w"), ((quadratic + F.col("__yy")) / scale).alias("loss"))
+def sums_of_products(windows: DataFrame, spec: ModelSpec) -> DataFrame:
+    """Per model the number of windows and the sums of the products of all pairs of (x, 1, y), as the upper triangle by rows.
+
+    Every task multiplies whole Arrow batches and adds them up; the numbers of the tasks are then summed by their place, so nothing
+    but a row a model and task leaves a task, however wide the windows are.
+    """
+    wide = spec.look_back + 1 + spec.outputs
+    left, right = np.triu_indices(wide)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
 
+        def flush() -> pa.RecordBatch:
+            # windows are counted by the product of the ones
+            out = pa.RecordBatch.from_pydict({"model_id": list(sums), "part": list(sums.values())}, schema)
+            sums.clear()
+            return out
+
+        for batch in batches:
+            models = batch.column("model_id").to_numpy()
+            x, y = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(len(models), -1) for c in ("x", "y"))
+            rows = np.hstack([x, np.ones((len(models), 1)), y])
+            order = np.argsort(models, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(models[order])) + 1):
+                if len(part):
+                    some = rows[part]
+                    sums[int(models[part[0]])] = sums.get(int(models[part[0]]), 0.0) + (some.T @ some)[left, right]
+            if len(sums) * len(left) > FLUSH_NUMBERS:
+                yield flush()
+        if sums:
+            yield flush()
+
+    schema = pa.schema([("model_id", pa.int64()), ("part", pa.list_(pa.float64()))])
+    parts = windows.select(F.col("model_id").cast("long"), "x", "y").mapInArrow(add, "model_id long, part array<double>")
+    places = parts.select("model_id", F.posexplode("part").alias("p", "v")).groupBy("model_id", "p").agg(F.sum("v").alias("v"))
+    listed = places.groupBy("model_id").agg(F.sort_array(F.collect_list(F.struct("p", "v"))).alias("__all"))
+    ones = int(np.flatnonzero((left == spec.look_back) & (right == spec.look_back))[0])
+    return listed.select("model_id", F.col("__all.v").alias("products"), F.round(F.col("__all")[ones]["v"]).cast("long").alias("rows"))
+
+
+def fit_products(
+    spec: ModelSpec, params: np.ndarray, products: np.ndarray, rows: int, epochs: int, lr: float
+) -> tuple[np.ndarray, float]:
+    """Parameters after ``epochs`` full-batch steps on ``rows`` windows, and the loss before the last of them.
+
+    ``products`` are the sums of products of all pairs of (x, 1, y). In the basis of the eigenvectors of the inputs'
+    part each weight moves by itself, so any number of epochs is one step. A loss that is rounding counts as 0.
+    """
+    wide = spec.look_back + 1
+    if not np.isfinite(products).all():
+        return np.full(len(params), np.nan), float("nan")
+    inputs, cross, targets = products[:wide, :wide], products[:wide, wide:], products[wide:, wide:].trace()
+    scale = 2 * lr / (rows * spec.outputs)
+    values, basis = np.linalg.eigh(inputs)
+    values = np.maximum(values, 0.0)
+    shrink = 1 - scale * values
+    pull = scale * cross.T @ basis
+    first = params.reshape(spec.outputs, -1) @ basis
+    flat = values * scale < 1e-12
+
+    def after(steps: int) -> np.ndarray:
+        power = shrink**steps
+        sums = np.where(flat, steps, (1 - power) / np.where(flat, 1.0, 1 - shrink))
+        return (first * power + pull * sums) @ basis.T
+
+    last = after(epochs - 1)
+    loss = float(np.sum((last @ inputs) * last) - 2 * np.sum(last * cross.T) + targets)
+    known = loss > ROUNDING * max(float(targets), float(np.sum((last @ inputs) * last)))
+    return after(epochs).ravel(), loss / (rows * spec.outputs) if known or np.isnan(loss) else 0.0
+
+
+def _fit_linear(windows: DataFrame, params: DataFrame, spec: ModelSpec, epochs: int | str, lr: float) -> DataFrame:
     count = F.lit(epochs) if isinstance(epochs, int) else F.col(epochs)
-    start = F.struct(weights.alias("w"), F.lit(None).cast("double").alias("loss"))
-    fitted = F.aggregate(F.sequence(F.lit(1), count.cast("int")), start, step)
-    done = F.when(F.col("__n").isNotNull() & (count > 0), fitted)
-    return rows.withColumn("__fit", done).select(
-        "model_id", F.coalesce(F.flatten("__fit.w"), F.col("params")).alias("params"), F.col("__fit.loss").alias("loss")
-    )
+    rows = params.select("model_id", "params", count.cast("long").alias("epochs"))
+    rows = rows.join(sums_of_products(windows, spec), "model_id", "left")
+    place = np.triu_indices(spec.look_back + 1 + spec.outputs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fitted, losses = [], []
+            for row in batch.to_pylist():
+                weights, loss = row["params"], None
+                if row["rows"] and (row["epochs"] or 0) > 0:
+                    products = np.zeros((place[0].max() + 1,) * 2)
+                    products[place] = products[place[::-1]] = row["products"]
+                    weights, loss = fit_products(spec, np.array(weights, float), products, row["rows"], row["epochs"], lr)
+                fitted.append(list(weights))
+                losses.append(loss)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("model_id"), pa.array(fitted, pa.list_(pa.float64())), pa.array(losses, pa.float64())],
+                names=["model_id", "params", "loss"],
+            )
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["model_id"], *T.StructType.fromDDL("params array<double>, loss double").fields]))

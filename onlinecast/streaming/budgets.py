@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.operators.batching import ARRIVAL, ERROR_MEMORY, one_budget
+from onlinecast.operators.learning import fit_products
 from onlinecast.operators.models import ModelSpec
 from onlinecast.operators.promotion import QUEUE_ROWS
 from onlinecast.operators.scoring import linear_pred
@@ -29,7 +30,6 @@ STATE, TAKEN, STEP, WAITING = range(4)
 FLUSH_ROWS = 5_000
 BLOCK = 256
 SPREAD = 4096
-ROUNDING = 1e-12
 
 STATES = {
     "params": "array<double>", "sizes": "array<long>", "losses": "array<double>", "best": "double",
@@ -70,37 +70,6 @@ def predictions(spec: ModelSpec, params: np.ndarray, x: np.ndarray) -> np.ndarra
     return x @ weights[:, :-1].T + weights[:, -1]
 
 
-def fit_products(
-    spec: ModelSpec, params: np.ndarray, products: np.ndarray, rows: int, epochs: int, lr: float
-) -> tuple[np.ndarray, float]:
-    """Parameters after ``epochs`` full-batch steps on ``rows`` windows, and the loss before the last of them.
-
-    ``products`` are the sums of products of all pairs of (x, 1, y). In the basis of the eigenvectors of the inputs'
-    part each weight moves by itself, so any number of epochs is one step. A loss that is rounding counts as 0.
-    """
-    wide = spec.look_back + 1
-    if not np.isfinite(products).all():
-        return np.full(len(params), np.nan), float("nan")
-    inputs, cross, targets = products[:wide, :wide], products[:wide, wide:], products[wide:, wide:].trace()
-    scale = 2 * lr / (rows * spec.outputs)
-    values, basis = np.linalg.eigh(inputs)
-    values = np.maximum(values, 0.0)
-    shrink = 1 - scale * values
-    pull = scale * cross.T @ basis
-    first = params.reshape(spec.outputs, -1) @ basis
-    flat = values * scale < 1e-12
-
-    def after(steps: int) -> np.ndarray:
-        power = shrink**steps
-        sums = np.where(flat, steps, (1 - power) / np.where(flat, 1.0, 1 - shrink))
-        return (first * power + pull * sums) @ basis.T
-
-    last = after(epochs - 1)
-    loss = float(np.sum((last @ inputs) * last) - 2 * np.sum(last * cross.T) + targets)
-    known = loss > ROUNDING * max(float(targets), float(np.sum((last @ inputs) * last)))
-    return after(epochs).ravel(), loss / (rows * spec.outputs) if known or np.isnan(loss) else 0.0
-
-
 def fit(spec: ModelSpec, params: np.ndarray, x: np.ndarray, y: np.ndarray, epochs: int, lr: float) -> tuple[np.ndarray, float]:
     """The same for any model, from its windows."""
     for _ in range(epochs):

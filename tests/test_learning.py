@@ -299,6 +299,25 @@ def test_promotion_with_equal_batches(spark, size):
         assert plain[b][0] is None or math.isclose(plain[b][0], quick[b][0])
 
 
+def test_fit_of_wide_windows(spark):
+    """Windows of 336 readings: one pass, any number of epochs, a row a model and task."""
+    rng = np.random.default_rng(8)
+    spec, n, lr = linear_model(336, outputs=2), 300, 0.001
+    x, y = rng.normal(size=(2 * n, 336)), rng.normal(size=(2 * n, 2))
+    frame = window_frame(spark, [(i % 2, 0, i, x[i].tolist(), y[i].tolist()) for i in range(2 * n)]).repartition(5)
+    start = rng.normal(size=2 * 337) * 0.1
+    params = spark.createDataFrame([(m, start.tolist(), 3 + 9 * m) for m in (0, 1, 2)], "model_id long, params array<double>, e int")
+    got = {r.model_id: r for r in learning.fit_epochs(frame, params, spec, "e", lr).collect()}
+    for m in (0, 1):
+        wide, target, weights = np.hstack([x[m::2], np.ones((n, 1))]), y[m::2], start.reshape(2, 337)
+        for _ in range(3 + 9 * m):
+            miss = wide @ weights.T - target
+            weights = weights - lr * 2 * miss.T @ wide / target.size
+        np.testing.assert_allclose(got[m].params, weights.ravel(), atol=1e-9)
+        np.testing.assert_allclose(got[m].loss, (miss * miss).mean())
+    assert got[2].params == start.tolist() and got[2].loss is None
+
+
 def budget_frames(spark, seed, n=60):
     rng = np.random.default_rng(seed)
     costs = [(m, float(10 ** rng.uniform(-4, -2)), float(10 ** rng.uniform(-2, 1.5))) for m in range(n)]
