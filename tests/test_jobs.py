@@ -226,8 +226,8 @@ def test_continual_job(spark, tmp_path):
 @pytest.mark.parametrize("adaptive", [False, True])
 def test_batches_of_a_size(spark, tmp_path, adaptive):
     """Steps on 11 windows: the same documents however the stream is cut, and after a repeated micro-batch."""
-    rows, frame = in_order(spark, 17, n=100)
-    spec, lr, capacity, size = linear_model(2), 0.05, 3, 25
+    rows, frame = in_order(spark, 19, n=100)
+    spec, lr, capacity, size = linear_model(2), 0.05, 3, 20
     members = {0: [0, 1, 2], 1: [2]}
     pairs = spark.createDataFrame([(m, s) for m, ss in members.items() for s in ss], "model_id long, stream_id int")
     seen, final = {}, {}
