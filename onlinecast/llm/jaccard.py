@@ -1,16 +1,17 @@
 """Jaccard self-join on word shingles by vertical partitioning.
 
 Documents with equal shingle sets form one class. The shingles are cut into fragments of about equal size;
-a fragment holds all occurrences of its shingles, so it counts in how many classes each occurs without a
-global table. A class of which more than a quarter of the shingles occur nowhere else has no partner and
-leaves. Shingles that very many classes have are known
-from a first pass and not counted there. What is left is put in one global order, rare ones first; two classes that link must share one of
-the first few (the prefix filter). What a pair shares is counted separately in each part of the order and
-summed per pair.
-
-Not all pairs of a large group are compared: a class is compared first with the one it shares most first shingles
-with among the smallest of each, then in a few turns with others, and at last with all that are still in
-another component, which leaves the components exact.
+a fragment holds all occurrences of its shingles, so it counts how often each occurs without a global table, and
+answers each block of classes in one row. A class of which more than a quarter of the shingles occur nowhere else
+has no partner and leaves. Shingles that very many classes have are known from a first pass and not counted
+there. What is left is put in one global order, rare ones first; two classes that link must share one of the first
+few (the prefix filter), and meet under the smallest class that has it.
+
+Classes that meet are compared in blocks: the global order of a block's shingles is cut into fragments of
+``COLUMNS``, the overlaps of all its pairs are counted in each fragment apart (a product of 0/1 matrices) and
+summed per pair. A block returns one edge per linked class, never pairs. First a class goes to one block only,
+where it shares most; then the shingles that still stand in several components bring all blocks of their classes
+together, which leaves the components exact.
 """
 
 from __future__ import annotations
@@ -19,18 +20,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, small_side, text_buffer, words_of
 from onlinecast.llm.components import components
+from onlinecast.plans.tables import is_scan
 
 WORDS = 5
 PERCENT = 75
 FRAGMENT_BYTES = 8 << 20
-PARTS = 4
 SEEN = 200_000
-TURNS = 6
+CUT_GRAMS = 1_500_000
+CUT_CLASSES = 60_000
+BLOCK = 256
+BLOCK_TOKENS = 1 << 20
+COLUMNS = 4096
+TURNS = 1
 OFTEN_LEAST = 16
 HOT_LEAST = 1_000
 
@@ -107,117 +114,219 @@ def hot_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def cut(docs: DataFrame, fragments: int, hot: np.ndarray, text: str = "text") -> DataFrame:
-    """Shingles by fragment: for a block of texts and a fragment, classes, their sizes and shingles, packed.
+    """Shingles by fragment: for a block of classes and a fragment, whose they are and the shingles, packed.
 
-    A task sends a class once, however many copies of it there are. Hot shingles need no counting: they go to
-    fragments of their own, dealt by class, so that none of them gathers anywhere.
+    A task sends a class once, however many copies of it there are; a copy in another task only makes shingles look
+    shared that are not, which keeps more. Hot shingles need no counting: they go to fragments from ``fragments`` on,
+    dealt by block, so that none of them gathers anywhere. Fragments below 0 hold names and sizes of a block's classes.
+    A block is named by its task and number, so ``docs`` must read the same rows in the same order if a task is repeated.
     """
     known = docs.sparkSession.sparkContext.broadcast(hot)
 
+    def packed(block: int, names: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(s) for s in sets], np.int64)
+        grams, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        fragment = (mix(grams ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(fragments)).astype(np.int64)
+        fragment[np.isin(grams, known.value)] = fragments + block % fragments
+        order = np.argsort(fragment, kind="stable")
+        fragment, grams, owner = fragment[order], grams[order], owner[order].astype("<u2")
+        found, begins = np.unique(fragment, return_index=True)
+        rows = [(-1 - block % fragments, sizes.astype("<i4").tobytes(), np.array(names, "<i8").tobytes())]
+        for f, begin, end in zip(found.tolist(), begins, np.append(begins[1:], len(grams)), strict=True):
+            short = grams[begin:end].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
+            rows.append((f, owner[begin:end].tobytes(), short.tobytes()))
+        number, owners, values = zip(*rows, strict=True)
+        columns = [pa.array(number, pa.int32()), pa.array([block] * len(rows), pa.int64())]
+        columns += [pa.array(owners, pa.binary()), pa.array(values, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["fragment", "block", "owners", "grams"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         seen: set[int] = set()
+        names: list[int] = []
+        sets: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            values = column(batch, text)
-            for first, last in row_blocks(text_buffer(values)[1]):
-                names, sets = [], []
-                for grams in shingle_sets(values.slice(first, last - first)):
-                    name = class_of(grams)
-                    if len(grams) and name not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(name)
-                        names.append(name)
-                        sets.append(grams)
-                if not sets:
+            for grams in shingle_sets(column(batch, text)):
+                name = class_of(grams)
+                if not len(grams) or name in seen:
                     continue
-                sizes = np.array([len(s) for s in sets], np.int64)
-                grams, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-                fragment = (mix(grams ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(fragments)).astype(np.int64)
-                name = np.array(names, np.int64)
-                fragment = np.where(np.isin(grams, known.value), fragments + name[owner] % fragments, fragment)
-                order = np.argsort(fragment, kind="stable")
-                fragment, grams, owner = fragment[order], grams[order], owner[order]
-                found, begins = np.unique(fragment, return_index=True)
-                rows = []
-                for begin, end in zip(begins, np.append(begins[1:], len(grams)), strict=True):
-                    own, counts = np.unique(owner[begin:end], return_counts=True)
-                    packed = grams[begin:end].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
-                    rows.append((name[own].tobytes(), sizes[own].astype("<i4").tobytes(), counts.astype("<i4").tobytes(), packed.tobytes()))
-                columns = [pa.array(found.astype(np.int32))] + [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["fragment", "classes", "sizes", "counts", "grams"])
-
-    schema = "fragment int, classes binary, sizes binary, counts binary, grams binary"
-    return docs.select(text).mapInArrow(run, schema)
-
-
-def shared(packed: DataFrame, fragments: int) -> DataFrame:
-    """Shingles of each class and fragment that other classes have too, as tokens of the global order.
-
-    A token is the logarithm of the number of classes with it, the fragment and a rank, from high bits to low; hot
-    shingles come last, by their hash.
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(name)
+                names.append(name)
+                sets.append(grams)
+                held += len(grams)
+                if held >= CUT_GRAMS or len(names) >= CUT_CLASSES:
+                    yield packed(block, names, sets)
+                    block, names, sets, held = block + 1, [], [], 0
+        if sets:
+            yield packed(block, names, sets)
+
+    return docs.select(text).mapInArrow(run, "fragment int, block long, owners binary, grams binary")
+
+
+def shared(packed: DataFrame, fragments: int, percent: int) -> DataFrame:
+    """``class``, ``size`` and ``tokens`` of the classes of which ``percent`` of the shingles occur elsewhere, too.
+
+    A token stands for such a shingle in the global order. It is the logarithm of the number of times it occurs, the
+    fragment and a rank, from high bits to low; hot shingles come last, by their hash. A fragment answers each block in
+    one row.
     """
 
     def rank(table: pa.Table) -> pa.Table:
         fragment = table.column("fragment")[0].as_py()
-        joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-        name, size, counts = joined("classes", "<i8"), joined("sizes", "<i4"), joined("counts", "<i4")
-        raw = joined("grams", np.uint8).reshape(-1, GRAM_BYTES)
+        schema = pa.schema([("block", pa.int64()), ("named", pa.bool_()), ("owners", pa.binary()), ("tokens", pa.binary())])
+        blocks, owners, grams = (table.column(c).to_pylist() for c in ("block", "owners", "grams"))
+        if fragment < 0:
+            return pa.table([blocks, [True] * len(blocks), owners, grams], schema=schema)
+        raw = np.frombuffer(b"".join(grams), np.uint8).reshape(-1, GRAM_BYTES)
         gram = np.zeros((len(raw), 8), np.uint8)
         gram[:, :GRAM_BYTES] = raw
         gram = gram.view("<u8").ravel()
-        names, first, where = np.unique(name, return_index=True, return_inverse=True)
-        once = first[where] == np.arange(len(name))  # a class that several tasks sent counts once
-        owner = np.repeat(where, counts)[np.repeat(once, counts)]
-        gram = gram[np.repeat(once, counts)]
         if fragment >= fragments:
-            out = np.int64(255 << 55) | gram.astype(np.int64)
+            several, tokens = np.ones(len(gram), bool), np.int64(255 << 55) | gram.astype(np.int64)
         else:
-            _, token, times = np.unique(gram, return_inverse=True, return_counts=True)
-            order = np.lexsort((np.arange(len(times)), times))
+            _, place, times = np.unique(gram, return_inverse=True, return_counts=True)
             ranked = np.empty(len(times), np.int64)
-            ranked[order] = np.arange(len(times)) - (times == 1).sum()
+            ranked[np.argsort(times, kind="stable")] = np.arange(len(times)) - (times == 1).sum()
             level = np.ceil(4 * np.log2(times)).astype(np.int64)
-            tokens = (level << 55) | np.int64(fragment << 31) | ranked
-            several = times[token] > 1
-            owner, out = owner[several], tokens[token[several]]
-        order = np.lexsort((out, owner))
-        owner, out = owner[order], out[order]
+            several = times[place] > 1
+            tokens = ((level << 55) | np.int64(fragment << 31) | ranked)[place]
+        out, end = [], 0
+        for block, whose, mine in zip(blocks, owners, grams, strict=True):
+            begin, end = end, end + len(mine) // GRAM_BYTES
+            some = several[begin:end]
+            if some.any():
+                out.append((block, False, np.frombuffer(whose, "<u2")[some].tobytes(), tokens[begin:end][some].tobytes()))
+        return pa.table(list(map(list, zip(*out, strict=True))) if out else [[], [], [], []], schema=schema)
+
+    def gather(table: pa.Table) -> pa.Table:
+        named = table.column("named").to_numpy()
+        owners, tokens = table.column("owners").to_pylist(), table.column("tokens").to_pylist()
+        first = int(np.flatnonzero(named)[0])
+        size, names = np.frombuffer(owners[first], "<i4"), np.frombuffer(tokens[first], "<i8")
+        owner = np.frombuffer(b"".join(o for k, o in enumerate(owners) if k != first), "<u2")
+        token = np.frombuffer(b"".join(t for k, t in enumerate(tokens) if k != first), "<i8")
+        enough = np.bincount(owner, minlength=len(names)) * 100 >= size.astype(np.int64) * percent
+        owner, token = owner[enough[owner]], token[enough[owner]]
+        order = np.lexsort((token, owner))
+        owner, token = owner[order], token[order]
         own, begins = np.unique(owner, return_index=True)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(out)).astype(np.int32)), pa.array(out))
-        return pa.table({"class": pa.array(names[own]), "size": pa.array(size[first][own]), "tokens": lists})
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(token)).astype(np.int32)), pa.array(token))
+        return pa.table({"class": pa.array(names[own]), "size": pa.array(size[own]), "tokens": lists})
 
-    return packed.groupBy("fragment").applyInArrow(rank, "class long, size int, tokens array<long>")
+    ranked = packed.groupBy("fragment").applyInArrow(rank, "block long, named boolean, owners binary, tokens binary")
+    whole = ranked.groupBy("block").applyInArrow(gather, "class long, size int, tokens array<long>")
+    return whole.groupBy("class").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"))
 
 
 def prefixes(kept: DataFrame, percent: int) -> DataFrame:
-    """First tokens of each class with their places, one row each: what any partner must share one of."""
+    """First tokens of each class, one row each: what any partner must share one of."""
     rare = F.col("size") - F.size("tokens")
     length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1 - rare
-    first = F.posexplode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("at", "token")
-    return kept.select("class", "size", rare.alias("rare"), first).withColumn("at", F.col("at") + F.col("rare"))
-
-
-def possible(percent: int) -> Column:
-    """Whether u and v can share enough if the token at these places is the first they share: no more than what follows."""
-    after = F.least(F.col("u.size") - F.col("u.at"), F.col("v.size") - F.col("v.at"))
-    return after * (100 + percent) >= (F.col("u.size") + F.col("v.size")) * percent
-
+    first = F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token")
+    return kept.select("class", "size", F.size("tokens").alias("n_tokens"), first)
+
+
+def overlaps(owner: np.ndarray, token: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Shared tokens of each row of ``left`` with each of ``right``: counted per fragment of the order and summed."""
+    n = max(left.max(), right.max()) + 1
+    row = np.full((2, n), -1)
+    row[0, left], row[1, right] = np.arange(len(left)), np.arange(len(right))
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    at = np.cumsum(np.concatenate([[0], np.diff(token) != 0]))
+    alone = np.bincount(at)[at] < 2
+    owner, at = owner[~alone], at[~alone]
+    _, at = np.unique(at, return_inverse=True)
+    total = np.zeros((len(left), len(right)), np.int64)
+    width = int(at[-1]) + 1 if len(at) else 0
+    for begin in range(0, width, COLUMNS):
+        lo, hi = np.searchsorted(at, [begin, begin + COLUMNS])
+        sides = []
+        for side, rows in ((0, left), (1, right)):
+            here = row[side, owner[lo:hi]]
+            matrix = np.zeros((len(rows), min(COLUMNS, width - begin)), np.float32)
+            matrix[here[here >= 0], at[lo:hi][here >= 0] - begin] = 1
+            sides.append(matrix)
+        total += (sides[0] @ sides[1].T).astype(np.int64)
+    return total
+
+
+def compared(members: DataFrame, kept: DataFrame, found: DataFrame | None, percent: int) -> DataFrame:
+    """An edge (u, v) for each class that links with another component's within a block; u and v are components' classes.
+
+    ``members`` has lead, low, high, own and class: the rows of a block pair, those of block low against those of high.
+    """
 
-def verified(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (u, v), those whose sets are similar enough; overlaps are counted per part and summed."""
-    cuts = F.array(*[_part_of(k) for k in range(PARTS)])
-    sides = kept.select("class", "size", cuts.alias("parts"))
-    left = sides.select(F.col("class").alias("u"), F.col("size").alias("nu"), F.col("parts").alias("pu"))
-    right = sides.select(F.col("class").alias("v"), F.col("size").alias("nv"), F.col("parts").alias("pv"))
-    both = pairs.join(left, "u").join(right, "v")
-    partial = F.zip_with("pu", "pv", lambda a, b: F.size(F.array_intersect(a, b)))
-    both = both.withColumn("overlap", F.aggregate(partial, F.lit(0), lambda a, n: a + n))
-    return both.where(F.col("overlap") * 100 >= percent * (F.col("nu") + F.col("nv") - F.col("overlap"))).select("u", "v")
+    def compare(table: pa.Table) -> pa.Table:
+        names, component = table.column("class").to_numpy(), table.column("component").to_numpy()
+        size, own = table.column("size").to_numpy().astype(np.int64), table.column("own").to_numpy()
+        lists = table.column("tokens").combine_chunks()
+        token = lists.flatten().to_numpy()
+        owner = np.repeat(np.arange(len(names)), lists.value_lengths().to_numpy())
+        left, right = (np.flatnonzero(own == table.column(c)[0].as_py()) for c in ("low", "high"))
+        edges = (names[:0], names[:0])
+        if len(left) and len(right) and component.min() < component.max():
+            both = overlaps(owner, token, left, right)
+            near = both * 100 >= percent * (size[left][:, None] + size[right][None, :] - both)
+            i, j = np.nonzero(near & (component[left][:, None] != component[right][None, :]))
+            a, b = component[left[i]], component[right[j]]
+            nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+            a, b = ends[: len(a)], ends[len(a) :]
+            least = np.arange(len(nodes))
+            while True:
+                before = least.copy()
+                np.minimum.at(least, a, before[b])
+                np.minimum.at(least, b, before[a])
+                least = least[least]
+                if (least == before).all():
+                    break
+            moved = least != np.arange(len(nodes))
+            edges = nodes[moved], nodes[least[moved]]
+        return pa.table({"u": pa.array(edges[0], pa.int64()), "v": pa.array(edges[1], pa.int64())})
+
+    rows = members.join(kept, "class")
+    if found is not None:
+        rows = rows.join(found.withColumnRenamed("node", "class"), "class", "left")
+    component = F.col("class") if found is None else F.coalesce("component", "class")
+    rows = rows.withColumn("component", component)
+    return rows.groupBy("lead", "low", "high").applyInArrow(compare, "u long, v long")
+
+
+def with_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (lead, class, n_tokens) with the number of blocks of their lead, and their own."""
+    many = F.greatest(F.count("*") / BLOCK, F.sum("n_tokens") / BLOCK_TOKENS)
+    sizes = members.groupBy("lead").agg(F.ceil(many).cast("int").alias("blocks"))
+    return members.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("class", F.lit(3)), F.col("blocks")).cast("int"))
+
+
+def one_block_each(met: DataFrame) -> DataFrame:
+    """Each class in a block of the lead with which it shares most of its tokens; the lead is in all its blocks."""
+    shares = met.where("lead <> class").groupBy("class", "n_tokens", "lead").agg(F.count("*").alias("n"))
+    best = shares.groupBy("class", "n_tokens").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
+    dealt = with_blocks(best)
+    leads = dealt.select("lead", "own").distinct().select("lead", F.col("lead").alias("class"), "own")
+    rows = dealt.select("lead", "class", "own").union(leads)
+    return rows.select("lead", "class", "own", F.col("own").alias("low"), F.col("own").alias("high"))
+
+
+def all_blocks(met: DataFrame) -> DataFrame:
+    """Each class under all its leads, in all pairs of its block with another."""
+    dealt = with_blocks(met.select("lead", "class", "n_tokens").distinct())
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        "lead", "class", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    )
 
 
-def _part_of(k: int) -> Column:
-    """Tokens of the fragments that form part ``k`` of the order."""
-    return F.filter("tokens", lambda t: F.pmod(F.shiftright(t, 31), F.lit(PARTS)) == k)
+def contracted(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after ``edges`` between components, or classes that had none."""
+    more = components(edges).select("node", F.col("component").alias("to"))
+    moved = found.join(more.select(F.col("node").alias("component"), "to"), "component", "left")
+    moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+    return moved.union(more.join(found, "node", "left_anti").select("node", F.col("to").alias("component")))
 
 
 def class_links(
@@ -226,58 +335,26 @@ def class_links(
     """``node`` and ``component`` of every class that is similar to another; ``rows`` are the classes of ``docs``."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     fragments = max(8, -(-size // FRAGMENT_BYTES))
-    packed = cut(docs, fragments, hot_shingles(rows), text)
-    whole = shared(packed, fragments).groupBy("class").agg(
-        F.max("size").alias("size"), F.array_sort(F.flatten(F.collect_list("tokens"))).alias("tokens")
-    )
-    kept = scratch.write(whole.where(F.size("tokens") * 100 >= F.col("size") * percent), "kept")
-    prefix = scratch.write(prefixes(kept, percent), "prefix")
-    # every class of a token with the smallest one
-    least = prefix.groupBy("token").agg(F.min(F.struct("size", "class", "rare", "at")).alias("least"), F.count("*").alias("n"))
-    least = scratch.write(least.where("n > 1").select("token", "least.*"), "least")
-    met = least.alias("u").join(prefix.alias("v"), "token").where((F.col("u.class") != F.col("v.class")) & possible(percent))
-    stars = met.groupBy(F.col("u.class").alias("u"), F.col("v.class").alias("v")).agg(F.count("*").alias("n"))
-    stars = scratch.write(stars, "stars")
-    best = stars.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v")
-    links = scratch.write(verified(best, kept, percent), "links0")
+    kept = scratch.write(shared(cut(docs, fragments, hot_shingles(rows), text), fragments, percent), "kept")
+    prefix = prefixes(kept, percent)
+    least = prefix.groupBy("token").agg(F.min(F.struct("size", "class")).alias("lead"), F.count("*").alias("n"))
+    least = least.where("n > 1").select("token", F.col("lead.class").alias("lead"))
+    prefix = scratch.write(prefix.join(least, "token"), "prefix")
+    links = scratch.write(compared(one_block_each(prefix), kept, None, percent), "links0")
     found = scratch.write(components(links), "components0")
 
-    def grown(more: DataFrame, name: str) -> DataFrame:
-        if more.isEmpty():
-            return found
-        contracted = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        return scratch.write(components(contracted.union(more)), name)
-
-    def still_apart() -> DataFrame:
-        """Prefix rows, with components, of the tokens that stand in several components."""
-        placed = prefix.join(found.withColumnRenamed("node", "class"), "class", "left")
+    for turn in range(1, TURNS + 2):
+        # tokens that still stand in several components
+        placed = prefix.drop("lead").join(found.withColumnRenamed("node", "class"), "class", "left")
         placed = placed.withColumn("component", F.coalesce("component", "class"))
-        mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        return placed.join(scratch.write(mixed.select("token"), f"tokens{turn}"), "token")
-
-    # in further turns with another class of each token, as long as that joins components
-    for turn in range(1, TURNS + 1):
-        placed = scratch.write(still_apart(), f"mixed{turn}")
-        chosen = F.min_by(F.struct("size", "class", "rare", "at", "component"), F.xxhash64("class", F.lit(turn)))
-        lead = scratch.write(placed.groupBy("token").agg(chosen.alias("lead")).select("token", "lead.*"), f"lead{turn}")
-        met = lead.alias("u").join(placed.alias("v"), "token")
-        met = met.where((F.col("u.component") != F.col("v.component")) & possible(percent))
-        pairs = met.groupBy(F.col("u.class").alias("u"), F.col("v.class").alias("v")).agg(F.count("*").alias("n"))
-        pairs = pairs.groupBy("v").agg(F.max_by("u", F.struct("n", "u")).alias("u")).select("u", "v")
-        more = scratch.write(verified(pairs, kept, percent), f"links{turn}")
-        if more.isEmpty():
-            break
-        found = grown(more, f"components{turn}")
-
-    # what of a token is still in several components, each pair once
-    turn = TURNS + 1
-    placed = scratch.write(still_apart(), f"mixed{turn}")
-    met = placed.alias("u").join(placed.alias("v"), "token")
-    met = met.where((F.col("u.component") < F.col("v.component")) & possible(percent))
-    rest = met.select(F.col("u.class").alias("u"), F.col("v.class").alias("v")).distinct()
-    rest = scratch.write(rest, "rest")
-    found = grown(scratch.write(verified(rest, kept, percent), f"links{turn}"), f"components{turn}")
-    scratch.drop("kept", "prefix", "least", "stars", "rest", *(f"mixed{k}" for k in range(1, turn + 1)))
+        chosen = F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead")
+        mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), chosen)
+        met = scratch.write(prefix.drop("lead").join(mixed.where("lo < hi").select("token", "lead"), "token"), f"met{turn}")
+        members = one_block_each(met) if turn <= TURNS else all_blocks(met)
+        links = scratch.write(compared(members, kept, found, percent), f"links{turn}")
+        if not links.isEmpty():
+            found = scratch.write(contracted(found, links), f"components{turn}")
+    scratch.drop("kept", "prefix", *(f"met{k}" for k in range(1, TURNS + 2)), *(f"links{k}" for k in range(TURNS + 2)))
     return found
 
 
@@ -292,6 +369,8 @@ def linked(
     as often as it stands there, and an empty table gives an empty one. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
+    docs = docs.select(key, text)
+    docs = docs if is_scan(docs) else scratch.write(docs, "docs")
     rows = scratch.write(classes(docs, key, text), "classes")
     found = class_links(docs, rows, scratch, text, percent)
     least = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min(key).alias("least"))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from onlinecast.llm import components as comp
@@ -78,6 +79,31 @@ def test_hot_shingles_change_nothing(spark, monkeypatch):
     assert len(seen[0]) > 5
 
 
+def test_overlaps_sum_over_fragments(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 3)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 30, rng.integers(0, 25))) for _ in range(12)]
+    owner = np.repeat(np.arange(12), [len(s) for s in sets])
+    left, right = np.arange(0, 7), np.arange(7, 12)
+    for a, b in ((left, right), (np.arange(12), np.arange(12))):
+        got = jaccard.overlaps(owner, np.concatenate(sets), a, b)
+        assert got.tolist() == [[len(np.intersect1d(sets[i], sets[j])) for j in b] for i in a]
+
+
+def test_groups_of_many_blocks(spark, monkeypatch):
+    """One passage in many unlike texts, and a group of near copies: blocks smaller than both."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 200)
+    rng = random.Random(7)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [(k, " ".join(passage + [f"u{k}v{j}" for j in range(rng.choice([2, 6, 12]))])) for k in range(30)]
+    for k in range(30, 55):
+        words = passage[:]
+        words[rng.randrange(30)] = f"y{k % 9}"
+        rows.append((k, " ".join(words)))
+    check(spark, rows)
+
+
 def test_threshold_is_exact(spark):
     # 3 of 4 shingles of the union shared, and one less
     a = "a b c d e f g h"
