@@ -230,7 +230,7 @@ def prefixes(kept: DataFrame, percent: int) -> DataFrame:
 
 
 def overlaps(owner: np.ndarray, token: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Shared tokens of each row of ``left`` with each of ``right``: counted per fragment of the order and summed."""
+    """Shared tokens of each row of ``left`` with each other of ``right``: counted per fragment of the order and summed."""
     n = max(left.max(), right.max()) + 1
     row = np.full((2, n), -1)
     row[0, left], row[1, right] = np.arange(len(left)), np.arange(len(right))
