@@ -29,6 +29,9 @@ BAND = 8
 FILTER_BITS = 24
 ITEM_BYTES = 4 << 20
 PIECE = 1 << 20
+MATCHES = 1 << 21
+SLICE = 1024
+SLICES = 4096
 
 # ASCII letters in lower case and digits stay, other ASCII is a space; bytes of other characters stay
 PLAIN = np.full(256, 32, np.uint8)
@@ -98,15 +101,34 @@ class Passages:
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.names >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
 
-    def shared(self, text: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, its place and the place in ``text`` of every shared q-gram."""
+    def meetings(self, text: np.ndarray, roller: Roller) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``text`` of the q-grams that the items have, and the range of equal ones in the index."""
         names = roller.grams(roller.prefix(text), self.q)
         at = np.flatnonzero(self.filter[(names >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         lo = np.searchsorted(self.names, names[at], "left")
-        n = np.searchsorted(self.names, names[at], "right") - lo
+        return at, lo, np.searchsorted(self.names, names[at], "right")
+
+    def shared(self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Item, its place and the place in the text of every shared q-gram."""
+        n = hi - lo
         which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         return self.item[which], self.places[which], np.repeat(at, n)
 
+    def shared_in_parts(
+        self, at: np.ndarray, lo: np.ndarray, hi: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``shared`` in parts of at most about ``MATCHES`` rows; every window of an item has all its rows in one of them."""
+        if int((hi - lo).sum()) <= MATCHES:
+            yield self.shared(at, lo, hi)
+            return
+        widest = int(self.window.max())
+        size = max(widest, MATCHES // max(1, len(at)) - widest)
+        for begin in range(0, len(self.text), size):
+            # equal q-grams stand in the index by their place
+            ends = [np.array([i + np.searchsorted(self.places[i:j], edge) for i, j in zip(lo.tolist(), hi.tolist(), strict=True)])
+                    for edge in (begin, begin + size + widest)]
+            yield self.shared(at, *ends)
+
     def candidates(self, item: np.ndarray, place: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, window start and first diagonal of the band of all windows that share enough q-grams in a band."""
         diagonal = at - place
@@ -164,21 +186,66 @@ class Passages:
         self, text: np.ndarray, place: np.ndarray, offsets: np.ndarray, roller: Roller
     ) -> list[tuple[int, int, int, int, int]]:
         """``hits`` in a text that is plain already."""
-        item, start, first = self.candidates(*self.shared(text, roller))
-        if not len(item):
-            return []
+        met = self.meetings(text, roller)
+        if int((met[2] - met[1]).sum()) <= MATCHES:
+            spans = [self.spans(text, self.candidates(*self.shared(*met)))]
+        else:
+            spans = self.spans_of_slices(text, roller)
         out = []
-        for i in range(0, len(item), 20_000):
-            part = slice(i, i + 20_000)
-            edits, lo, hi = self.aligned(text, item[part], start[part], first[part])
-            for k, e, a, b in zip(item[part], edits, lo, hi, strict=True):
+        for hits in spans:
+            for k, e, a, b in zip(*hits, strict=True):
                 inside = place[max(a, 0) : b]
                 inside = inside[inside >= 0]
-                if e <= self.edits[k] and len(inside):
+                if len(inside):
                     row = int(np.searchsorted(offsets, inside[0], "right")) - 1
                     out.append((row, int(k), int(inside[0]), int(inside[-1]) + 1, int(e)))
         return out
 
+    def spans(self, text: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+        """Item, edits, start and end in ``text`` of the candidates that are windows within their edits."""
+        parts = [tuple(np.zeros(0, np.int64) for _ in range(4))]
+        for i in range(0, len(found[0]), 20_000):
+            item, start, first = (c[i : i + 20_000] for c in found)
+            edits, lo, hi = self.aligned(text, item, start, first)
+            near = edits <= self.edits[item]
+            parts.append((item[near], edits[near], lo[near], hi[near]))
+        return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+    def spans_of_slices(self, text: np.ndarray, roller: Roller) -> Iterator[tuple[np.ndarray, ...]]:
+        """``spans`` of a text with very many shared q-grams, slice by slice.
+
+        Slices overlap by more than a window and its band, so that each window lies in one; they begin at multiples
+        of ``BAND``, so that equal slices have equal bands and are searched once. Spans of an item that overlap are one.
+        """
+        overlap = int(self.window.max()) + 2 * (BAND + self.widest + 1)
+        step = -(-SLICE // BAND) * BAND
+        known: dict[bytes, tuple[np.ndarray, ...]] = {}
+        for begin in range(0, len(text), step):
+            part = text[begin : begin + step + overlap]
+            name = part.tobytes()
+            if name not in known:
+                if len(known) >= SLICES:
+                    known.clear()
+                rows = self.shared_in_parts(*self.meetings(part, roller))
+                spans = [self.spans(part, self.candidates(*row)) for row in rows]
+                spans = tuple(np.concatenate(c) for c in zip(*spans, strict=True))
+                # between rows there are zeros, which a span may reach into
+                known[name] = spans if (part == 0).any() else joined(*spans)
+            item, edits, lo, hi = known[name]
+            yield item, edits, lo + begin, hi + begin
+
+
+def joined(item: np.ndarray, edits: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of an item that overlap as one, with the fewest edits."""
+    order = np.lexsort((hi, lo, item))
+    item, edits, lo, hi = item[order], edits[order], lo[order], hi[order]
+    shift = item * (int(hi.max(initial=0)) + int(-lo.min(initial=0)) + 1)
+    reach = np.maximum.accumulate(hi + shift) if len(hi) else hi
+    new = np.flatnonzero(np.concatenate([[True], (lo + shift)[1:] >= reach[:-1]])[: len(item)])
+    if not len(new):
+        return item, edits, lo, hi
+    return item[new], np.minimum.reduceat(edits, new), lo[new], np.maximum.reduceat(hi, new)
+
 
 def merged(found: list[tuple[int, int, int, int]]) -> list[dict]:
     """Overlapping hits (item, start, end, edits) of an item as one, with the fewest edits of its windows."""

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -138,3 +139,33 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns and left.count() == docs.count() - 2
     assert dec.without_contaminated(docs, none_of(items)).count() == docs.count()
     assert dec.contamination(none_of(docs), items).count() == 0
+
+
+def test_slices_find_what_whole_texts_do(monkeypatch):
+    rng = random.Random(11)
+    items = [words(rng, 60), "ab " * 90, "z" * 300, words(rng, 25)]
+    texts = [words(rng, 200), words(rng, 150) + " " + changed(rng, items[0], 3) + " " + words(rng, 150)]
+    texts += ["ab " * 700 + changed(rng, items[3], 1), "z" * 2500 + " " + items[0][:120] + "z" * 90, ""]
+    values = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(values), np.uint8)
+    offsets = np.cumsum([0, *map(len, values)])
+    index, found = dec.Passages(items), []
+    for matches in (1 << 21, 60_000, 1):
+        monkeypatch.setattr(dec, "MATCHES", matches)
+        rows = {}
+        for row, *hit in index.hits(data, offsets, Roller()):
+            rows.setdefault(row, []).append(tuple(hit))
+        found.append({row: dec.merged(hits) for row, hits in rows.items()})
+    assert {(row, h["item"]) for row, hits in found[0].items() for h in hits} >= {(1, 0), (2, 1), (2, 3), (3, 2), (3, 0)}
+    assert found[0] == found[1] == found[2]
+
+
+def test_texts_of_one_letter_stay_small():
+    data = np.full(1_000_000, ord("a"), np.uint8)
+    index = dec.Passages(["a" * 5_000])
+    tracemalloc.start()
+    hits = dec.merged([h[1:] for h in index.hits(data, np.array([0, len(data)]), Roller())])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [{"item": 0, "start": 0, "end": 1_000_000, "edits": 0}]
+    assert peak < 1 << 30
