@@ -24,7 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, small_side, text_buffer, words_of
+from onlinecast.llm.common import (
+    Roller, Scratch, append, column, frugal, give_back, mix, row_blocks, small_side, text_buffer, words_of,
+)
 from onlinecast.llm.components import components
 from onlinecast.plans.tables import is_scan
 
@@ -163,7 +165,7 @@ def cut(docs: DataFrame, fragments: int, hot: np.ndarray, text: str = "text") ->
         if sets:
             yield packed(block, names, sets)
 
-    return docs.select(text).mapInArrow(run, "fragment int, block long, owners binary, grams binary")
+    return docs.select(text).mapInArrow(frugal(run), "fragment int, block long, owners binary, grams binary")
 
 
 def shared(packed: DataFrame, fragments: int, percent: int) -> DataFrame:
@@ -175,6 +177,7 @@ def shared(packed: DataFrame, fragments: int, percent: int) -> DataFrame:
     """
 
     def rank(table: pa.Table) -> pa.Table:
+        give_back()
         fragment = table.column("fragment")[0].as_py()
         schema = pa.schema([("block", pa.int64()), ("named", pa.bool_()), ("owners", pa.binary()), ("tokens", pa.binary())])
         blocks, owners, grams = (table.column(c).to_pylist() for c in ("block", "owners", "grams"))
@@ -202,6 +205,7 @@ def shared(packed: DataFrame, fragments: int, percent: int) -> DataFrame:
         return pa.table(list(map(list, zip(*out, strict=True))) if out else [[], [], [], []], schema=schema)
 
     def gather(table: pa.Table) -> pa.Table:
+        give_back()
         named = table.column("named").to_numpy()
         owners, tokens = table.column("owners").to_pylist(), table.column("tokens").to_pylist()
         first = int(np.flatnonzero(named)[0])

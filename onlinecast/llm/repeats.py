@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.llm.common import Roller, Scratch, append, column, mix, row_blocks, text_buffer
+from onlinecast.llm.common import Roller, Scratch, append, column, frugal, mix, row_blocks, text_buffer
 
 LENGTH = 200
 LEVELS = (7, 4, 0)
@@ -111,7 +111,7 @@ def roots(docs: DataFrame, length: int) -> DataFrame:
                     ["core", "hull", "tid", "anchor", "first", "n"],
                 )
 
-    return docs.select("tid", "text").mapInArrow(run, NODE)
+    return docs.select("tid", "text").mapInArrow(frugal(run), NODE)
 
 
 def split_runs(
@@ -132,15 +132,22 @@ def split_runs(
 
 
 def parts(docs: DataFrame, wanted: DataFrame, level: int, length: int) -> DataFrame:
-    """Runs of the next level: the undecided ones (``tid, runs``) cut into shorter ones."""
+    """Runs of the next level: the undecided ones (``tid, runs``) cut into shorter ones.
+
+    One copy of a text is enough, as what its copies repeat has been found before; those that follow each other
+    are passed over.
+    """
     q = gram_bytes(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller()
+        roller, previous = Roller(), None
         for batch in batches:
             data, offsets = text_buffer(column(batch, "text"))
             runs = column(batch, "runs")
             for row, tid in enumerate(column(batch, "tid").to_pylist()):
+                if tid == previous:
+                    continue
+                previous = tid
                 flat = runs[row].values
                 anchor, first, n = (flat.field(c).to_numpy().astype(np.int64) for c in ("anchor", "first", "n"))
                 order = np.argsort(first, kind="stable")
@@ -167,7 +174,7 @@ def parts(docs: DataFrame, wanted: DataFrame, level: int, length: int) -> DataFr
 
     packed = wanted.groupBy("tid").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs"))
     texts = docs.select("tid", "text").join(packed, "tid")
-    return texts.select("tid", "text", "runs").mapInArrow(run, NODE)
+    return texts.select("tid", "text", "runs").mapInArrow(frugal(run), NODE)
 
 
 def decided(runs: DataFrame, scratch: Scratch, level: int) -> tuple[DataFrame, DataFrame]:

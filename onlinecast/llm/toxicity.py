@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onlinecast.llm.common import Roller, append, column, remainder_of, row_blocks, text_buffer, words_of
+from onlinecast.llm.common import Roller, append, column, frugal, remainder_of, row_blocks, text_buffer, words_of
 
 BITS = 18
 RANK = 4
@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
         yield pa.RecordBatch.from_pydict({"model": pa.array([model.packed()], pa.binary())})
 
     rows = append(labelled_sample(docs, labels, sample), "terms binary", sets, ["doc_id", "__toxic", "__weight"], "__text")
-    return rows.repartition(1).mapInArrow(train, "model binary").first()[0]
+    return rows.repartition(1).mapInArrow(frugal(train), "model binary").first()[0]
 
 
 def score(docs: DataFrame, model: bytes, text: str = "text", name: str = "score") -> DataFrame:

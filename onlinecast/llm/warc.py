@@ -1,7 +1,7 @@
 """Sharded WARC archives, the same files for the same rows wherever and however often they are written.
 
-Rows are dealt to shards by ranges of their key that hold about equal bytes, and each shard is sorted and written
-by one task, so a file depends on the rows alone. Records are gzip members; a file is closed when its compressed
+Rows are dealt to shards by ranges of (key, digest) that hold about equal bytes, and each shard is sorted and written
+by a task of its own, so a file depends on the rows alone. Records are gzip members; a file is closed when its compressed
 size reaches a limit. Headers, record ids and digests are made anew from key, address and payload. A task
 writes under a temporary name and reports what it wrote; only files in the reports of tasks that succeeded
 are renamed, and the manifest, written last, lists them. Readers open what the manifest lists.
@@ -29,7 +29,11 @@ from onlinecast.plans.tables import new_path
 
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 64 << 20
-BUCKETS = 1024
+LEAST_SHARD_BYTES = 4 << 20
+SHARDS = 64
+MAX_SHARDS = 65_536
+STEP_BITS = 8
+DIGITS = (0, 2, 4, 6, 40)
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -43,36 +47,66 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
-def bucket(lo, hi):
-    """Equal-width bucket of the key between two bounds; a null key comes first."""
-    width = F.width_bucket(F.col("key").cast("double"), lo.cast("double"), hi.cast("double") + 1, F.lit(BUCKETS))
-    return F.coalesce(F.when(lo < hi, width), F.lit(0)).cast("int")
+def cell_levels(lo: int, hi: int) -> list[tuple[int, int]]:
+    """Ever finer cells of (key, digest): how many low bits of the key do not count, and how many hex digits of the digest do."""
+    varying = 64 if (lo < 0) != (hi < 0) else (lo ^ hi).bit_length()
+    return [*((bits, 0) for bits in range(max(0, varying - STEP_BITS), 0, -STEP_BITS)), *((0, digits) for digits in DIGITS)]
 
 
-def shards_of(slim: DataFrame, scratch: Scratch, shard_bytes: int) -> tuple[Callable[[DataFrame], DataFrame], int]:
-    """From ``slim`` (key, n_bytes): what adds the ``shard`` to rows with a key, and the number of shards.
+def in_cell(df: DataFrame, levels: list[tuple[int, int]]) -> DataFrame:
+    """``df`` with the cell of its ``level``: whether it has a key, the leading bits of the key and digits of the digest."""
+    bits, digits = (F.element_at(F.array(*map(F.lit, values)), F.col("level") + 1) for values in zip(*levels, strict=True))
+    df = df.withColumns({"bits": bits, "digits": digits})
+    return df.withColumns({
+        "keyed": F.col("key").isNotNull(),
+        "least": F.coalesce(F.expr("shiftleft(shiftright(key, bits), bits)"), F.lit(0)),
+        "lead": F.substring(F.hex("digest"), F.lit(1), F.col("digits")),
+    }).drop("bits", "digits")
 
-    Buckets of keys have equal widths; those with more than a shard's bytes are cut once more. There are at
-    most ``BUCKETS`` squared of them, however large the table.
-    """
-    bounds = slim.agg(F.min("key").alias("lo"), F.max("key").alias("hi")).first()
-    lo, hi = (F.lit(b if b is not None else 0).cast("long") for b in bounds)
-    sums = slim.groupBy(bucket(lo, hi).alias("b1")).agg(
-        F.sum("n_bytes").alias("bytes"), F.min("key").alias("lo"), F.max("key").alias("hi")
-    )
-    wide = scratch.write(sums.where(F.col("bytes") > shard_bytes).drop("bytes"), "wide")
 
-    def cut(df: DataFrame) -> DataFrame:
-        coarse = df.withColumn("b1", bucket(lo, hi)).join(F.broadcast(wide), "b1", "left")  # at most BUCKETS rows
-        return coarse.withColumn("b2", bucket(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+def shards_of(slim: DataFrame, scratch: Scratch, shard_bytes: int | None) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """From ``slim`` (key, digest, n_bytes): what adds the ``shard`` to rows with key and digest, and the number of shards.
 
-    filled = cut(slim).groupBy("b1", "b2").agg(F.sum("n_bytes").alias("bytes"))
-    before = Window.orderBy("b1", "b2").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    Cells of the keys, and of the digests of one key, are cut into smaller ones until none has more than a shard's bytes;
+    rows equal in both stay together. At most as many cells as there are shards are cut at each level, so what
+    is broadcast is bounded by ``MAX_SHARDS`` rows, however keys are spread. Without ``shard_bytes`` its size follows from that of
+    the table.
+    """
+    found = slim.agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.sum("n_bytes").alias("bytes")).first()
+    total = found["bytes"] or 0
+    if shard_bytes is None:
+        shard_bytes = min(SHARD_BYTES, max(LEAST_SHARD_BYTES, total // SHARDS))
+    shard_bytes = max(shard_bytes, total // MAX_SHARDS + 1)
+    levels = cell_levels(found["lo"] or 0, found["hi"] or 0)
+    cell = ["keyed", "least", "lead"]
+
+    cut: list[DataFrame] = []
+    rest = slim
+    for level in range(len(levels) - 1):
+        rest = in_cell(rest.withColumn("level", F.lit(level)), levels)
+        full = rest.groupBy(*cell).agg(F.sum("n_bytes").alias("bytes")).where(F.col("bytes") > shard_bytes)
+        full = scratch.write(full.select(*cell), f"cells{level}")
+        if full.isEmpty():
+            break
+        cut.append(full)
+        rest = rest.join(F.broadcast(full), cell, "left_semi").drop("level", *cell)  # at most MAX_SHARDS rows
+
+    def celled(df: DataFrame) -> DataFrame:
+        df = df.withColumn("finest", F.lit(0))
+        for level, full in enumerate(cut):
+            df = in_cell(df.withColumn("level", F.lit(level)), levels)
+            df = df.join(F.broadcast(full.withColumn("full", F.lit(level + 1))), cell, "left")
+            df = df.withColumn("finest", F.coalesce("full", "finest")).drop("full", "level", *cell)
+        return in_cell(df.withColumnRenamed("finest", "level"), levels)
+
+    filled = celled(slim).groupBy("level", *cell).agg(F.sum("n_bytes").alias("bytes"))
+    # one row a cell: at most 2 ** STEP_BITS for each that was cut
+    before = Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("bytes").over(before), F.lit(0))
-    placed = filled.select("b1", "b2", F.floor(start / shard_bytes).cast("int").alias("shard"))
+    placed = filled.select("level", *cell, F.floor(start / shard_bytes).cast("int").alias("shard"))
     placed = scratch.write(placed, "shards")
     last = placed.agg(F.max("shard")).first()[0]
-    return lambda df: cut(df).join(small_side(placed), ["b1", "b2"]).drop("b1", "b2"), (last or 0) + 1
+    return lambda df: celled(df).join(small_side(placed), ["level", *cell]).drop("level", *cell), (last or 0) + 1
 
 
 def record_id(key: int | None, digest: bytes, copy: int) -> str:
@@ -147,7 +181,7 @@ class ShardFile:
 
 def write_warc(
     pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html",
-    min_bytes: int = 0, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES, date: str = DATE,
+    min_bytes: int = 0, shard_bytes: int | None = None, file_bytes: int = FILE_BYTES, date: str = DATE,
 ) -> DataFrame:
     """Write a record for every row to an empty or new folder; returns the manifest.
 
@@ -203,7 +237,7 @@ def write_warc(
             yield pa.RecordBatch.from_pydict(dict(zip([f.split()[0] for f in REPORT.split(", ")], map(list, zip(*reports)), strict=True)), schema=REPORT_SCHEMA)
 
     order = [F.col("shard"), F.col("key").asc_nulls_first(), F.col("digest"), F.col("kind"), F.col("url").asc_nulls_first()]
-    sorted_rows = located.repartition(n_shards, "shard").sortWithinPartitions(*order)
+    sorted_rows = located.repartitionById(n_shards, F.col("shard")).sortWithinPartitions(*order)
     reports = scratch.write(sorted_rows.mapInArrow(write, REPORT), "reports")
 
     def commit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -81,6 +81,23 @@ def test_files_depend_on_the_rows_alone(spark):
     assert len({r[0].split("-")[1] for r in found[0]}) > 2 and any("-00001." in r[0] for r in found[0])
 
 
+@pytest.mark.parametrize("key", ["cast(null as bigint)", "7", "if(id < 2, -shiftleft(1, 40 + 20 * id), id)"])
+def test_shards_hold_about_equal_bytes(spark, key):
+    random = F.expr("array_join(transform(sequence(1, 40), k -> sha2(string(id * 41 + k), 512)), '')")
+    pages = spark.range(400).select(F.expr(key).alias("page_id"), F.lit("u").alias("url"), random.alias("html"))
+    manifest = warc.write_warc(pages, new_path(spark, "archives"), shard_bytes=100_000).collect()
+    held = {}
+    for row in manifest:
+        held[row.shard] = held.get(row.shard, 0) + row.records - 1
+    assert sum(held.values()) == 400 and max(held.values()) * 5120 <= 200_000 and len(held) >= 20
+
+
+def test_cells_are_nested():
+    assert warc.cell_levels(0, 0) == [(0, d) for d in warc.DIGITS]
+    assert [bits for bits, _ in warc.cell_levels(3, 70_000)] == [9, 1, *[0] * len(warc.DIGITS)]
+    assert [bits for bits, _ in warc.cell_levels(-1, 1)][:8] == [56, 48, 40, 32, 24, 16, 8, 0]
+
+
 def test_members_are_records_in_order_of_the_key(spark):
     path = new_path(spark, "archives")
     manifest = warc.write_warc(spark.read.parquet(f"{SMALL}/pages.parquet"), path).collect()
