@@ -68,6 +68,19 @@ def test_only_hot_groups_are_cut(one_hot):
         assert frame.exceptAll(plain.select(*frame.columns)).isEmpty()
 
 
+def test_tasks_follow_rows_not_the_limit(spark, tmp_path):
+    """Runs are as short as the limit asks for, but a low limit does not ask for a partition each."""
+    spark.range(30_000).selectExpr("id % 3 AS stream_id", "id DIV 4 AS ts", "-id AS event_id").write.parquet(str(tmp_path / "rows"))
+    table, order = spark.read.parquet(str(tmp_path / "rows")), ["ts", "event_id"]
+    cut = ordering._cut(ordering.by_heat(table, ["stream_id"], 10), ["stream_id"], order, 10)
+    assert len(cut.inputFiles()) <= 2
+    sizes = cut.groupBy("stream_id", ordering.RUN).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("a"), F.max(F.struct(*order)).alias("b"))
+    assert sizes.agg(F.max("n")).first()[0] == 10
+    by_run = sorted(sizes.collect(), key=lambda r: (r.stream_id, r[ordering.RUN]))
+    assert all(p.b < q.a for p, q in zip(by_run, by_run[1:]) if p.stream_id == q.stream_id)
+    same(ordering.with_position(table, ["stream_id"], order, "pos", 10), ordering.with_position(table, ["stream_id"], order, "pos", None))
+
+
 @pytest.mark.parametrize("group_rows", [3, SMALL, 150])
 def test_positions(rows, group_rows):
     args = (rows, ["stream_id"], ["ts", "event_id"], "pos")
