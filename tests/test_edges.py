@@ -187,6 +187,18 @@ def test_marker_points(spark):
     assert (maxima.documents, maxima.max_value, maxima.max_loss) == (2, 4.0, 0.5)
 
 
+def test_markers_are_dealt_to_tasks(spark, monkeypatch):
+    """Few updates on many streams are many points; a task makes no more than its part of them."""
+    monkeypatch.setattr(analytics, "MARK_ROWS", 1000, raising=False)
+    schema = "model_id long, seq long, stream_id int, pred array<double>, true array<double>, loss double, average_loss double, ts timestamp, updated_at timestamp"
+    results = spark.createDataFrame([(0, i, None, None, None, None, None, None, START) for i in range(100)], schema).coalesce(1)
+    members = spark.range(100).select(F.lit(0).cast("long").alias("model_id"), F.col("id").cast("int").alias("stream_id"))
+    points = analytics.with_update_markers(analytics.series(results), results, members).where("is_update")
+    sizes = [r["count"] for r in points.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 10_000 and len(sizes) >= 5 and max(sizes) <= 3000
+    assert points.distinct().count() == 10_000
+
+
 @pytest.mark.parametrize("bad", ["huber"])
 def test_unknown_loss(bad):
     with pytest.raises(ValueError):
