@@ -18,7 +18,7 @@ from onlinecast.operators.learning import (
 from onlinecast.operators.memory import gated_memory, ring_memory, similarity_memory, variance_gate
 from onlinecast.operators.models import ModelSpec
 from onlinecast.operators.promotion import FIRST_BEST, QUEUE_ROWS
-from onlinecast.operators.scoring import result_documents, score
+from onlinecast.operators.scoring import linear_pred, loss, result_documents, score
 from onlinecast.operators.windows import TAIL_SCHEMA, WindowShape, continued_windows
 from onlinecast.plans.joins import attach
 from onlinecast.plans.ordering import with_position
@@ -27,6 +27,7 @@ from onlinecast.sources.registry import append_registry, read_deployed
 from onlinecast.sources.results import append_results
 from onlinecast.streaming.budgets import drained
 from onlinecast.streaming.state import JobPaths, run_batches
+from onlinecast.streaming.turns import promoted, stepped
 
 PAIR = ["model_id", "stream_id"]
 WINDOWS = "model_id long, stream_id int, k long, t_end timestamp, x array<double>, y array<double>"
@@ -246,7 +247,8 @@ def continual_job(
     ``batch_size`` windows of a model, in order of arrival, make a step, and a micro-batch takes as many steps as it fills. What is
     left waits for the next one, so the steps do not depend on how the source cuts the stream; ``adaptive`` steps on
     it, too. Without a size the windows of a micro-batch make one step. ``batch_id`` of a document is the number of the
-    model's batch, or of the micro-batch.
+    model's batch, or of the micro-batch. Batches of a linear model with squared loss, a ring memory, the average projection
+    and plain steps take the same few jobs however many they are; all others are some jobs each.
 
     The memory is read before the new windows enter it. ``scheduled`` (similarity memory only) replaces a
     stream's memory only by a selection of larger variance, and projects only for models where that
@@ -258,6 +260,7 @@ def continual_job(
         raise ValueError("a batch has at least one window")
     ring = memory in RING_NAMES
     scheduled = scheduled and not ring
+    on_sums = ring and projection == "average" and optimizer == "sgd" and spec.linear and spec.loss == "mse"
     trainer = _Trainer(readings, subscriptions, spec, shape, paths)
     store = trainer.table("memory", WINDOWS, PAIR)
     carried = trainer.table("carried", WINDOWS, ["model_id"], compact=1)
@@ -292,6 +295,32 @@ def continual_job(
         losses = written(evaluate(windows, after, spec), "losses")
         trainer.finish(windows, before, after, losses, version, replay_from)
 
+    def learn_all(windows: DataFrame, version: int) -> None:
+        """The same for all steps of windows with ``turn``, where they need no more of the windows than sums of products."""
+        before = trainer.current(windows, version)
+        held = written(attach(store.read(version), before.select("model_id"), ["model_id"], "left_semi"), "memory")
+        steps = written(stepped(windows, held, before, spec, lr, capacity), "steps")
+        touched = attach(held, windows.select(*PAIR).distinct(), PAIR, "left_semi")
+        store.write(ring_memory(touched, windows, capacity), version)
+
+        rows = attach(windows, steps, ["model_id", "turn"]).withColumn("pred", linear_pred(spec))
+        rows = rows.withColumn("params", F.col("moved")).withColumn("__moved", linear_pred(spec)).drop("params", "moved")
+        losses = rows.groupBy("model_id", "turn", "batch_id").agg(
+            loss(spec.loss, "__moved").alias("loss"), F.count(F.lit(1)).alias("size"), F.max("t_end").alias("update_time")
+        )
+        losses = written(losses, "losses")
+        queued = written(promoted(losses, trainer.queue.read(version), FIRST_BEST), "queued")
+        last = queued.groupBy("model_id").agg(F.max_by(F.struct("sizes", "losses", "best"), "turn").alias("last"))
+        trainer.queue.write(last.select("model_id", "last.*"), version)
+        after = steps.groupBy("model_id").agg(F.max_by("moved", "turn").alias("params"))
+        trainer.params.write(_with_optimizer_state(before.drop("params").join(after, "model_id")), version)
+        publications = queued.where("publish").select("model_id", "turn").join(losses, ["model_id", "turn"])
+        publications = publications.join(steps.select("model_id", "turn", F.col("moved").alias("params")), ["model_id", "turn"])
+        publications = written(publications.select("model_id", "batch_id", "update_time", "loss", "params"), "publications")
+        append_registry(publications, paths.registry, version, paths.job)
+        rows = attach(rows.drop("__moved"), losses.select("model_id", "turn", "loss"), ["model_id", "turn"])
+        trainer.document(rows, publications, version)
+
     def one_step(batch: DataFrame, batch_id: int) -> None:
         windows = trainer.windows(batch, batch_id)
         if not windows.isEmpty():
@@ -314,12 +343,18 @@ def continual_job(
         first = done or 0
         placed = attach(placed, now, ["model_id"]).withColumn("batch_id", F.col("__first") + F.col("__turn"))
         carried.write(placed.where(F.col("__turn") >= F.col("__turns")).select(*columns), batch_id, whole=True)
-        for turn in range(most or 0):
-            with passing_tables(trainer.spark):
-                mine = placed.where((F.col("__turn") == turn) & (F.col("__turn") < F.col("__turns")))
-                learn(written(mine.select(*columns, "batch_id"), "windows"), first + turn, first)
+        full = F.col("__turn") < F.col("__turns")
+        versions = most or 0
+        if versions and on_sums:
+            versions = 1
+            learn_all(written(placed.where(full).select(*columns, "batch_id", F.col("__turn").alias("turn")), "windows"), first)
+        else:
+            for turn in range(versions):
+                with passing_tables(trainer.spark):
+                    mine = placed.where((F.col("__turn") == turn) & full)
+                    learn(written(mine.select(*columns, "batch_id"), "windows"), first + turn, first)
         after = now.select(
-            "model_id", (F.col("__first") + F.col("__turns")).alias("batches"), F.lit(first + (most or 0)).cast("long").alias("versions")
+            "model_id", (F.col("__first") + F.col("__turns")).alias("batches"), F.lit(first + versions).cast("long").alias("versions")
         )
         progress.write(after, batch_id, whole=True)
 

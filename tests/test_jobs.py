@@ -616,3 +616,37 @@ def test_model_windows_without_subscriptions(spark):
     _, frame = in_order(spark, 12, n=30)
     kind = "model_id long, stream_id int, look_back int, shift int, forward_step int, forward_size int"
     assert win.model_windows(frame, spark.createDataFrame([], kind)).count() == 0
+
+
+def test_all_steps_at_once(spark):
+    """Steps of all turns from sums of products against steps one by one; old memory is partly newer than what arrives."""
+    from onlinecast.streaming.turns import stepped
+
+    rng, spec, lr, capacity = np.random.default_rng(3), linear_model(2), 0.05, 3
+    schema = "model_id long, stream_id int, k long, t_end timestamp, x array<double>, y array<double>, turn long"
+
+    def row(s, k, second, turn):
+        return (0, s, k, START + dt.timedelta(seconds=second), rng.normal(size=2).tolist(), rng.normal(size=1).tolist(), turn)
+
+    old = [row(0, 0, 1, -1), row(0, 1, 30, -1), row(2, 0, 2, -1)]
+    new = [row(int(rng.integers(0, 2)), 2 + i, 5 + i, i // 4) for i in range(40)]
+    memory, windows = (spark.createDataFrame(r, schema) for r in (old, new))
+    before = spark.createDataFrame([(0, [0.9, -0.7, 0.2])], "model_id long, params array<double>")
+    got = {r.turn: r for r in stepped(windows, memory.drop("turn"), before, spec, lr, capacity).collect()}
+    assert sorted(got) == list(range(10))
+
+    def mean_slope(params, rows):
+        return slope(params, [(r[1], r[2], np.array(r[4]), np.array(r[5])) for r in rows])
+
+    params, turned = np.array([0.9, -0.7, 0.2]), 0
+    for turn in range(10):
+        np.testing.assert_allclose(got[turn].params, params)
+        come = [r for r in old + new if r[6] < turn]
+        held = [sorted((r for r in come if r[1] == s), key=lambda r: r[3])[-capacity:] for s in (0, 1, 2)]
+        g = mean_slope(params, [r for r in new if r[6] == turn])
+        mean = np.mean([mean_slope(params, rows) for rows in held if rows], axis=0)
+        if g @ mean < 0:
+            g, turned = g - (g @ mean) / (mean @ mean) * mean, turned + 1
+        params = params - lr * g
+        np.testing.assert_allclose(got[turn].moved, params)
+    assert turned
