@@ -26,6 +26,11 @@ GRAM_BLOCK = 2048
 FLUSH_GROUPS = 1000
 FLUSH_NUMBERS = 1 << 22
 ROUNDING = 1e-12
+ROUNDED = 8 * np.finfo(float).eps
+FLAT = (0.9, 0.1)
+LOOSE_STEPS = 50
+MOST_CUTS = 5
+HALVES = 2.0 ** -np.arange(41)
 
 # Fixed values of the projection.
 MARGIN = 0.5
@@ -151,9 +156,11 @@ def _in_order(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 def _shift_by_parameters(current: DataFrame, memories: DataFrame, margin: float, ridge: float) -> DataFrame:
     """Shift w = sum of v * g over the streams, for the multipliers v >= margin that the dual program asks for.
 
-    At the solution v is the larger of ``margin`` and ``-g . (current + w) / ridge``, so w solves an equation with as
-    many unknowns as parameters, which is smooth but for kinks. Each step sums, over tasks and then over the
-    cluster, what its linear form needs; a step that makes the residual worse is halved.
+    At the solution v is the larger of ``margin`` and ``-g . z / ridge`` for the turned gradient z = current + w. Once it is known
+    which streams are above the margin, z solves a linear system with as many unknowns as parameters, whose sums
+    tasks make and the cluster adds up. Each step solves it for the streams above the margin at the last point; the last one finds
+    the same streams again, and how many there are does not matter to the number of steps. A step is the Newton step of a strictly
+    convex function, so it goes only as far as that falls: its slopes at several shares of a step are sums, too.
     """
     model = memories.schema["model_id"]
     arrays = T.ArrayType(T.DoubleType())
@@ -161,53 +168,68 @@ def _shift_by_parameters(current: DataFrame, memories: DataFrame, margin: float,
     vectors = _in_order(memories, ["model_id", "stream_id"], "vector").drop("places")
     vectors = written(vectors, "vectors")
     state = now.join(vectors.select("model_id").distinct(), "model_id", "left_semi")
-    nothing = F.transform("now", lambda _: F.lit(0.0))
-    state = state.withColumns({"w": nothing, "step": nothing, "worst": F.lit(float("inf")), "done": F.lit(False)})
+    state = state.withColumns({"z": F.col("now"), "start": F.col("now"), "step": F.transform("now", lambda _: F.lit(0.0))})
+    shares = F.array(*[F.lit(float(v)) for v in (1.0, *HALVES)])
+    state = state.withColumns({"shares": shares, "slope": F.lit(0.0), "cuts": F.lit(0), "done": F.lit(False)})
     state = written(state, "state")
-    parts = T.StructType([model, T.StructField("i", T.IntegerType()), T.StructField("row", arrays), T.StructField("f", T.DoubleType())])
+    parts = T.StructType([model, T.StructField("i", T.IntegerType()), T.StructField("row", arrays), T.StructField("held", T.DoubleType())])
 
     def linear_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict = {}
         for batch in batches:
             for name, part in batch.groupby("model_id"):
                 g = np.stack(part["vector"].to_numpy())
-                pull = -(g @ (np.asarray(part["now"].iloc[0]) + np.asarray(part["w"].iloc[0]))) / ridge
-                free = pull > margin
-                form, pushed = sums.get(name, (0.0, 0.0))
-                sums[name] = form + g[free].T @ g[free] / ridge, pushed + np.maximum(pull, margin) @ g
-        for name, (form, pushed) in sums.items():
-            yield pd.DataFrame({"model_id": name, "i": np.arange(len(pushed), dtype="int32"), "row": list(form), "f": pushed})
+                along, first, rise = (g @ np.asarray(part[c].iloc[0]) for c in ("z", "start", "step"))
+                free = along < -margin * ridge
+                pulls = np.maximum(margin, -(first + np.outer(part["shares"].iloc[0], rise)) / ridge)
+                form, held, slopes = sums.get(name, (0.0, 0.0, 0.0))
+                sums[name] = form + g[free].T @ g[free], held + g[~free].sum(axis=0), slopes - pulls @ rise
+        for name, (form, held, slopes) in sums.items():
+            places = np.arange(len(held) + 1, dtype="int32")
+            yield pd.DataFrame({"model_id": name, "i": places, "row": [*form, slopes], "held": [*held, 0.0]})
 
     def advance(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
-        w, step = np.asarray(pdf["w"].iloc[0]), np.asarray(pdf["step"].iloc[0])
-        residual = w - pdf["f"].to_numpy()
-        size, worst = float(np.abs(residual).max()), float(pdf["worst"].iloc[0])
-        if size > worst:
-            step = step / 2
-            moved, worst = w - step, worst
+        now, z, start, step, shares = (np.asarray(pdf[c].iloc[0]) for c in ("now", "z", "start", "step", "shares"))
+        slope, cuts, rows = float(pdf["slope"].iloc[0]), int(pdf["cuts"].iloc[0]), pdf["row"].to_numpy()
+        matrix, held = ridge * np.eye(len(z)) + np.stack(rows[:-1]), pdf["held"].to_numpy()[:-1]
+        newton = np.linalg.solve(matrix, ridge * (now + margin * held)) - z
+        scale, values = np.abs(z + newton).max(), np.linalg.eigvalsh(matrix)
+        blurred = (values[-1] * scale + ridge * (np.abs(now).max() + margin * np.abs(held).max())) / max(values[0], ridge)
+        done = bool(pdf["done"].iloc[0] or np.abs(newton).max() <= max(PRECISION * scale, ROUNDED * blurred))
+        slopes = (start + np.outer(shares, step) - now) @ step + rows[-1]
+        if done or not abs(slopes[0]) > flat * abs(slope) or cuts == MOST_CUTS:
+            start, step, shares, cuts = z, newton, np.array([1.0, *HALVES]), 0
+            slope = -float(newton @ matrix @ newton) / ridge
         else:
-            step = np.linalg.solve(np.eye(len(w)) + np.stack(pdf["row"].to_numpy()), -residual)
-            moved, worst = w + step, size
-        done = size <= PRECISION * max(1.0, float(np.abs(pdf["f"]).max()))
-        first = pdf.iloc[:1].drop(columns=["i", "row", "f"])
-        return first.assign(w=[w if done else moved], step=[step], worst=worst, done=done)
-
-    for _ in range(MOST_STEPS):
-        rows = attach(vectors, state.select("model_id", "now", "w"), ["model_id"])
-        forms = rows.select("model_id", "vector", "now", "w").mapInPandas(linear_forms, parts)
+            # the lowest point is between the last share at which the function falls and the next one
+            at, of = np.array([0.0, *shares]), np.array([slope, *slopes])
+            low = int(np.where(of <= 0, at, -1.0).argmax())
+            high = int(np.where((of > 0) & (at > at[low]), at, np.inf).argmin())
+            share = 1.0
+            if of[high] > 0:
+                share = at[low] + (at[high] - at[low]) * of[low] / (of[low] - of[high])
+            shares, cuts = np.array([share, *np.linspace(at[low], at[high], len(HALVES))]), cuts + 1
+        first = pdf.iloc[:1].drop(columns=["i", "row", "held"])
+        z = start + shares[0] * step
+        return first.assign(z=[z], start=[start], step=[step], shares=[shares], slope=slope, cuts=cuts, done=done)
+
+    for turn in range(MOST_STEPS):
+        flat = FLAT[turn >= LOOSE_STEPS]
+        rows = attach(vectors, state.select("model_id", "z", "start", "step", "shares"), ["model_id"])
+        forms = rows.drop("stream_id").mapInPandas(linear_forms, parts)
         total = F.aggregate(
             F.slice("rows", F.lit(2), F.size("rows")), F.col("rows")[0], lambda a, b: F.zip_with(a, b, lambda p, q: p + q)
         )
-        forms = forms.groupBy("model_id", "i").agg(F.collect_list("row").alias("rows"), F.sum("f").alias("f"))
-        forms = forms.select("model_id", "i", total.alias("row"), "f").join(state, "model_id")
+        forms = forms.groupBy("model_id", "i").agg(F.collect_list("row").alias("rows"), F.sum("held").alias("held"))
+        forms = forms.select("model_id", "i", total.alias("row"), "held").join(state, "model_id")
         state = written(forms.groupBy("model_id").applyInPandas(advance, state.schema), "state")
         if state.where("not done").isEmpty():
             break
     else:
         raise ValueError(f"the projection did not settle within {MOST_STEPS} steps")
-    return state.select("model_id", F.explode(F.arrays_zip("places", "w")).alias("at")).select(
-        "model_id", F.col("at.places").alias("p"), F.col("at.w").alias("__shift")
+    return state.select("model_id", F.explode(F.arrays_zip("places", "z", "now")).alias("at")).select(
+        "model_id", F.col("at.places").alias("p"), (F.col("at.z") - F.col("at.now")).alias("__shift")
     )
 
 

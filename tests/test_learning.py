@@ -110,6 +110,24 @@ def test_exact_projection_of_many_streams(spark):
     np.testing.assert_allclose(turned, g + v @ mem, rtol=1e-6, atol=1e-6)
 
 
+def test_exact_projection_settles_whatever_the_streams(spark):
+    """Equal streams, streams of any size and gradients far from the solution; a residual is only as small as rounding lets it."""
+    rng = np.random.default_rng(8)
+    cases = []
+    for size in (0.1, 1.0, 100.0):
+        mem = rng.normal(size=(1500, 3)) * size
+        cases += [(rng.normal(size=3), m) for m in (mem, np.repeat(mem[:300], 5, axis=0), mem * 10.0 ** rng.uniform(-2, 2, size=(1500, 1)))]
+    current, mems = grad_frames(spark, cases)
+    got = {(r.model_id, r.p): r.g for r in learning.project_gradient(current, mems).collect()}
+    for m, (g, mem) in enumerate(cases):
+        turned = np.array([got[m, p] for p in range(3)])
+        v = np.maximum(0.5, -(mem @ turned) / 1e-3)
+        assert np.abs(turned - g - v @ mem).max() <= 1e-6 * np.abs(v[:, None] * mem).sum(axis=0).max()
+        free = v > 0.5
+        again = np.linalg.solve(mem[free].T @ mem[free] + 1e-3 * np.eye(3), 1e-3 * (g + 0.5 * mem[~free].sum(axis=0)))
+        np.testing.assert_allclose(turned, again, rtol=1e-6)
+
+
 @pytest.mark.parametrize("loss", ["mse", "mae"])
 @pytest.mark.parametrize("outs", [1, 2])
 def test_linear_gradient(spark, loss, outs):
