@@ -199,6 +199,19 @@ def test_markers_are_dealt_to_tasks(spark, monkeypatch):
     assert points.distinct().count() == 10_000
 
 
+def test_markers_of_very_many_streams_are_dealt_to_tasks(spark, monkeypatch):
+    """Streams beyond the limit of a broadcast are dealt; no task makes all points of a model."""
+    monkeypatch.setattr(analytics, "MARK_ROWS", 50_000)
+    n = 1_100_000
+    schema = "model_id long, seq long, stream_id int, pred array<double>, true array<double>, loss double, average_loss double, ts timestamp, updated_at timestamp"
+    results = spark.createDataFrame([(m, i, None, None, None, None, None, None, START) for m, i in [(0, 0), (0, 1), (1, 0), (2, 0)]], schema)
+    members = spark.range(n).select((F.col("id") % 2).alias("model_id"), F.col("id").cast("int").alias("stream_id"))
+    points = analytics.with_update_markers(analytics.series(results), results, members).where("is_update")
+    sizes = [r["count"] for r in points.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3 * n // 2 and len(sizes) >= 20 and max(sizes) <= 150_000
+    assert points.select("model_id", "seq", "stream_id").distinct().count() == 3 * n // 2
+
+
 @pytest.mark.parametrize("bad", ["huber"])
 def test_unknown_loss(bad):
     with pytest.raises(ValueError):
